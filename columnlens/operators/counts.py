@@ -178,9 +178,16 @@ def _long(
 
 
 def _typed(counted: DataFrame, kind: str, keys: Sequence[str]) -> DataFrame:
-    value = F.col("value")
+    """Add type and parsed values to counted values.
+
+    Every count is above zero.  Saying so ties the type to the count, and keeps
+    a filter on the type above the count: below it, each cell would be
+    classified instead of each distinct value, and readers of the same counts
+    would no longer share one shuffle.
+    """
+    value, count = F.col("value"), F.col("cnt")
     if kind == "text":
-        typed = counted.withColumn("typed", typed_cell("value"))
+        typed = counted.withColumn("typed", F.when(count > 0, typed_cell("value")))
         return typed.select(*keys, "column", "value", "typed.*", "cnt")
     names = {"long": fixed.INTEGER, "double": fixed.REAL, "other": fixed.TEXT}
     label = names.get(kind, fixed.DATE)
@@ -188,7 +195,7 @@ def _typed(counted: DataFrame, kind: str, keys: Sequence[str]) -> DataFrame:
         *keys,
         "column",
         value.cast("string").alias("value"),
-        F.when(value.isNotNull(), F.lit(label)).alias("value_type"),
+        F.when(F.when(value.isNotNull(), count) > 0, F.lit(label)).alias("value_type"),
         (value if kind == "long" else F.lit(None)).cast("bigint").alias("long_val"),
         (value if kind == "double" else F.lit(None)).cast("double").alias("double_val"),
         (value if kind in ("date", "timestamp") else F.lit(None)).cast("date").alias("date_val"),

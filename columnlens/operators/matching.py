@@ -16,13 +16,17 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions import similarity_reach
-from .common import BROADCAST_BYTES, broadcast_if_small, measured
+from .common import broadcast_if_small, measured
 
 # Up to this many terms a value is compared with all terms of similar length;
 # beyond, only with those that share a piece with it.
 FUZZY_SCAN_TERMS = 2_000
+FUZZY_SCAN_BYTES = 256 * 1024
 CONTAINS_SCAN_TERMS = 200
 CONTAINS_SCAN_BYTES = 64 * 1024
+# Beginnings of a term by which it is found in a text, in characters.
+_STEM_WIDTHS = (1, 2, 4, 8, 16, 32)
+LONGEST_STEM = 32
 
 
 def exact_match(values: DataFrame, dictionary: DataFrame, on: str = "value") -> DataFrame:
@@ -36,9 +40,9 @@ def contains_match(values: DataFrame, dictionary: DataFrame, on: str = "value")
     """Values with a term anywhere inside, each (value, term) once.
 
     A short dictionary is tested in place, term by term.  For a longer one each
-    text is cut at every position, and a term meets the pieces that begin with
-    as many of its characters as the shortest term has.  Texts are examined
-    whole; pieces travel with a digest of the text instead of the text.
+    text is cut at every position, and a term meets the pieces that begin as it
+    does: with its first 1, 2, 4, 8... characters, as many as it has.  Texts are
+    examined whole; pieces travel with a digest of the text instead of the text.
     """
     terms = dictionary.select("label", "term").filter(F.length("term") > 0).distinct()
     bounds = terms.agg(
@@ -61,19 +65,27 @@ def contains_match(values: DataFrame, dictionary: DataFrame, on: str = "value")
             *values.columns, "hit.label", "hit.term"
         )
 
-    stem, reach = bounds["shortest"], bounds["longest"]
-    stems = terms.withColumn("stem", F.substring("term", 1, stem))
+    shortest, reach = bounds["shortest"], min(bounds["longest"], LONGEST_STEM)
+    widths = [w for w in _STEM_WIDTHS if 2 * w > shortest and w <= reach]
+    width = F.greatest(*[F.when(F.length("term") >= w, w).otherwise(0) for w in (0, *widths)])
+    stems = terms.withColumn("stem", F.substring("term", F.lit(1), width))
     small = broadcast_if_small(stems, (bounds["rows"], bounds["octets"]))
-    every_piece = F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{stem},{reach}}}))"), F.lit(1))
+    every_piece = F.regexp_extract_all(
+        text, F.lit(f"(?s)(?=(.{{{shortest},{reach}}}))"), F.lit(1)
+    )
+    beginnings = F.array(*[F.substring("piece", 1, w) for w in widths])
     pieces = (
         values.select(on)
         .distinct()
-        .select(F.sha2(text, 256).alias("digest"), F.explode(F.array_distinct(every_piece)).alias("piece"))
-        .withColumn("stem", F.substring("piece", 1, stem))
+        .select(
+            F.sha2(text, 256).alias("digest"),
+            F.explode(F.array_distinct(every_piece)).alias("piece"),
+        )
+        .select("digest", "piece", F.explode(F.array_distinct(beginnings)).alias("stem"))
     )
     hits = (
         pieces.join(small, "stem")
-        .filter(F.col("piece").startswith(F.col("term")))
+        .filter(F.col("piece").startswith(F.substring("term", 1, reach)))
         .select("digest", "label", "term")
         .distinct()
     )
@@ -94,7 +106,7 @@ def fuzzy_match(
     """Values whose edit similarity to a term is at least ``threshold``."""
     terms = dictionary.select("label", "term").distinct()
     rows, octets = measured(terms)
-    if rows <= FUZZY_SCAN_TERMS and octets <= BROADCAST_BYTES:
+    if rows <= FUZZY_SCAN_TERMS and octets <= FUZZY_SCAN_BYTES:
         table = terms_by_length(terms, threshold, ["label"])
         joined = values.join(
             F.broadcast(table), F.length(on) == F.col("value_length")

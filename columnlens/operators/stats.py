@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -32,44 +32,59 @@ def numeric_stats(counts: DataFrame, column_bound: int | None = None) -> DataFra
     """
     counts = with_types(counts)
     keys = [*group_keys(counts), "column", "value_type"]
-    numbers = counts.filter(F.col("value_type").isin(fixed.INTEGER, fixed.REAL))
-    is_long = F.col("value_type") == fixed.INTEGER
-    number = F.coalesce(F.col("long_val").cast("double"), F.col("double_val"))
-    weight = F.col("cnt").cast("double")
+    means = (
+        counts.filter(F.col("value_type").isin(fixed.INTEGER, fixed.REAL))
+        .groupBy(*keys)
+        .agg(F.sum("cnt").alias("cells"), *moments())
+        .select(*keys, "cells", *_RANGES, mean())
+    )
+    return means.join(
+        sized(deviations(counts, means, column_bound), column_bound), keys
+    )
+
+
+_RANGES = ("min_long", "max_long", "min_double", "max_double")
 
+
+def moments() -> list[Column]:
+    """Aggregates of the numbers in a group of value counts of one type."""
     # whole numbers are added up exactly, whatever their size
     exact = F.col("long_val").cast("decimal(19,0)") * F.col("cnt").cast("decimal(18,0)")
-    first = numbers.groupBy(*keys).agg(
-        F.sum("cnt").alias("cells"),
+    return [
         F.min("long_val").alias("min_long"),
         F.max("long_val").alias("max_long"),
         F.min("double_val").alias("min_double"),
         F.max("double_val").alias("max_double"),
         F.sum(exact).alias("long_sum"),
-        F.sum(F.col("double_val") * weight).alias("double_sum"),
-    )
-    means = first.select(
-        *keys,
-        "cells", "min_long", "max_long", "min_double", "max_double",
-        (
-            F.when(is_long, F.col("long_sum").cast("double")).otherwise(F.col("double_sum"))
-            / F.col("cells")
-        ).alias("mean"),
-    )
-    small = column_bound is not None and 2 * column_bound <= BROADCAST_ROWS
-    spread = (
-        numbers.join(
-            (F.broadcast(means) if small else means).select(*keys, "mean", "cells"), keys
-        )
+        F.sum(F.col("double_val") * F.col("cnt")).alias("double_sum"),
+    ]
+
+
+def mean() -> Column:
+    """The mean from ``moments`` and ``cells``; NULL where there are no numbers."""
+    total = F.coalesce(F.col("long_sum").cast("double"), F.col("double_sum"))
+    return (total / F.col("cells")).alias("mean")
+
+
+def deviations(
+    counts: DataFrame, means: DataFrame, column_bound: int | None = None
+) -> DataFrame:
+    """Second pass: population deviation around the means, ``..., stddev``."""
+    keys = [*group_keys(counts), "column", "value_type"]
+    number = F.coalesce(F.col("long_val").cast("double"), F.col("double_val"))
+    off = number - F.col("mean")
+    return (
+        counts.filter(F.col("value_type").isin(fixed.INTEGER, fixed.REAL))
+        .join(sized(means.select(*keys, "mean", "cells"), column_bound), keys)
         .groupBy(*keys)
-        .agg(
-            F.sqrt(
-                F.sum((number - F.col("mean")) * (number - F.col("mean")) * weight)
-                / F.max("cells")
-            ).alias("stddev")
-        )
+        .agg(F.sqrt(F.sum(off * off * F.col("cnt")) / F.max("cells")).alias("stddev"))
     )
-    return means.join(F.broadcast(spread) if small else spread, keys)
+
+
+def sized(per_column: DataFrame, column_bound: int | None) -> DataFrame:
+    """A frame of a few rows per column, to be broadcast if that is known to be small."""
+    known_small = column_bound is not None and 4 * column_bound <= BROADCAST_ROWS
+    return F.broadcast(per_column) if known_small else per_column
 
 
 def date_stats(counts: DataFrame) -> DataFrame:

@@ -16,7 +16,7 @@ from .. import fixed_values as fixed
 from ..functions import is_empty
 from ..operators.common import group_keys
 from ..operators.counts import corpus_counts, frequent_values, typed_counts, with_types
-from ..operators.stats import numeric_stats, text_extremes
+from ..operators.stats import deviations, mean, moments, sized, text_extremes
 from ..sources.tables import table_headers
 
 # order of the types in a document
@@ -84,22 +84,23 @@ def profile_counts(
     """
     counts = with_types(counts)
     keys = [*group_keys(counts), "column"]
+    typed_keys = [*keys, "value_type"]
     empty = is_empty("value", tokens)
-    # one aggregate by type; the totals of the column are sums of its few rows
-    by_type = counts.groupBy(*keys, "value_type").agg(
+    # one aggregate by type; the totals of a column are sums of its few rows
+    by_type = counts.groupBy(*typed_keys).agg(
         F.count(F.lit(1)).alias("distinct_values"),
         F.sum("cnt").alias("cells"),
         F.sum(F.when(empty, F.col("cnt")).otherwise(0)).alias("empty"),
         F.min("date_val").alias("min_date"),
         F.max("date_val").alias("max_date"),
-        (F.sum(F.length("value").cast("bigint") * F.col("cnt")) / F.sum("cnt")).alias(
-            "average_length"
-        ),
+        F.sum(F.length("value").cast("bigint") * F.col("cnt")).alias("characters"),
+        *moments(),
     )
-    totals = by_type.groupBy(*keys).agg(
-        F.sum("distinct_values").alias("number_distinct_values"),
-        F.sum("empty").alias("number_empty_cells"),
-        (F.sum("cells") - F.sum("empty")).alias("number_non_empty_cells"),
+    spread = deviations(counts, by_type.select(*typed_keys, "cells", mean()), column_bound)
+    shortest = text_extremes(counts, longest=False).withColumnRenamed("cells", "shortest_values")
+    longest = text_extremes(counts, longest=True).withColumnRenamed("cells", "longest_values")
+    texts = shortest.join(sized(longest, column_bound), keys).withColumn(
+        "value_type", F.lit(fixed.TEXT)
     )
     top = (
         frequent_values(counts)
@@ -112,35 +113,34 @@ def profile_counts(
             ).alias("frequent_values"),
         )
     )
-    numbers = numeric_stats(counts, column_bound).drop("cells")
-    texts = (
-        text_extremes(counts, longest=False)
-        .withColumnRenamed("cells", "shortest_values")
-        .join(text_extremes(counts, longest=True).withColumnRenamed("cells", "longest_values"), keys)
-        .withColumn("value_type", F.lit(fixed.TEXT))
-    )
-    is_text = F.col("value_type") == fixed.TEXT
+    typed = F.col("value_type").isNotNull()
     place = F.array_position(F.lit(list(_TYPE_ORDER)), F.col("value_type"))
+    average = F.when(
+        F.col("value_type") == fixed.TEXT, F.col("characters") / F.col("cells")
+    ).alias("average_length")
     entry = F.struct(
         place.alias("place"),
         F.col("value_type").alias("type"),
         F.col("cells").alias("count"),
         "min_long", "max_long", "min_double", "max_double", "min_date", "max_date",
-        "mean", "stddev", "shortest_values", "longest_values",
-        F.when(is_text, F.col("average_length")).alias("average_length"),
-    )
-    types = (
-        by_type.filter(F.col("value_type").isNotNull())
-        .join(numbers, [*keys, "value_type"], "left")
-        .join(texts, [*keys, "value_type"], "left")
-        .groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(entry)).alias("data_types"))  # four at most
+        mean(), "stddev", "shortest_values", "longest_values", average,
     )
-    none = F.array().cast(types.schema["data_types"].dataType)
+    # a missing cell has no type, so its row adds to the totals only
     return (
-        totals.join(top, keys)
-        .join(types, keys, "left")
-        .withColumn("data_types", F.coalesce("data_types", none))
+        by_type.join(sized(spread, column_bound), typed_keys, "left")
+        .join(sized(texts, column_bound), typed_keys, "left")
+        .groupBy(*keys)
+        .agg(
+            F.sum("distinct_values").alias("number_distinct_values"),
+            F.sum("empty").alias("number_empty_cells"),
+            (F.sum("cells") - F.sum("empty")).alias("number_non_empty_cells"),
+            F.sort_array(F.collect_list(F.when(typed, entry))).alias("data_types"),  # four at most
+        )
+        .join(sized(top, column_bound), keys)
+        .select(
+            *keys, "number_distinct_values", "number_empty_cells", "number_non_empty_cells",
+            "frequent_values", "data_types",
+        )
     )
 
 

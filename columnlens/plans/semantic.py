@@ -17,8 +17,9 @@ from pyspark.sql.window import Window
 
 from .. import fixed_values as fixed
 from ..functions import is_empty, pattern_match
-from ..operators.common import broadcast_if_small, group_keys, measured
+from ..operators.common import broadcast_if_small, group_keys
 from ..operators.matching import (
+    FUZZY_SCAN_BYTES,
     FUZZY_SCAN_TERMS,
     near_terms,
     share_a_piece,
@@ -127,15 +128,17 @@ def classify(
     terms = term_table(counts.sparkSession, rules)
     if dictionary is not None:
         terms = terms.unionByName(dictionary.select("label", F.lower("term").alias("term")))
-    terms = terms.distinct()
+    used = {r.label for r in rules.rules if r.kind in (EXACT, FUZZY)}
+    terms = terms.filter(F.col("label").isin(*used)).distinct()
+    sizes = _sizes(terms)
 
     known = counts.withColumn("probe", F.lower("value"))
-    known = _with_exact(known, rules, terms)
+    known = _with_exact(known, rules, terms, sizes)
     fuzzy_at = [i for i, r in enumerate(rules.rules) if r.kind == FUZZY]
     first_fuzzy = fuzzy_at[0] if fuzzy_at else len(rules.rules)
     known = known.withColumn("label", _first(rules, range(first_fuzzy)))
     if fuzzy_at:
-        known = _with_fuzzy(known, rules, terms, fuzzy_at)
+        known = _with_fuzzy(known, rules, terms, sizes, fuzzy_at)
         rest = _first(rules, range(first_fuzzy, len(rules.rules)))
         known = known.withColumn("label", F.coalesce("label", rest))
     return known.select(
@@ -203,7 +206,20 @@ def semantic_profile(semantic: DataFrame, truth: DataFrame | None = None) -> Dat
 # --- inside ------------------------------------------------------------------
 
 
-def _with_exact(known: DataFrame, rules: RuleSet, terms: DataFrame) -> DataFrame:
+def _sizes(terms: DataFrame) -> dict[str, tuple[int, int]]:
+    """Terms and bytes per label, by one small job: a row per label of the rules."""
+    rows = terms.groupBy("label").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("term")).alias("octets")
+    )
+    return {r["label"]: (r["rows"], r["octets"]) for r in rows.collect()}
+
+
+def _total(sizes: dict, labels: Iterable[str]) -> tuple[int, int]:
+    found = [sizes[label] for label in set(labels) if label in sizes]
+    return sum(rows for rows, _ in found), sum(octets for _, octets in found)
+
+
+def _with_exact(known: DataFrame, rules: RuleSet, terms: DataFrame, sizes: dict) -> DataFrame:
     labels = [r.label for r in rules.rules if r.kind == EXACT]
     if not labels:
         return known.withColumn("exact", F.array().cast("array<string>"))
@@ -212,11 +228,11 @@ def _with_exact(known: DataFrame, rules: RuleSet, terms: DataFrame) -> DataFrame
         .groupBy(F.col("term").alias("probe"))
         .agg(F.collect_set("label").alias("exact"))
     )
-    return known.join(broadcast_if_small(table), "probe", "left")
+    return known.join(broadcast_if_small(table, _total(sizes, labels)), "probe", "left")
 
 
 def _with_fuzzy(
-    known: DataFrame, rules: RuleSet, terms: DataFrame, fuzzy_at: list[int]
+    known: DataFrame, rules: RuleSet, terms: DataFrame, sizes: dict, fuzzy_at: list[int]
 ) -> DataFrame:
     """Add the number of the first fuzzy rule that hits, for values without a label."""
     number = F.lit(None).cast("int")
@@ -227,8 +243,8 @@ def _with_fuzzy(
         .filter(F.col("rule").isNotNull() & (F.length("term") > 0))
         .select("rule", "term")
     )
-    rows, _ = measured(numbered)
-    if rows <= FUZZY_SCAN_TERMS:
+    rows, octets = _total(sizes, [rules.rules[i].label for i in fuzzy_at])
+    if rows <= FUZZY_SCAN_TERMS and octets <= FUZZY_SCAN_BYTES:
         table = terms_by_length(numbered, rules.threshold, ["rule"])
         near = near_terms(F.col("probe"), F.col("terms"))
         first = F.array_min(F.transform(near, lambda t: t["rule"]))
