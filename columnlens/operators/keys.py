@@ -15,6 +15,7 @@ one row of counts per job and never a row of the table.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 from math import prod
 
@@ -110,13 +111,19 @@ def _possible(s: tuple, total: int, distinct: dict, top: dict) -> bool:
 
 
 def _distinct(df: DataFrame, sets: Sequence[tuple]) -> list[int]:
-    """Exact distinct rows per column set.
+    """Exact distinct rows per column set, a missing cell being a value like any other.
 
-    Each set is one struct: counting several columns directly would leave out
-    rows with a missing cell.
+    Each set reads its own columns only and is made distinct before the shuffle.
+    A table kept as delimited text is parsed once per set: store it in columns
+    first if it is large.
     """
     counts = [
-        F.count_distinct(F.struct(*[F.col(quoted(c)) for c in s])).alias(f"n{i}")
+        df.select(*[F.col(quoted(c)) for c in s])
+        .distinct()
+        .agg(F.count(F.lit(1)).alias("distinct"))
+        .withColumn("number", F.lit(i))
         for i, s in enumerate(sets)
     ]
-    return list(df.agg(*counts).first())
+    rows = reduce(DataFrame.unionByName, counts).collect()  # one row per set
+    found = {r["number"]: r["distinct"] for r in rows}
+    return [found[i] for i in range(len(sets))]

@@ -9,6 +9,7 @@ everything.
 
 from __future__ import annotations
 
+import json
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
@@ -22,11 +23,11 @@ from .common import broadcast_if_small, measured
 # beyond, only with those that share a piece with it.
 FUZZY_SCAN_TERMS = 2_000
 FUZZY_SCAN_BYTES = 256 * 1024
-CONTAINS_SCAN_TERMS = 200
+# Up to this many terms each is looked for in every text.
+CONTAINS_SCAN_TERMS = 1_000
 CONTAINS_SCAN_BYTES = 64 * 1024
 # Beginnings of a term by which it is found in a text, in characters.
 _STEM_WIDTHS = (1, 2, 4, 8, 16, 32)
-LONGEST_STEM = 32
 
 
 def exact_match(values: DataFrame, dictionary: DataFrame, on: str = "value") -> DataFrame:
@@ -40,9 +41,10 @@ def contains_match(values: DataFrame, dictionary: DataFrame, on: str = "value")
     """Values with a term anywhere inside, each (value, term) once.
 
     A short dictionary is tested in place, term by term.  For a longer one each
-    text is cut at every position, and a term meets the pieces that begin as it
-    does: with its first 1, 2, 4, 8... characters, as many as it has.  Texts are
-    examined whole; pieces travel with a digest of the text instead of the text.
+    text lists what begins at each of its positions, 1, 2, 4, 8... characters
+    wide, and a term meets the texts that list its own beginning, as wide as it
+    has characters for; then the whole term is looked for.  Texts are examined
+    whole, and travel as a digest until a term has met them.
     """
     terms = dictionary.select("label", "term").filter(F.length("term") > 0).distinct()
     bounds = terms.agg(
@@ -53,39 +55,28 @@ def contains_match(values: DataFrame, dictionary: DataFrame, on: str = "value")
     ).first()
     text = F.col(on)
     if bounds["rows"] <= CONTAINS_SCAN_TERMS and bounds["octets"] <= CONTAINS_SCAN_BYTES:
-        listed = sorted((r["label"], r["term"]) for r in terms.collect())  # bounded above
-        entries = [
-            F.struct(F.lit(label).alias("label"), F.lit(term).alias("term"))
-            for label, term in listed
-        ]
-        if not entries:
-            return values.join(terms, F.lit(False))
-        hits = F.filter(F.array(*entries), lambda t: F.contains(text, t["term"]))
+        listed = [r.asDict() for r in terms.collect()]  # bounded above
+        entries = F.from_json(
+            F.lit(json.dumps(listed)), "array<struct<label: string, term: string>>"
+        )
+        hits = F.filter(entries, lambda t: F.contains(text, t["term"]))
         return values.withColumn("hit", F.explode(hits)).select(
             *values.columns, "hit.label", "hit.term"
         )
 
-    shortest, reach = bounds["shortest"], min(bounds["longest"], LONGEST_STEM)
-    widths = [w for w in _STEM_WIDTHS if 2 * w > shortest and w <= reach]
+    widths = [
+        w for w in _STEM_WIDTHS if 2 * w > bounds["shortest"] and w <= bounds["longest"]
+    ]
     width = F.greatest(*[F.when(F.length("term") >= w, w).otherwise(0) for w in (0, *widths)])
     stems = terms.withColumn("stem", F.substring("term", F.lit(1), width))
     small = broadcast_if_small(stems, (bounds["rows"], bounds["octets"]))
-    every_piece = F.regexp_extract_all(
-        text, F.lit(f"(?s)(?=(.{{{shortest},{reach}}}))"), F.lit(1)
-    )
-    beginnings = F.array(*[F.substring("piece", 1, w) for w in widths])
-    pieces = (
+    listed = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)) for w in widths]
+    hits = (
         values.select(on)
         .distinct()
-        .select(
-            F.sha2(text, 256).alias("digest"),
-            F.explode(F.array_distinct(every_piece)).alias("piece"),
-        )
-        .select("digest", "piece", F.explode(F.array_distinct(beginnings)).alias("stem"))
-    )
-    hits = (
-        pieces.join(small, "stem")
-        .filter(F.col("piece").startswith(F.substring("term", 1, reach)))
+        .withColumn("digest", F.sha2(text, 256))  # once per text, before it is cut
+        .select("digest", F.explode(F.array_distinct(F.concat(*listed))).alias("stem"))
+        .join(small, "stem")
         .select("digest", "label", "term")
         .distinct()
     )

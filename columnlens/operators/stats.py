@@ -62,8 +62,10 @@ def moments() -> list[Column]:
 
 def mean() -> Column:
     """The mean from ``moments`` and ``cells``; NULL where there are no numbers."""
-    total = F.coalesce(F.col("long_sum").cast("double"), F.col("double_sum"))
-    return (total / F.col("cells")).alias("mean")
+    # the exact sum may have more digits than a double: divide first
+    whole = F.expr("long_sum div cells").cast("double")
+    rest = F.expr("long_sum % cells").cast("double") / F.col("cells")
+    return F.coalesce(whole + rest, F.col("double_sum") / F.col("cells")).alias("mean")
 
 
 def deviations(
