@@ -6,9 +6,11 @@ The search goes by width.  What one width teaches prunes the next:
 * the distinct values of a set are at most the product of those of its columns,
   so a product below the row count rules the set out;
 * if the most frequent value of one column occurs more often than the rest of
-  the set has value combinations, two of those rows are equal.
+  the set has value combinations, two of those rows are equal;
+* two equal rows among any rows of the table rule the set out, so a large table
+  first looks for them among a million of its rows.
 
-Only sets that survive are counted, exactly, a few per job.  The driver sees
+Only sets that survive are counted, exactly and over all rows, a few per job.  The driver sees
 one row of counts per job and never a row of the table.
 """
 
@@ -26,6 +28,7 @@ from .common import quoted
 from .counts import typed_counts
 
 SETS_PER_JOB = 8
+PROBE_ROWS = 1_000_000
 
 
 def key_candidates(
@@ -63,6 +66,10 @@ def _search(df: DataFrame, names: list[str], widest: int) -> list[tuple[str, ...
     top = {c: single[c][1] for c in names}
     keys = [(c,) for c in names if distinct[(c,)] == total]
 
+    probe = None
+    if total > 10 * PROBE_ROWS and widest > 1:
+        probe = df.select(*[F.col(quoted(c)) for c in names]).sample(PROBE_ROWS / total, 42)
+        probe = probe.persist()
     for width in range(2, widest + 1):
         open_sets = [
             s
@@ -70,13 +77,37 @@ def _search(df: DataFrame, names: list[str], widest: int) -> list[tuple[str, ...
             if not any(set(key) <= set(s) for key in keys)
             and _possible(s, total, distinct, top)
         ]
-        for start in range(0, len(open_sets), SETS_PER_JOB):
-            batch = open_sets[start : start + SETS_PER_JOB]
+        if probe is not None:
+            open_sets = [s for b in _batches(open_sets) for s in _without_repeat(probe, b)]
+        for batch in _batches(open_sets):
             distinct.update(zip(batch, _distinct(df, batch)))
         keys += [s for s in open_sets if distinct[s] == total]
+    if probe is not None:
+        probe.unpersist()
     return keys
 
 
+def _batches(sets: list) -> list[list]:
+    return [sets[i : i + SETS_PER_JOB] for i in range(0, len(sets), SETS_PER_JOB)]
+
+
+def _without_repeat(probe: DataFrame, sets: Sequence[tuple]) -> list[tuple]:
+    """Those of ``sets`` that show no two equal rows in ``probe``.
+
+    Rows and repeats come from one pass, so the answer holds for whatever rows
+    that pass saw.
+    """
+    repeats = [
+        probe.groupBy(*[F.col(quoted(c)) for c in s])
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.max("rows").alias("most"))
+        .withColumn("number", F.lit(i))
+        for i, s in enumerate(sets)
+    ]
+    rows = reduce(DataFrame.unionByName, repeats).collect()  # one row per set
+    return [sets[r["number"]] for r in rows if (r["most"] or 0) <= 1]
+
+
 def _single_columns(df: DataFrame, names: list[str]) -> tuple[int, dict]:
     """Row count, and per column its distinct values and its top count."""
     rows = (

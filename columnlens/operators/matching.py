@@ -17,12 +17,11 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions import similarity_reach
-from .common import broadcast_if_small, measured
+from .common import BROADCAST_BYTES, broadcast_if_small
 
 # Up to this many terms a value is compared with all terms of similar length;
 # beyond, only with those that share a piece with it.
 FUZZY_SCAN_TERMS = 2_000
-FUZZY_SCAN_BYTES = 256 * 1024
 # Up to this many terms each is looked for in every text.
 CONTAINS_SCAN_TERMS = 1_000
 CONTAINS_SCAN_BYTES = 64 * 1024
@@ -95,9 +94,9 @@ def fuzzy_match(
     on: str = "value",
 ) -> DataFrame:
     """Values whose edit similarity to a term is at least ``threshold``."""
-    terms = dictionary.select("label", "term").distinct()
-    rows, octets = measured(terms)
-    if rows <= FUZZY_SCAN_TERMS and octets <= FUZZY_SCAN_BYTES:
+    terms = dictionary.select("label", "term").filter(F.length("term") > 0).distinct()
+    size = terms.agg(*fuzzy_size(threshold)).first()
+    if scan_fuzzy(size["rows"], size["octets"]):
         table = terms_by_length(terms, threshold, ["label"])
         joined = values.join(
             F.broadcast(table), F.length(on) == F.col("value_length")
@@ -110,6 +109,21 @@ def fuzzy_match(
     return values.join(found, on).select(*values.columns, "label", "term")
 
 
+def fuzzy_size(threshold: float) -> list[Column]:
+    """Aggregates: ``rows`` of a dictionary, and ``octets`` once listed by length."""
+    shortest, longest = _lengths_near(F.length("term"), threshold)
+    listed = (longest - shortest + 1).cast("bigint") * F.octet_length("term")
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(listed), F.lit(0)).alias("octets"),
+    ]
+
+
+def scan_fuzzy(rows: int, octets: int) -> bool:
+    """Whether a dictionary is small enough to travel to the values by length."""
+    return rows <= FUZZY_SCAN_TERMS and octets <= BROADCAST_BYTES
+
+
 def terms_by_length(terms: DataFrame, threshold: float, carried: list[str]) -> DataFrame:
     """For each length of a value, the terms it may be similar to and how far off.
 
@@ -145,10 +159,15 @@ def share_a_piece(
     """Similar pairs of two large sides, by an equality join.
 
     With at most ``d`` edits, a term cut into ``d + 1`` pieces has one piece
-    that is unchanged in the value, moved by at most ``d`` places.  Both sides
-    list the pieces they could share, with the two lengths and the place; a join
-    on these finds every similar pair, and the edit distance decides.
+    that is unchanged in the value.  Piece ``i`` can be taken to have at most
+    ``i`` edits before it and ``d - i`` after it (the multi-match-aware window
+    of Pass-Join, VLDB 2012), which leaves it few places.  Both sides list the
+    pieces they could share, with the two lengths and the place; a join on these
+    finds every similar pair, and the edit distance decides.
     """
+    lengths = right.agg(
+        F.min(F.length(right_on)).alias("least"), F.max(F.length(right_on)).alias("most")
+    ).first()
     value, term = F.col(left_on), F.col(right_on)
     term_length, value_length = F.col("term_length"), F.col("value_length")
     edits = similarity_reach(F.greatest(term_length, value_length), threshold)
@@ -159,8 +178,11 @@ def share_a_piece(
 
     def with_parts(side: DataFrame, text: Column, own: str, other: str) -> DataFrame:
         shortest, longest = _lengths_near(F.length(text), threshold)
+        if own == "value_length":  # only lengths that terms have
+            shortest = F.greatest(shortest, F.lit(lengths["least"] or 0))
+            longest = F.least(longest, F.lit(lengths["most"] or 0))
         return (
-            side.filter(F.length(text) > 0)
+            side.filter((F.length(text) > 0) & (shortest <= longest))
             .withColumn(own, F.length(text))
             .withColumn(other, F.explode(F.sequence(shortest, longest)))
             .withColumn("edits", edits)
@@ -175,8 +197,10 @@ def share_a_piece(
         .withColumn("piece", F.substring(term, F.col("begin") + 1, F.col("size")))
         .drop("edits", "begin", "size")
     )
-    first = F.greatest(F.lit(0), F.col("begin") - F.col("edits"))
-    last = F.least(value_length - F.col("size"), F.col("begin") + F.col("edits"))
+    begin, after = F.col("begin"), F.col("edits") - part
+    moved = begin + value_length - term_length  # place if all edits come before
+    first = F.greatest(F.lit(0), begin - part, moved - after)
+    last = F.least(value_length - F.col("size"), begin + part, moved + after)
     value_pieces = (
         with_parts(left, value, "value_length", "term_length")
         .filter(first <= last)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,9 +19,9 @@ from .. import fixed_values as fixed
 from ..functions import is_empty, pattern_match
 from ..operators.common import broadcast_if_small, group_keys
 from ..operators.matching import (
-    FUZZY_SCAN_BYTES,
-    FUZZY_SCAN_TERMS,
+    fuzzy_size,
     near_terms,
+    scan_fuzzy,
     share_a_piece,
     terms_by_length,
 )
@@ -129,8 +129,8 @@ def classify(
     if dictionary is not None:
         terms = terms.unionByName(dictionary.select("label", F.lower("term").alias("term")))
     used = {r.label for r in rules.rules if r.kind in (EXACT, FUZZY)}
-    terms = terms.filter(F.col("label").isin(*used)).distinct()
-    sizes = _sizes(terms)
+    terms = terms.filter(F.col("label").isin(*used) & (F.length("term") > 0)).distinct()
+    sizes = _sizes(terms, rules.threshold)
 
     known = counts.withColumn("probe", F.lower("value"))
     known = _with_exact(known, rules, terms, sizes)
@@ -206,17 +206,17 @@ def semantic_profile(semantic: DataFrame, truth: DataFrame | None = None) -> Dat
 # --- inside ------------------------------------------------------------------
 
 
-def _sizes(terms: DataFrame) -> dict[str, tuple[int, int]]:
-    """Terms and bytes per label, by one small job: a row per label of the rules."""
+def _sizes(terms: DataFrame, threshold: float) -> dict[str, Row]:
+    """Terms per label and their bytes, by one small job: a row per label of the rules."""
     rows = terms.groupBy("label").agg(
-        F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("term")).alias("octets")
+        F.sum(F.octet_length("term")).alias("plain"), *fuzzy_size(threshold)
     )
-    return {r["label"]: (r["rows"], r["octets"]) for r in rows.collect()}
+    return {r["label"]: r for r in rows.collect()}
 
 
-def _total(sizes: dict, labels: Iterable[str]) -> tuple[int, int]:
+def _total(sizes: dict, labels: Iterable[str], octets: str) -> tuple[int, int]:
     found = [sizes[label] for label in set(labels) if label in sizes]
-    return sum(rows for rows, _ in found), sum(octets for _, octets in found)
+    return sum(r["rows"] for r in found), sum(r[octets] for r in found)
 
 
 def _with_exact(known: DataFrame, rules: RuleSet, terms: DataFrame, sizes: dict) -> DataFrame:
@@ -228,7 +228,7 @@ def _with_exact(known: DataFrame, rules: RuleSet, terms: DataFrame, sizes: dict)
         .groupBy(F.col("term").alias("probe"))
         .agg(F.collect_set("label").alias("exact"))
     )
-    return known.join(broadcast_if_small(table, _total(sizes, labels)), "probe", "left")
+    return known.join(broadcast_if_small(table, _total(sizes, labels, "plain")), "probe", "left")
 
 
 def _with_fuzzy(
@@ -240,11 +240,11 @@ def _with_fuzzy(
         number = F.when(F.col("label") == rules.rules[i].label, F.lit(i)).otherwise(number)
     numbered = (
         terms.withColumn("rule", number)
-        .filter(F.col("rule").isNotNull() & (F.length("term") > 0))
+        .filter(F.col("rule").isNotNull())
         .select("rule", "term")
     )
-    rows, octets = _total(sizes, [rules.rules[i].label for i in fuzzy_at])
-    if rows <= FUZZY_SCAN_TERMS and octets <= FUZZY_SCAN_BYTES:
+    labels = [rules.rules[i].label for i in fuzzy_at]
+    if scan_fuzzy(*_total(sizes, labels, "octets")):
         table = terms_by_length(numbered, rules.threshold, ["rule"])
         near = near_terms(F.col("probe"), F.col("terms"))
         first = F.array_min(F.transform(near, lambda t: t["rule"]))

@@ -25,8 +25,11 @@ def as_dict(found):
     return {tuple(r["key"]): r["minimal"] for r in found.collect()}
 
 
+@pytest.mark.parametrize("probed", [False, True])
 @pytest.mark.parametrize("seed", range(3))
-def test_random_tables(spark, seed):
+def test_random_tables(spark, monkeypatch, seed, probed):
+    if probed:  # as for a large table
+        monkeypatch.setattr(keys_module, "PROBE_ROWS", 1)
     rng = random.Random(seed)
     names = ["a", "b.c", "d e", "f"]
     choices = [2, 3, 5, 8]

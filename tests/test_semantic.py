@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import columnlens as cl
+from columnlens.operators import matching
 from columnlens.plans import semantic
 from contract import fixtures as fx
 from contract.queries import _rules
@@ -34,7 +35,7 @@ def labels(spark, strings, values, rules=None, terms=None):
 @pytest.mark.parametrize("large", [False, True])
 def test_labelled_cells(spark, strings, monkeypatch, large):
     if large:  # as for a dictionary that must not be sent to every task
-        monkeypatch.setattr(semantic, "FUZZY_SCAN_TERMS", 0)
+        monkeypatch.setattr(matching, "FUZZY_SCAN_TERMS", 0)
     assert len(EXPECTED) == 48
     assert labels(spark, strings, list(EXPECTED), _rules(), fx.dictionary(spark)) == EXPECTED
 
@@ -69,7 +70,7 @@ def test_uncorrected_rules(spark, strings):
 @pytest.mark.parametrize("large", [False, True])
 def test_fuzzy_rules_against_all_terms(spark, strings, monkeypatch, large):
     if large:
-        monkeypatch.setattr(semantic, "FUZZY_SCAN_TERMS", 0)
+        monkeypatch.setattr(matching, "FUZZY_SCAN_TERMS", 0)
     rng = random.Random(2)
     rules = cl.default_rules()
     order = ["borough", "car_make", "subject_in_school"]
