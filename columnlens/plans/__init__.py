@@ -12,6 +12,7 @@ from .evaluate import (
     predicted_types,
     unmatched_labels,
 )
+from .jobs import find_keys, label_columns, profile_datasets, report
 from .profile import profile, profile_corpus, profile_counts, profile_rows
 from .semantic import (
     Rule,
@@ -25,8 +26,8 @@ from .semantic import (
 
 __all__ = [
     "Rule", "RuleSet", "classify", "column_precision", "correct_counts",
-    "default_rules", "distinct_worklist", "label_counts", "manual_labels",
-    "precision_recall", "predicted_counts", "predicted_types", "profile",
-    "profile_corpus", "profile_counts", "profile_rows", "run_each", "semantic_profile",
+    "default_rules", "distinct_worklist", "find_keys", "label_columns", "label_counts",
+    "manual_labels", "precision_recall", "predicted_counts", "predicted_types", "profile",
+    "profile_corpus", "profile_counts", "profile_datasets", "profile_rows", "report", "run_each", "semantic_profile",
     "semantic_types", "term_table", "unmatched_labels",
 ]

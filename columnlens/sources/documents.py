@@ -36,8 +36,8 @@ def write_profiles(profiles: DataFrame, path: str, mode: str = "overwrite") -> N
 
 
 def read_profiles(spark: SparkSession, path: str) -> DataFrame:
-    """Profile documents written by ``write_profiles`` or combined from files."""
-    return spark.read.schema(PROFILE_SCHEMA).json(path)
+    """Profile documents in a folder and the folders in it."""
+    return spark.read.schema(PROFILE_SCHEMA).option("recursiveFileLookup", True).json(path)
 
 
 def profile_json() -> Column:
@@ -126,7 +126,7 @@ def combine_json(
     ``files`` sets how many files are written; by default each task writes its
     own, and nothing passes through a single one.
     """
-    lines = spark.read.text(source, wholetext=whole_files).select(
+    lines = spark.read.text(source, wholetext=whole_files, recursiveFileLookup=True).select(
         F.trim(F.regexp_replace("value", r"\s*[\r\n]\s*", " ")).alias("value")
     )
     lines = lines.filter(F.col("value") != "")

@@ -666,13 +666,15 @@ def quarantine(spark, sf):
     ).write.partitionBy("dataset").option("header", True).option("sep", "\t").csv(root)
     items = [("f",), ("missing",), ("o",), ("p",)]
 
-    def work(batch):
-        tables = {d: cl.read_table(spark, f"{root}/dataset={d}") for (d,) in batch}
+    def work(opened):
+        tables = {dataset: one for (dataset,), one in opened.items()}
         cl.corpus_counts(tables).select("dataset", "column", "value", "cnt").write.mode(
             "append"
         ).json(out)
 
-    failed = cl.run_each(spark, items, work)
+    failed = cl.run_each(
+        spark, items, work, lambda item: cl.read_table(spark, f"{root}/dataset={item[0]}")
+    )
     good = spark.read.schema("dataset string, column string, value string, cnt bigint").json(out)
     return good.unionByName(
         failed.select("dataset", "column", F.lit("set aside").alias("value"), F.lit(None).cast("bigint").alias("cnt"))

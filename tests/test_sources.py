@@ -49,15 +49,30 @@ def test_failures_are_set_aside(spark, folder):
     assert paths["one"] == str(folder / "one.tsv.gz")
     out = str(folder / "profiles")
 
-    def work(batch):
-        tables = {d: cl.read_table(spark, paths[d]) for (d,) in batch}
+    def work(opened):
+        tables = {d: table for (d,), table in opened.items()}
         cl.write_profiles(cl.profile_corpus(tables), out, mode="append")
 
-    failed = cl.run_each(spark, [(d,) for d in paths], work)
+    items = [(d,) for d in paths]
+    failed = cl.run_each(spark, items, work, lambda item: cl.read_table(spark, paths[item[0]]))
     assert [(r["idx"], r["dataset"]) for r in failed.orderBy("idx").collect()] == [(1, "bad"), (2, "none")]
     assert [r["dataset_name"] for r in cl.read_profiles(spark, out).collect()] == ["one"]
 
 
+def test_a_batch_is_halved_around_its_bad_item(spark):
+    done = []
+
+    def work(opened):
+        if ("bad", "c") in opened:
+            raise ValueError("broken")
+        done.extend(opened)
+
+    items = [("a", "c"), ("b", "c"), ("bad", "c"), ("d", "c"), ("e", "c")]
+    failed = cl.run_each(spark, items, work, batch=5)
+    assert [tuple(r) for r in failed.collect()] == [(2, "bad", "c", "ValueError: broken")]
+    assert sorted(done) == sorted(set(items) - {("bad", "c")})
+
+
 def test_lists(spark, tmp_path):
     (tmp_path / "work.txt").write_text("['ab-1.CITY_NAME.txt.gz', 'ab-2.Phone.txt.gz']\n")
     (tmp_path / "truth.txt").write_text("0 city\n1 phone_number,other a note, here\r\n")
