@@ -38,9 +38,7 @@ def numeric_stats(counts: DataFrame, column_bound: int | None = None) -> DataFra
         .agg(F.sum("cnt").alias("cells"), *moments())
         .select(*keys, "cells", *_RANGES, mean())
     )
-    return means.join(
-        sized(deviations(counts, means, column_bound), column_bound), keys
-    )
+    return deviations(counts, means, column_bound)
 
 
 _RANGES = ("min_long", "max_long", "min_double", "max_double")
@@ -71,15 +69,17 @@ def mean() -> Column:
 def deviations(
     counts: DataFrame, means: DataFrame, column_bound: int | None = None
 ) -> DataFrame:
-    """Second pass: population deviation around the means, ``..., stddev``."""
+    """Second pass: ``means`` with the population deviation around each, ``stddev``."""
     keys = [*group_keys(counts), "column", "value_type"]
     number = F.coalesce(F.col("long_val").cast("double"), F.col("double_val"))
-    off = number - F.col("mean")
+    numbers = counts.filter(F.col("value_type").isin(fixed.INTEGER, fixed.REAL)).select(
+        *keys, number.alias("number"), "cnt"
+    )
+    off = F.col("number") - F.col("mean")
     return (
-        counts.filter(F.col("value_type").isin(fixed.INTEGER, fixed.REAL))
-        .join(sized(means.select(*keys, "mean", "cells"), column_bound), keys)
-        .groupBy(*keys)
-        .agg(F.sqrt(F.sum(off * off * F.col("cnt")) / F.max("cells")).alias("stddev"))
+        numbers.join(sized(means, column_bound), keys)
+        .groupBy(*means.columns)  # one row of means per group
+        .agg(F.sqrt(F.sum(off * off * F.col("cnt")) / F.col("cells")).alias("stddev"))
     )
 
 

@@ -95,8 +95,8 @@ def profile_counts(
         F.max("date_val").alias("max_date"),
         F.sum(F.length("value").cast("bigint") * F.col("cnt")).alias("characters"),
         *moments(),
-    )
-    spread = deviations(counts, by_type.select(*typed_keys, "cells", mean()), column_bound)
+    ).withColumn("mean", mean())
+    spread = deviations(counts, by_type, column_bound).select(*typed_keys, "stddev")
     shortest = text_extremes(counts, longest=False).withColumnRenamed("cells", "shortest_values")
     longest = text_extremes(counts, longest=True).withColumnRenamed("cells", "longest_values")
     texts = shortest.join(sized(longest, column_bound), keys).withColumn(
@@ -123,7 +123,7 @@ def profile_counts(
         F.col("value_type").alias("type"),
         F.col("cells").alias("count"),
         "min_long", "max_long", "min_double", "max_double", "min_date", "max_date",
-        mean(), "stddev", "shortest_values", "longest_values", average,
+        "mean", "stddev", "shortest_values", "longest_values", average,
     )
     # a missing cell has no type, so its row adds to the totals only
     return (
