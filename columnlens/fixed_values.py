@@ -151,6 +151,9 @@ INTEGER_SHAPE = r"^\s*[-+]?[0-9]+\s*$"
 REAL_SHAPE = r"^\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*$"
 NOT_A_NUMBER_SHAPE = r"^\s*[-+]?[nN][aA][nN]\s*$"
 INFINITY_SHAPE = r"^\s*[-+]?[iI][nN][fF]([iI][nN][iI][tT][yY])?\s*$"
+# what numbers and dates may begin and end with, blanks that are no spaces included
+FIRST_CHARACTERS = (*"0123456789+-.nNiI", "\t", "\n", "\x0b", "\f", "\r")
+LAST_CHARACTERS = (*"0123456789.nNfFyY", "\t", "\n", "\x0b", "\f", "\r")
 # shape of the text, then how to write it year first
 DATE_SHAPES = (
     (r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})\z", "$1-$2-$3"),

@@ -47,45 +47,44 @@ def parse_date(col: Column | str) -> Column:
     return parsed
 
 
-def typed_cell(col: Column | str) -> Column:
-    """Struct of the cell's type and its parsed value; NULL fields elsewhere.
+def cell_type(col: Column | str) -> Column:
+    """Name of the cell's type; NULL for a missing cell, which is never reported.
 
-    ``value_type`` is NULL for a missing cell, which is never reported.
+    Most text is told from numbers and dates by its first and last character, so
+    that shapes are only tried on cells that could have one.
     """
     cell = _col(col)
-    as_long, as_double, as_date = parse_long(cell), parse_double(cell), parse_date(cell)
-    nothing = {
-        "long_val": F.lit(None).cast("bigint"),
-        "double_val": F.lit(None).cast("double"),
-        "date_val": F.lit(None).cast("date"),
-    }
-
-    def typed(kind: str | None, **parsed: Column) -> Column:
-        fields = {"value_type": F.lit(kind).cast("string"), **nothing, **parsed}
-        return F.struct(*[value.alias(name) for name, value in fields.items()])
-
-    number = F.trim(_blanks(cell)).try_cast("bigint")  # the shape is known here
-    return (
-        F.when(cell.isNull(), typed(None))
-        .when(as_long.isNotNull(), typed(fixed.INTEGER, long_val=number))
-        .when(as_double.isNotNull(), typed(fixed.REAL, double_val=as_double))
-        .when(as_date.isNotNull(), typed(fixed.DATE, date_val=as_date))
-        .otherwise(typed(fixed.TEXT))
-    )
-
-
-def cell_type(col: Column | str) -> Column:
-    """Name of the cell's type; NULL for a missing cell."""
-    cell = _col(col)
+    first = F.substring(F.ltrim(cell), 1, 1).isin(*fixed.FIRST_CHARACTERS)
+    last = F.substring(F.rtrim(cell), -1, 1).isin(*fixed.LAST_CHARACTERS)
     return (
         F.when(cell.isNull(), F.lit(None).cast("string"))
+        .when(~(first & last), F.lit(fixed.TEXT))
         .when(parse_long(cell).isNotNull(), F.lit(fixed.INTEGER))
-        .when(parse_double(cell).isNotNull(), F.lit(fixed.REAL))
+        .when(
+            cell.rlike(fixed.REAL_SHAPE)
+            | cell.rlike(fixed.NOT_A_NUMBER_SHAPE)
+            | cell.rlike(fixed.INFINITY_SHAPE),
+            F.lit(fixed.REAL),
+        )
         .when(parse_date(cell).isNotNull(), F.lit(fixed.DATE))
         .otherwise(F.lit(fixed.TEXT))
     )
 
 
+def parsed_values(kind: Column | str, col: Column | str) -> dict[str, Column]:
+    """The cell as number or date, given its type: ``long_val, double_val, date_val``.
+
+    Each is NULL for cells of another type, and only tried for cells of its own.
+    """
+    kind, cell = _col(kind), _col(col)
+    number = F.trim(_blanks(cell)).try_cast("bigint")  # the shape is known
+    return {
+        "long_val": F.when(kind == fixed.INTEGER, number),
+        "double_val": F.when(kind == fixed.REAL, parse_double(cell)),
+        "date_val": F.when(kind == fixed.DATE, parse_date(cell)),
+    }
+
+
 def _blanks(cell: Column) -> Column:
     """Line ends and tabs around a number count as blanks."""
     return F.translate(cell, "\t\n\x0b\f\r", "     ")

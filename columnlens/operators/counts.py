@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .. import fixed_values as fixed
-from ..functions import is_empty, typed_cell
+from ..functions import cell_type, is_empty, parsed_values
 from .common import group_keys, is_text, quoted
 
 
@@ -187,8 +187,9 @@ def _typed(counted: DataFrame, kind: str, keys: Sequence[str]) -> DataFrame:
     """
     value, count = F.col("value"), F.col("cnt")
     if kind == "text":
-        typed = counted.withColumn("typed", F.when(count > 0, typed_cell("value")))
-        return typed.select(*keys, "column", "value", "typed.*", "cnt")
+        typed = counted.withColumn("value_type", F.when(count > 0, cell_type("value")))
+        parsed = [c.alias(n) for n, c in parsed_values("value_type", "value").items()]
+        return typed.select(*keys, "column", "value", "value_type", *parsed, "cnt")
     names = {"long": fixed.INTEGER, "double": fixed.REAL, "other": fixed.TEXT}
     label = names.get(kind, fixed.DATE)
     return counted.select(

@@ -7,7 +7,6 @@ import pytest
 
 import columnlens as cl
 from columnlens import fixed_values as fixed
-from columnlens.functions import typed_cell
 
 LADDER = [
     (None, None), ("", fixed.TEXT), ("-", fixed.TEXT), ("N/A", fixed.TEXT), ("0", fixed.INTEGER),
@@ -38,7 +37,7 @@ def test_parsed_values(spark, strings):
         "2-1-2019": (None, None, "2019-01-02"), "1/2/2019": (None, None, "2019-01-02"),
         "text": (None, None, None),
     }
-    frame = strings(list(cases)).select("value", typed_cell("value").alias("t")).select("value", "t.*")
+    frame = cl.typed_counts(strings(list(cases)))
     for r in frame.collect():
         date = None if r["date_val"] is None else str(r["date_val"])
         assert (r["long_val"], r["double_val"], date) == cases[r["value"]], r
