@@ -1,6 +1,6 @@
 """Headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``; prints one JSON line.
 
-Each query runs once to warm the JVM and then three times; the median counts.
+Each query runs once to warm the JVM and then twice; the median counts.
 The time covers planning, any job a query needs to plan itself, and reading the
 whole result (Spark's ``noop`` sink, so no rows travel to Python).
 """
@@ -31,7 +31,7 @@ def main() -> None:
 
     directory = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "2"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .config("spark.sql.shuffle.partitions", cpus)
