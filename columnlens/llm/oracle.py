@@ -14,6 +14,17 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+OP8 = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, url, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest FROM p),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+SELECT page_id, url, payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
 ORACLE_SQL = {
+    "op8_warc": OP8,
     "op10_chat_format": OP10,
 }

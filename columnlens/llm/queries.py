@@ -5,13 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import replies
+from . import replies, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives, and the records read back from them."""
+    path = warc.write_archive(warc.archive_records(table(spark, sf_dir, "pages"), "page_id", "url", "html"))
+    records = warc.read_archive(spark, path)
+    whole = F.col("record_type") == "response"
+    return records.select(
+        F.col("record_id").cast("long").alias("page_id"), F.col("target_uri").alias("url"),
+        F.when(whole, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("long").alias("payload_bytes"),
+        F.when(whole, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1 as formatted chats, read back from the format."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -33,5 +45,6 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op8_warc": op8_warc,
     "op10_chat_format": op10_chat_format,
 }
