@@ -85,13 +85,13 @@ def branches(messages: DataFrame, top: int | None = None) -> DataFrame:
     limit = level.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
     levels = []
     while (1 << len(levels)) <= limit and level.where("up is not null").limit(1).count():
-        levels.append(level.where("up is not null").select("tree", "node", "up"))
+        moving = level.where("up is not null")
+        levels.append(moving.select("tree", "node", "up"))
         above = _right(level, up2=F.col("up"), more=F.col("score"), far=F.col("steps"))
-        joined = level.join(above, _same(level, "up", above), "left")
-        level = saved(joined.select(
-            "tree", "node", F.col("up2").alias("up"),
-            (F.col("score") + F.coalesce("more", F.lit(0.0))).alias("score"),
-            (F.col("steps") + F.coalesce("far", F.lit(0))).alias("steps")), "jumps")
+        joined = moving.join(above, _same(moving, "up", above)).select(
+            "tree", "node", F.col("up2").alias("up"), (F.col("score") + F.col("more")).alias("score"),
+            (F.col("steps") + F.col("far")).alias("steps"))
+        level = saved(joined.union(level.where("up is null")), "jumps")
     rooted = level.where("up is null")
     parents = _right(up.select("tree", F.col("parent").alias("node")).distinct())
     leaves = rooted.join(parents, _same(rooted, "node", parents), "left_anti")
