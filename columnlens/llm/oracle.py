@@ -14,6 +14,33 @@ SELECT conv_id, count(*) AS n_turns,
 FROM rows GROUP BY conv_id
 """
 
+_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP5 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[i : i + least(len(w), 13) - 1], ' ') AS g
+  FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) t(i) WHERE len(w) > 0
+),
+lengths AS (SELECT DISTINCT n FROM bw),
+dw AS (
+  SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS g
+  FROM d, lengths, unnest(range(1, len(w) - n + 2)) t(i)
+),
+met AS (SELECT dw.r, dw.n, dw.i, bw.item_id FROM dw JOIN bw ON dw.n = bw.n AND dw.g = bw.g),
+hit AS (SELECT r, count(DISTINCT p) AS n_hit FROM met, unnest(range(i, i + n)) t(p) GROUP BY r),
+items AS (
+  SELECT r, count(DISTINCT item_id) AS n_items,
+    array_to_string(list_sort(list_distinct(list(CAST(item_id AS VARCHAR)))), ',') AS ids
+  FROM met GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
+
 OP8 = """
 WITH p AS (SELECT page_id, url, coalesce(html, '') AS html FROM pages),
 d AS (SELECT page_id, url, octet_length(encode(html)) AS payload_bytes, sha256(html) AS payload_digest FROM p),
@@ -25,6 +52,7 @@ FROM f
 """
 
 ORACLE_SQL = {
+    "op5_decontaminate": OP5,
     "op8_warc": OP8,
     "op10_chat_format": OP10,
 }
