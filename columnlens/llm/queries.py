@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, replies, toxicity, warc
+from . import decontaminate, language, replies, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    documents = table(spark, sf_dir, "documents")
+    model = language.fit(documents.select("doc_id", "text", "lang"))
+    return language.identified(documents.select("doc_id", "text"), model).select(
+        "doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred",
+        F.col("lang_score").alias("score"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page written to WARC archives, and the records read back from them."""
     path = warc.write_archive(warc.archive_records(table(spark, sf_dir, "pages"), "page_id", "url", "html"))
@@ -64,6 +73,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
+    "op7_language": op7_language,
     "op8_warc": op8_warc,
     "op10_chat_format": op10_chat_format,
 }
