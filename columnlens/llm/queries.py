@@ -2,16 +2,35 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, replies, toxicity, warc
+from . import decontaminate, language, replies, tokenids, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer file; the folder can be set by ``PUBLIC_TOKENIZERS``."""
+    folder = os.environ.get("PUBLIC_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids written to packed files, and read back from them."""
+    path = tokenids.write_ids(
+        table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), vocabulary=49_408, end=1)
+    return tokenids.read_ids(spark, path, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document judged against the whole benchmark."""
     judged = decontaminate.marked(
@@ -71,6 +90,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_token_ids": op3_token_ids,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
