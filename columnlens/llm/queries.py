@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, replies, tokenids, toxicity, warc
+from . import decontaminate, language, pieces, replies, tokenids, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,18 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", F.col("refers_to").cast("long").alias("refers_to"))
 
 
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded into pieces and decoded again."""
+    model = tokenizer_path("piece_bpe_32k.model")
+    rows = pieces.encoded(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    rows = pieces.decoded(rows, model)
+    return rows.select(
+        "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+        F.crc32(F.array_join("ids", ",").cast("binary")).alias("ids_crc32"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+        F.col("text").eqNullSafe(F.col("decoded")).alias("exact"))
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations and conversation -1 as formatted chats, read back from the format."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -95,5 +107,6 @@ QUERIES = {
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
     "op8_warc": op8_warc,
+    "op9_sentencepiece": op9_sentencepiece,
     "op10_chat_format": op10_chat_format,
 }

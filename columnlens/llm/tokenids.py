@@ -37,6 +37,7 @@ from pyspark.sql.datasource import (
 
 from . import files
 from .storage import new_folder, parts, range_bounds, range_of
+from .wordids import WordIds
 
 MAGIC = b"PKID0001"
 BLOCK_IDS = 1 << 17
@@ -263,50 +264,20 @@ class Encoder:
     def __init__(self, path: str, lower: bool = True, room: int = 1_000_000):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.lower, self.room = lower, room
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number = {"": 0}
-        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-
-    def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 20_000):
-            lot = words[i : i + 20_000]
-            for word, e in zip(lot, self.tokenizer.encode_batch_fast(lot, add_special_tokens=False)):
-                k, ids = len(self.number), e.ids
-                if k >= len(self.begin):
-                    self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.begin[k], self.size[k] = self.used, len(ids)
-                self.used += len(ids)
-                self.number[word] = k
+        tokenizer = Tokenizer.from_file(path)
+        self.lower = lower
+        self.words = WordIds(
+            lambda words: (e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)), room)
+
+    def _parted(self, t: str | None) -> list[str]:
+        t = t or ""
+        if self.lower and t.isascii() and "<|" not in t:
+            t = t.lower()
+        return _PUNCTUATION.sub(r" \1", t).replace("\n", " ").split(" ")
 
     def encode(self, texts: list, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each begins (and the end)."""
-        if len(self.number) > self.room:
-            self._forget()
-        words, counts = [], []
-        for t in texts:
-            t = t or ""
-            if self.lower and t.isascii() and "<|" not in t:
-                t = t.lower()
-            own = _PUNCTUATION.sub(r" \1", t).replace("\n", " ").split(" ")
-            words += own
-            counts.append(len(own))
-        fresh = set(words).difference(self.number)
-        if fresh:
-            self._learn(sorted(fresh))
-        codes = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        sizes = self.size[codes]
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        place = np.arange(at[-1]) + np.repeat(self.begin[codes] - at[:-1], sizes)
-        ids = self.flat[place]
-        bounds = at[np.concatenate([[0], np.cumsum(counts)])] if texts else at[:1]
+        ids, bounds = self.words.gather(map(self._parted, texts))
         if end is not None:
             ids = np.insert(ids, bounds[1:], end)
             bounds = bounds + np.arange(len(bounds))
