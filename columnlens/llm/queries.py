@@ -7,13 +7,18 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, pieces, replies, tokenids, toxicity, warc
+from . import decontaminate, fingerprints, language, pieces, replies, tokenids, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text."""
+    return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file; the folder can be set by ``PUBLIC_TOKENIZERS``."""
     folder = os.environ.get("PUBLIC_TOKENIZERS")
@@ -102,6 +107,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op3_token_ids": op3_token_ids,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,

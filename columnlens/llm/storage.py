@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,9 +52,16 @@ def range_bounds(df: DataFrame, key: str, count: int) -> list[int]:
 
 
 def range_of(key: str, bounds: list[int]) -> Column:
-    """Number of bounds at or below the key; 0 for null. A pure function of the key."""
+    """Number of bounds at or below the key; 0 for null. A pure function of the key.
+
+    Every k-th bound is looked at first, then the k after the last that is not above.
+    """
     if not bounds:
         return F.lit(0)
+    k = math.isqrt(len(bounds)) + 1
+    below = lambda b: b <= F.col(key)
     cuts = F.array(*[F.lit(b).cast("long") for b in bounds])
-    at = F.size(F.filter(cuts, lambda b: b <= F.col(key)))
+    coarse = F.array(*[F.lit(b).cast("long") for b in bounds[k - 1 :: k]])
+    first = F.size(F.filter(coarse, below)) * k
+    at = first + F.size(F.filter(F.slice(cuts, first + 1, F.lit(k)), below))
     return F.coalesce(F.when(F.col(key).isNotNull(), at), F.lit(0)).cast("int")
