@@ -16,6 +16,29 @@ FROM rows GROUP BY conv_id
 
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+#: Sets of five-word runs, links of likeness 0.8, and groups of linked documents.
+JACCARD = f"""
+words AS (SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
+runs AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + least(len(w), 5) - 1], ' ') AS g
+  FROM words, unnest(range(1, greatest(len(w) - 4, 1) + 1)) t(i) WHERE len(w) > 0
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM runs GROUP BY doc_id),
+sets AS (SELECT doc_id, md5(string_agg(g, '|' ORDER BY g)) AS s FROM runs GROUP BY doc_id),
+classes AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS class_id FROM sets),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM runs a JOIN runs b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM shared JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id WHERE 5 * shared.n >= 4 * (x.n + y.n - shared.n)),
+reached(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+groups AS (SELECT a AS doc_id, min(b) AS group_id FROM reached GROUP BY a)
+"""
+
+OP2 = f"""
+WITH RECURSIVE {JACCARD}
+SELECT doc_id, coalesce(class_id, doc_id) AS class_id, group_id,
+  (SELECT count(*) FROM links WHERE a = doc_id) AS n_links
+FROM documents LEFT JOIN classes USING (doc_id) JOIN groups USING (doc_id)
+"""
+
 OP5 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
@@ -52,6 +75,7 @@ FROM f
 """
 
 ORACLE_SQL = {
+    "op2_jaccard_join": OP2,
     "op5_decontaminate": OP5,
     "op8_warc": OP8,
     "op10_chat_format": OP10,

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, language, pieces, replies, tokenids, toxicity, warc
+from . import decontaminate, fingerprints, forest, language, pieces, replies, tokenids, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of equal sets, group of linked documents and number of links."""
+    return forest.joined(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public tokenizer file; the folder can be set by ``PUBLIC_TOKENIZERS``."""
     folder = os.environ.get("PUBLIC_TOKENIZERS")
@@ -108,6 +113,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_token_ids": op3_token_ids,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
