@@ -17,7 +17,7 @@ m * m / 2 comparisons within tasks, while what is sent is m * m / BLOCK sets and
 counts per block.
 
 Result: one row per document with its class, group (smallest document of the connected
-links) and number of links to other documents, equal sets included.
+links), number of links to other documents, equal sets included, and number of its rows.
 
 Defined results. Null text and a text without words: no links, a group of its own.
 Repeated rows are one document; of several texts under one id, that with the smallest
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import parts, saved
+from .storage import parts, saved, sent_if_small
 from .textops import Permutations, Words, buffers, shingles, slices
 
 WIDTH = 5
@@ -191,8 +191,10 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", tre
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
     made = rows.mapInArrow(_labels(length, trees, depth), "doc_id long, digest binary, size int, prefixes array<long>")
     labelled = saved(
-        made.groupBy("doc_id").agg(F.min(F.struct("digest", "size", "prefixes")).alias("m")).select("doc_id", "m.*"), "labels")
-    members = labelled.select("doc_id", "digest")
+        made.groupBy("doc_id")
+        .agg(F.min(F.struct("digest", "size", "prefixes")).alias("m"), F.count("*").alias("n_rows"))
+        .select("doc_id", "n_rows", "m.*"), "labels")
+    members = labelled.select("doc_id", "n_rows", "digest")
     classes = saved(
         labelled.where("digest is not null").groupBy("digest")
         .agg(F.min("doc_id").alias("class"), F.count("*").alias("members"),
@@ -209,7 +211,8 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", tre
         F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     placed = placed.withColumn("block", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
     placed = saved(placed.join(classes.select("class", "digest", "members"), "class"), "placed")
-    sets = rows.join(placed, rows.doc_id == placed["class"]).select(
+    near = sent_if_small(placed)  # most texts are nobody's near copy: they need not move
+    sets = rows.join(near, rows.doc_id == near["class"]).select(
         "class", "digest", "component", "members", "block", "blocks", "text")
     sets = sets.mapInArrow(
         _sets, "class long, component long, members long, block int, blocks int, shingles array<long>")
@@ -234,4 +237,21 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", tre
     )
     return members.join(found, "digest", "left").select(
         "doc_id", F.coalesce("class", "doc_id").alias("class_id"),
-        F.coalesce("group_id", "doc_id").alias("group_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+        F.coalesce("group_id", "doc_id").alias("group_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), "n_rows")
+
+
+def one_of_each_group(documents: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``documents`` without all but the smallest id of each group. Of several rows under one
+    id the smallest stays; rows without an id stay all."""
+    found = saved(joined(documents, doc_id, text), "groups")
+    gone = sent_if_small(saved(found.where("doc_id <> group_id").select("doc_id"), "gone"))
+    kept = documents.join(gone, documents[doc_id] == gone.doc_id, "left_anti")
+    repeated = saved(found.where("n_rows > 1 and doc_id = group_id").select("doc_id"), "repeated")
+    if not repeated.limit(1).count():
+        return kept
+    mark = sent_if_small(repeated)
+    single = kept.join(mark, kept[doc_id] == mark.doc_id, "left_anti")
+    several = kept.join(mark, kept[doc_id] == mark.doc_id, "left_semi")
+    whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
+    return single.unionByName(several.groupBy(doc_id).agg(F.min(whole).alias("_row")).select("_row.*"))

@@ -21,7 +21,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's class of equal sets, group of linked documents and number of links."""
-    return forest.joined(table(spark, sf_dir, "documents"))
+    return forest.joined(table(spark, sf_dir, "documents")).drop("n_rows")
 
 
 def tokenizer_path(name: str) -> str:

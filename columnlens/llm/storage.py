@@ -65,3 +65,13 @@ def range_of(key: str, bounds: list[int]) -> Column:
     first = F.size(F.filter(coarse, below)) * k
     at = first + F.size(F.filter(F.slice(cuts, first + 1, F.lit(k)), below))
     return F.coalesce(F.when(F.col(key).isNotNull(), at), F.lit(0)).cast("int")
+
+
+#: Rows of a few numbers that are sent to every executor at most: about 64 MB.
+SENT_ROWS = 1_000_000
+
+
+def sent_if_small(df: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
+    """``df`` marked for broadcast if it was counted and has up to ``rows`` rows of ids; beyond
+    that as it is, for a join by shuffle. ``df`` should be saved, as it is read twice."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
