@@ -63,9 +63,15 @@ class Table:
         self.longest = max(map(len, self.pieces))
         self.unknown = min(score for _, score in self.pieces.values()) - UNKNOWN
         self.begins = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
+        self.pairs = {pair for p in self.pieces for pair in zip(p, p[1:])}
         #: no piece goes on after a line feed or from a letter to white space
         self.parted = not any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.pieces)
 
+    def parts(self, run: str) -> list[str]:
+        """The run cut wherever no piece has the two characters side by side."""
+        cuts = [i for i, pair in enumerate(zip(run, run[1:]), 1) if pair not in self.pairs]
+        return [run[a:b] for a, b in zip([0, *cuts], [*cuts, len(run)])]
+
     def unknown_ids(self, char: str) -> list[int]:
         return [self.byte_id[b] for b in (SPACE if char == LITERAL else char).encode()]
 
@@ -178,7 +184,8 @@ class Encoder:
     def __init__(self, path: str, room: int = 1_000_000):
         self.table = table = Table(path)
         self.words = WordIds(
-            lambda runs: (_short(table, r) if len(r) <= SHORT else list(streamed(table, r)) for r in runs), room)
+            lambda runs: (_short(table, r) if len(r) <= SHORT else list(streamed(table, r)) for r in runs),
+            table.parts, room)
 
     def _runs(self, text: str | None) -> list[str]:
         """The text, white space marked, parted where every path has a boundary."""

@@ -248,7 +248,7 @@ def find(path: str, doc_id: int) -> np.ndarray | None:
     return None
 
 
-_PUNCTUATION = re.compile(r"(?<=[^\W\d_])([.,!?]+)(?=[ \n]|\Z)")
+_PUNCTUATION = re.compile(r"(?<=[^\W\d_])[.,!?]+\Z")
 _encoders: dict = {}
 
 
@@ -256,9 +256,9 @@ class Encoder:
     """Ids of texts with a tokenizer that drops white space and never joins words over it.
 
     Words are encoded once and kept, up to ``room`` of them. Texts are parted only where
-    the tokenizer parts them as well: at spaces and line feeds, and before ``.,!?`` between
-    a letter and one of these or the end. ASCII text is put into lower case first if the
-    tokenizer does so anyway (``lower``) and no special token can be in it.
+    the tokenizer parts them as well: at spaces and line feeds, and before a run of ``.,!?``
+    that follows a letter and ends the word. ASCII words are put into lower case first if
+    the tokenizer does so anyway (``lower``) and no special token can be in them.
     """
 
     def __init__(self, path: str, lower: bool = True, room: int = 1_000_000):
@@ -267,17 +267,18 @@ class Encoder:
         tokenizer = Tokenizer.from_file(path)
         self.lower = lower
         self.words = WordIds(
-            lambda words: (e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)), room)
+            lambda words: (e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)),
+            self._parts, room)
 
-    def _parted(self, t: str | None) -> list[str]:
-        t = t or ""
-        if self.lower and t.isascii() and "<|" not in t:
-            t = t.lower()
-        return _PUNCTUATION.sub(r" \1", t).replace("\n", " ").split(" ")
+    def _parts(self, word: str) -> list[str]:
+        if self.lower and word.isascii() and "<|" not in word:
+            word = word.lower()
+        end = _PUNCTUATION.search(word)
+        return [word[: end.start()], end.group()] if end else [word]
 
     def encode(self, texts: list, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each begins (and the end)."""
-        ids, bounds = self.words.gather(map(self._parted, texts))
+        ids, bounds = self.words.gather((t or "").replace("\n", " ").split(" ") for t in texts)
         if end is not None:
             ids = np.insert(ids, bounds[1:], end)
             bounds = bounds + np.arange(len(bounds))

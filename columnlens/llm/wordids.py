@@ -10,11 +10,13 @@ import numpy as np
 class WordIds:
     """Keeps the ids of up to about ``room`` words; beyond that it starts anew.
 
-    ``encode`` gives the ids of each of a list of words. The empty word has none.
+    ``split`` parts a word into one or more that are encoded apart; ``encode`` gives the ids
+    of each of a list of such parts. The empty word has none.
     """
 
-    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]], room: int = 1_000_000):
-        self.encode, self.room = encode, room
+    def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]],
+                 split: Callable[[str], list[str]], room: int = 1_000_000):
+        self.encode, self.split, self.room = encode, split, room
         self._forget()
 
     def _forget(self) -> None:
@@ -22,19 +24,31 @@ class WordIds:
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
 
+    def _keep(self, word: str, ids) -> None:
+        k = len(self.number)
+        if k >= len(self.begin):
+            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.begin[k], self.size[k] = self.used, len(ids)
+        self.used += len(ids)
+        self.number[word] = k
+
+    def _ids(self, word: str) -> np.ndarray:
+        k = self.number[word]
+        return self.flat[self.begin[k] : self.begin[k] + self.size[k]]
+
     def _learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), 20_000):
-            lot = words[i : i + 20_000]
-            for word, ids in zip(lot, self.encode(lot)):
-                k = len(self.number)
-                if k >= len(self.begin):
-                    self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
-                while self.used + len(ids) > len(self.flat):
-                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-                self.flat[self.used : self.used + len(ids)] = ids
-                self.begin[k], self.size[k] = self.used, len(ids)
-                self.used += len(ids)
-                self.number[word] = k
+        parted = {w: self.split(w) for w in words}
+        fresh = sorted({x for own in parted.values() for x in own}.difference(self.number))
+        for i in range(0, len(fresh), 20_000):
+            lot = fresh[i : i + 20_000]
+            for part, ids in zip(lot, self.encode(lot)):
+                self._keep(part, ids)
+        for word, own in parted.items():
+            if word not in self.number:
+                self._keep(word, np.concatenate([self._ids(x) for x in own]))
 
     def gather(self, texts: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each given as its words, and where each text begins (and the end)."""
