@@ -39,6 +39,15 @@ SELECT doc_id, coalesce(class_id, doc_id) AS class_id, group_id,
 FROM documents LEFT JOIN classes USING (doc_id) JOIN groups USING (doc_id)
 """
 
+#: The given pages hold their main text in one article of h1, p, b and br.
+OP4 = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS t FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(t, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS t FROM a),
+c AS (SELECT page_id, url, regexp_replace(regexp_replace(regexp_replace(t, '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&amp;?', '&', 'g') AS t FROM b),
+d AS (SELECT page_id, url, trim(regexp_replace(t, '\s+', ' ', 'g')) AS text FROM c)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM d
+"""
+
 OP5 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents),
 b AS (SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark),
@@ -76,6 +85,7 @@ FROM f
 
 ORACLE_SQL = {
     "op2_jaccard_join": OP2,
+    "op4_main_text": OP4,
     "op5_decontaminate": OP5,
     "op8_warc": OP8,
     "op10_chat_format": OP10,

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, forest, language, pieces, replies, tokenids, toxicity, warc
+from . import decontaminate, fingerprints, forest, language, pieces, replies, tokenids, toxicity, warc, wrappers
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,12 @@ def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenids.read_ids(spark, path, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by its host's wrapper."""
+    return wrappers.extracted(table(spark, sf_dir, "pages")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document judged against the whole benchmark."""
     judged = decontaminate.marked(
@@ -115,6 +121,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_token_ids": op3_token_ids,
+    "op4_main_text": op4_main_text,
     "op5_decontaminate": op5_decontaminate,
     "op6_toxicity": op6_toxicity,
     "op7_language": op7_language,
