@@ -12,13 +12,10 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))  # tests only
     )
     session = builder.getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
-    if session.conf.get("spark.checkpoint.dir", None) is None:  # tests only
-        folder = str(tmp_path_factory.mktemp("checkpoints"))
-        session.conf.set("spark.checkpoint.dir", folder)
-        session.sparkContext.setCheckpointDir(folder)
     yield session
     session.stop()
 
