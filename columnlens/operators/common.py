@@ -32,15 +32,17 @@ def is_text(kind: T.DataType) -> bool:
     return isinstance(kind, (T.StringType, T.CharType, T.VarcharType))
 
 
-def broadcast_if_small(table: DataFrame, size: tuple[int, int] | None = None) -> DataFrame:
+def broadcast_if_small(
+    table: DataFrame, size: tuple[int, int] | None = None, limit: int = BROADCAST_ROWS
+) -> DataFrame:
     """Mark ``table`` for broadcast if its measured size allows it.
 
-    Over the limit it is returned unmarked, and Spark joins by shuffle.
+    Over ``limit`` rows it is joined by shuffle.
     """
     rows, octets = size or measured(table)
-    if rows <= BROADCAST_ROWS and octets <= BROADCAST_BYTES:
+    if rows <= limit and octets <= BROADCAST_BYTES:
         return F.broadcast(table)
-    return table
+    return table.hint("merge")
 
 
 def measured(table: DataFrame) -> tuple[int, int]:

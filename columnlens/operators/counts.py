@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -40,7 +40,10 @@ def count_cells(cells: DataFrame) -> DataFrame:
 
 
 def typed_counts(
-    df: DataFrame, columns: Sequence[str] | None = None, keys: Sequence[str] = ()
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    keys: Sequence[str] = (),
+    types: Iterable[str] | None = None,
 ) -> DataFrame:
     """Value counts with the type and the parsed value of each distinct value.
 
@@ -48,9 +51,12 @@ def typed_counts(
     Text is classified by what is written; a column that is already a number or
     a date keeps its type and is counted as such, so a column-oriented source
     reads each column once and the shuffle carries numbers, not their text.
+    Decimals, instants and nested values are counted by their exact value and
+    converted after the count.  ``types`` leaves out columns whose kind cannot
+    give a value of these types; text columns always may.
     """
     names = _columns(df, columns, keys)
-    return _typed_union([(df, names, {})], list(keys))
+    return _typed_union([(df, names, {})], list(keys), types)
 
 
 def corpus_counts(
@@ -121,10 +127,30 @@ _KINDS = {
     "text": "string",
     "long": "bigint",
     "double": "double",
+    "decimal": "string",  # exact at any precision; a column has one scale
     "date": "date",
+    "instant": "timestamp",  # two instants may have one local time
     "timestamp": "timestamp_ntz",
+    "nested": "string",  # as JSON, which tells nested values apart
     "other": "string",
 }
+# kinds that can give values of a type
+_GIVES = {
+    fixed.INTEGER: ("text", "long"),
+    fixed.REAL: ("text", "double", "decimal"),
+    fixed.DATE: ("text", "date", "instant", "timestamp"),
+    fixed.TEXT: ("text", "nested", "other"),
+}
+
+
+def _cell(name: str, data_type: T.DataType, cast: str) -> Column:
+    """A cell as it is counted: different values stay different."""
+    cell = F.col(quoted(name))
+    if _kind(data_type) == "nested":
+        return F.to_json(cell, {"ignoreNullFields": "false"})
+    if isinstance(data_type, T.BinaryType):
+        return F.hex(cell)
+    return cell.cast(cast)
 
 
 def _kind(data_type: T.DataType) -> str:
@@ -132,12 +158,18 @@ def _kind(data_type: T.DataType) -> str:
         return "text"
     if isinstance(data_type, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.BooleanType)):
         return "long"
-    if isinstance(data_type, (T.FloatType, T.DoubleType, T.DecimalType)):
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
         return "double"
+    if isinstance(data_type, T.DecimalType):
+        return "decimal"
     if isinstance(data_type, T.DateType):
         return "date"
-    if isinstance(data_type, (T.TimestampType, T.TimestampNTZType)):
+    if isinstance(data_type, T.TimestampType):
+        return "instant"
+    if isinstance(data_type, T.TimestampNTZType):
         return "timestamp"
+    if isinstance(data_type, (T.ArrayType, T.StructType, T.MapType)):
+        return "nested"
     return "other"
 
 
@@ -148,15 +180,22 @@ def _columns(df: DataFrame, columns: Sequence[str] | None, keys: Sequence[str])
     return names
 
 
-def _typed_union(tables: list[tuple], keys: list[str]) -> DataFrame:
+def _typed_union(
+    tables: list[tuple], keys: list[str], types: Iterable[str] | None = None
+) -> DataFrame:
     """Count the cells of ``(table, columns, constant keys)`` kind by kind."""
     parts = []
+    kinds = set(_KINDS) if types is None else {k for t in types for k in _GIVES[t]}
+    if not any(_kind(t.schema[c].dataType) in kinds for t, names, _ in tables for c in names):
+        kinds = set(_KINDS)  # nothing fits: all columns, none of whose values has the type
     for kind, cast in _KINDS.items():
+        if kind not in kinds:
+            continue
         cells = []
         for table, names, constants in tables:
             of_kind = [c for c in names if _kind(table.schema[c].dataType) == kind]
             if of_kind:
-                casts = {c: F.col(quoted(c)).cast(cast) for c in of_kind}
+                casts = {c: _cell(c, table.schema[c].dataType, cast) for c in of_kind}
                 own_keys = [k for k in keys if k not in constants]
                 cells.append(_long(table, of_kind, own_keys, casts, constants))
         if cells:
@@ -190,15 +229,14 @@ def _typed(counted: DataFrame, kind: str, keys: Sequence[str]) -> DataFrame:
         typed = counted.withColumn("value_type", F.when(count > 0, cell_type("value")))
         parsed = [c.alias(n) for n, c in parsed_values("value_type", "value").items()]
         return typed.select(*keys, "column", "value", "value_type", *parsed, "cnt")
-    names = {"long": fixed.INTEGER, "double": fixed.REAL, "other": fixed.TEXT}
-    label = names.get(kind, fixed.DATE)
+    label = next(t for t, kinds in _GIVES.items() if kind in kinds)
     return counted.select(
         *keys,
         "column",
         value.cast("string").alias("value"),
         F.when(F.when(value.isNotNull(), count) > 0, F.lit(label)).alias("value_type"),
         (value if kind == "long" else F.lit(None)).cast("bigint").alias("long_val"),
-        (value if kind == "double" else F.lit(None)).cast("double").alias("double_val"),
-        (value if kind in ("date", "timestamp") else F.lit(None)).cast("date").alias("date_val"),
+        (value if kind in ("double", "decimal") else F.lit(None)).cast("double").alias("double_val"),
+        (value if label == fixed.DATE else F.lit(None)).cast("date").alias("date_val"),
         "cnt",
     )

@@ -7,8 +7,15 @@ The search goes by width.  What one width teaches prunes the next:
   so a product below the row count rules the set out;
 * if the most frequent value of one column occurs more often than the rest of
   the set has value combinations, two of those rows are equal;
-* two equal rows among any rows of the table rule the set out, so a large table
-  first looks for them among a million of its rows.
+* two equal rows among any rows of the table rule the set out.  A large table
+  first looks for them in a slice of the hash of the set, which holds all rows
+  that are equal, so repeats show up in proportion;
+* if all columns that are no keys themselves repeat a row together, no set of
+  them is a key, and the search ends.
+
+Sets of a width are put together from the open sets of the width before, so no
+superset of a key is ever listed.  The search goes on to the full width unless
+``max_width`` ends it; its number of sets can grow as 2^n, as the task itself does.
 
 Only sets that survive are counted, exactly and over all rows, a few per job.  The driver sees
 one row of counts per job and never a row of the table.
@@ -18,14 +25,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from itertools import combinations
 from math import prod
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import quoted
-from .counts import typed_counts
 
 SETS_PER_JOB = 8
 PROBE_ROWS = 1_000_000
@@ -34,95 +40,155 @@ PROBE_ROWS = 1_000_000
 def key_candidates(
     df: DataFrame,
     columns: Sequence[str] | None = None,
-    max_width: int | None = 3,
+    max_width: int | None = None,
     all_superkeys: bool = False,
+    probe_rows: int = PROBE_ROWS,
 ) -> DataFrame:
     """Column sets without a duplicate row: ``key, width, minimal``.
 
-    Minimal keys by default; ``all_superkeys`` adds every wider set up to
-    ``max_width``.  ``max_width=None`` searches all subsets.
+    All minimal keys, or those of up to ``max_width`` columns; ``all_superkeys``
+    adds every wider set that holds one.  A table of more than ten times
+    ``probe_rows`` rows is probed for repeats before a set is counted.
     """
     names = list(columns) if columns is not None else df.columns
     widest = len(names) if max_width is None else min(max_width, len(names))
-    found = _search(df, names, widest)
-    rows = [(list(s), len(s), True) for s in found]
-    if all_superkeys:
-        rows = [
-            (list(s), len(s), s in found)
-            for width in range(1, widest + 1)
-            for s in combinations(names, width)
-            if any(set(key) <= set(s) for key in found)
-        ]
-    return df.sparkSession.createDataFrame(
-        rows, "key array<string>, width int, minimal boolean"
+    found = _search(df, names, widest, probe_rows)
+    keys = df.sparkSession.createDataFrame(
+        [(list(s), len(s), True) for s in found], "key array<string>, width int, minimal boolean"
     )
+    return _with_supersets(keys, names, widest) if all_superkeys and found else keys
+
 
+def _with_supersets(keys: DataFrame, names: list[str], widest: int) -> DataFrame:
+    """Every set of up to ``widest`` columns that holds a key, made from the keys.
+
+    Each round adds one column to all sets of the round before; sets are in the
+    order of ``names``, so a set reached by several ways is one row.
+    """
+    whole = F.array(*[F.lit(c) for c in names])
+    level, found = keys, keys
+    for width in range(1, widest):
+        more = (
+            level.filter(F.col("width") == width)
+            .withColumn("added", F.explode(F.array_except(whole, F.col("key"))))
+            .select(
+                F.filter(whole, lambda c: F.array_contains("key", c) | (c == F.col("added"))).alias("key"),
+                F.lit(width + 1).alias("width"),
+                F.lit(False).alias("minimal"),
+            )
+            .distinct()
+        )
+        level = more.unionByName(keys.filter(F.col("width") == width + 1))
+        found = found.unionByName(more)
+    return found
 
-def _search(df: DataFrame, names: list[str], widest: int) -> list[tuple[str, ...]]:
+
+def _search(df: DataFrame, names: list[str], widest: int, probe_rows: int) -> list[tuple[str, ...]]:
     total, single = _single_columns(df, names)
     if total == 0:  # no rows, no duplicates: every column is a key
         return [(c,) for c in names]
     distinct = {(c,): single[c][0] for c in names}
     top = {c: single[c][1] for c in names}
     keys = [(c,) for c in names if distinct[(c,)] == total]
-
-    probe = None
-    if total > 10 * PROBE_ROWS and widest > 1:
-        probe = df.select(*[F.col(quoted(c)) for c in names]).sample(PROBE_ROWS / total, 42)
-        probe = probe.persist()
+    rest = [c for c in names if (c,) not in keys]
+    if widest < 2 or len(rest) < 2:
+        return keys
+    whole = tuple(rest)
+    if not _possible(whole, total, distinct, top) or _distinct(df, [whole])[0] < total:
+        return keys
+
+    slices = total // probe_rows if total > 10 * probe_rows else 1
+    order = {c: i for i, c in enumerate(names)}
+    open_sets = [(c,) for c in rest]
     for width in range(2, widest + 1):
-        open_sets = [
-            s
-            for s in combinations([c for c in names if (c,) not in keys], width)
-            if not any(set(key) <= set(s) for key in keys)
-            and _possible(s, total, distinct, top)
-        ]
-        if probe is not None:
-            open_sets = [s for b in _batches(open_sets) for s in _without_repeat(probe, b)]
-        for batch in _batches(open_sets):
+        wider = _wider(open_sets, order)
+        candidates = [s for s in wider if _possible(s, total, distinct, top)]
+        if slices > 1:
+            candidates = [
+                s for b in _batches(candidates) for s in _without_repeat(df, b, slices)
+            ]
+        for batch in _batches(candidates):
             distinct.update(zip(batch, _distinct(df, batch)))
-        keys += [s for s in open_sets if distinct[s] == total]
-    if probe is not None:
-        probe.unpersist()
+        found = {s for s in candidates if distinct[s] == total}
+        keys += [s for s in candidates if s in found]
+        open_sets = [s for s in wider if s not in found]
+        if not open_sets:
+            break
     return keys
 
 
+def _wider(sets: list[tuple[str, ...]], order: dict[str, int]) -> list[tuple[str, ...]]:
+    """Sets one wider, all of whose parts one narrower are among ``sets``."""
+    known, groups = set(sets), {}
+    for s in sets:
+        groups.setdefault(s[:-1], []).append(s[-1])
+    wider = []
+    for begin, ends in groups.items():
+        ends.sort(key=order.__getitem__)
+        for i, a in enumerate(ends):
+            for b in ends[i + 1 :]:
+                s = (*begin, a, b)
+                if all(s[:j] + s[j + 1 :] in known for j in range(len(s) - 2)):
+                    wider.append(s)
+    return wider
+
+
+def _exact(df: DataFrame, name: str) -> Column:
+    """The column as a value that can be grouped: maps cannot, their entries can."""
+    column = F.col(quoted(name))
+    if isinstance(df.schema[name].dataType, T.MapType):
+        return F.array_sort(F.map_entries(column)).alias(name)
+    return column
+
+
 def _batches(sets: list) -> list[list]:
     return [sets[i : i + SETS_PER_JOB] for i in range(0, len(sets), SETS_PER_JOB)]
 
 
-def _without_repeat(probe: DataFrame, sets: Sequence[tuple]) -> list[tuple]:
-    """Those of ``sets`` that show no two equal rows in ``probe``.
+def _without_repeat(df: DataFrame, sets: Sequence[tuple], slices: int) -> list[tuple]:
+    """Those of ``sets`` that show no two equal rows in one of ``slices`` slices.
 
-    Rows and repeats come from one pass, so the answer holds for whatever rows
-    that pass saw.
+    The slice is a hash of the set itself: equal rows are in it together or not
+    at all.  What is left after it has one part in ``slices`` of the rows.
     """
-    repeats = [
-        probe.groupBy(*[F.col(quoted(c)) for c in s])
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .agg(F.max("rows").alias("most"))
-        .withColumn("number", F.lit(i))
-        for i, s in enumerate(sets)
-    ]
+    repeats = []
+    for i, s in enumerate(sets):
+        columns = df.select(*[_exact(df, c) for c in s])
+        part = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in s]), F.lit(slices)) == 0
+        repeats.append(
+            columns.filter(part)
+            .groupBy(*[F.col(quoted(c)) for c in s])
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .agg(F.max("rows").alias("most"))
+            .withColumn("number", F.lit(i))
+        )
     rows = reduce(DataFrame.unionByName, repeats).collect()  # one row per set
     return [sets[r["number"]] for r in rows if (r["most"] or 0) <= 1]
 
 
 def _single_columns(df: DataFrame, names: list[str]) -> tuple[int, dict]:
-    """Row count, and per column its distinct values and its top count."""
-    rows = (
-        typed_counts(df, names)
-        .groupBy("column")
+    """Row count, and per column its distinct values and its top count.
+
+    Values are grouped in their own type, a column at a time.
+    """
+    counted = [
+        df.select(_exact(df, c))
+        .groupBy(F.col(quoted(c)))
+        .agg(F.count(F.lit(1)).alias("cnt"))
         .agg(
             F.count(F.lit(1)).alias("distinct"),
             F.max("cnt").alias("top"),
             F.sum("cnt").alias("total"),
         )
-        .collect()  # one row per column
-    )
-    per_column = {r["column"]: (r["distinct"], r["top"]) for r in rows}
-    total = rows[0]["total"] if rows else 0
-    return total, {c: per_column.get(c, (0, 0)) for c in names}
+        .withColumn("number", F.lit(i))
+        for i, c in enumerate(names)
+    ]
+    found, total = {}, 0
+    for batch in _batches(counted):
+        for r in reduce(DataFrame.unionByName, batch).collect():  # one row per column
+            found[names[r["number"]]] = (r["distinct"], r["top"] or 0)
+            total = r["total"] or 0
+    return total, found
 
 
 def _possible(s: tuple, total: int, distinct: dict, top: dict) -> bool:
@@ -149,7 +215,7 @@ def _distinct(df: DataFrame, sets: Sequence[tuple]) -> list[int]:
     first if it is large.
     """
     counts = [
-        df.select(*[F.col(quoted(c)) for c in s])
+        df.select(*[_exact(df, c) for c in s])
         .distinct()
         .agg(F.count(F.lit(1)).alias("distinct"))
         .withColumn("number", F.lit(i))

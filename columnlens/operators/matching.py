@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions import similarity_reach
-from .common import BROADCAST_BYTES, broadcast_if_small
+from .common import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small
 
 # Up to this many terms a value is compared with all terms of similar length;
 # beyond, only with those that share a piece with it.
@@ -29,21 +29,33 @@ CONTAINS_SCAN_BYTES = 64 * 1024
 _STEM_WIDTHS = (1, 2, 4, 8, 16, 32)
 
 
-def exact_match(values: DataFrame, dictionary: DataFrame, on: str = "value") -> DataFrame:
-    """Values that are a term."""
+def exact_match(
+    values: DataFrame,
+    dictionary: DataFrame,
+    on: str = "value",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Values that are a term.  Over ``broadcast_rows`` terms both sides are shuffled."""
     terms = dictionary.select("label", "term").distinct()
-    small = broadcast_if_small(terms)
+    small = broadcast_if_small(terms, limit=broadcast_rows)
     return values.join(small, F.col(on) == F.col("term"))
 
 
-def contains_match(values: DataFrame, dictionary: DataFrame, on: str = "value") -> DataFrame:
+def contains_match(
+    values: DataFrame,
+    dictionary: DataFrame,
+    on: str = "value",
+    scan_terms: int = CONTAINS_SCAN_TERMS,
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Values with a term anywhere inside, each (value, term) once.
 
-    A short dictionary is tested in place, term by term.  For a longer one each
+    A dictionary of up to ``scan_terms`` is tested in place, term by term.  For a longer one each
     text lists what begins at each of its positions, 1, 2, 4, 8... characters
     wide, and a term meets the texts that list its own beginning, as wide as it
     has characters for; then the whole term is looked for.  Texts are examined
-    whole, and travel as a digest until a term has met them.
+    whole, and travel as a 64-bit hash until a term has met them; the last test is
+    on the text itself, so equal hashes of two texts change nothing.
     """
     terms = dictionary.select("label", "term").filter(F.length("term") > 0).distinct()
     bounds = terms.agg(
@@ -53,7 +65,7 @@ def contains_match(values: DataFrame, dictionary: DataFrame, on: str = "value")
         F.coalesce(F.sum(F.octet_length("term")), F.lit(0)).alias("octets"),
     ).first()
     text = F.col(on)
-    if bounds["rows"] <= CONTAINS_SCAN_TERMS and bounds["octets"] <= CONTAINS_SCAN_BYTES:
+    if bounds["rows"] <= scan_terms and bounds["octets"] <= CONTAINS_SCAN_BYTES:
         listed = [r.asDict() for r in terms.collect()]  # bounded above
         entries = F.from_json(
             F.lit(json.dumps(listed)), "array<struct<label: string, term: string>>"
@@ -68,19 +80,19 @@ def contains_match(values: DataFrame, dictionary: DataFrame, on: str = "value")
     ]
     width = F.greatest(*[F.when(F.length("term") >= w, w).otherwise(0) for w in (0, *widths)])
     stems = terms.withColumn("stem", F.substring("term", F.lit(1), width))
-    small = broadcast_if_small(stems, (bounds["rows"], bounds["octets"]))
+    small = broadcast_if_small(stems, (bounds["rows"], bounds["octets"]), broadcast_rows)
     listed = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)) for w in widths]
     hits = (
         values.select(on)
         .distinct()
-        .withColumn("digest", F.sha2(text, 256))  # once per text, before it is cut
+        .withColumn("digest", F.xxhash64(text))  # once per text, before it is cut
         .select("digest", F.explode(F.array_distinct(F.concat(*listed))).alias("stem"))
         .join(small, "stem")
         .select("digest", "label", "term")
         .distinct()
     )
     return (
-        values.withColumn("digest", F.sha2(text, 256))
+        values.withColumn("digest", F.xxhash64(text))
         .join(hits, "digest")
         .filter(F.contains(text, F.col("term")))
         .select(*values.columns, "label", "term")
@@ -92,11 +104,15 @@ def fuzzy_match(
     dictionary: DataFrame,
     threshold: float = fixed.SIMILARITY,
     on: str = "value",
+    scan_terms: int | None = None,
 ) -> DataFrame:
-    """Values whose edit similarity to a term is at least ``threshold``."""
+    """Values whose edit similarity to a term is at least ``threshold``.
+
+    Up to ``scan_terms`` terms travel to the values; beyond, both sides meet on pieces.
+    """
     terms = dictionary.select("label", "term").filter(F.length("term") > 0).distinct()
     size = terms.agg(*fuzzy_size(threshold)).first()
-    if scan_fuzzy(size["rows"], size["octets"]):
+    if scan_fuzzy(size["rows"], size["octets"], scan_terms):
         table = terms_by_length(terms, threshold, ["label"])
         joined = values.join(
             F.broadcast(table), F.length(on) == F.col("value_length")
@@ -119,9 +135,9 @@ def fuzzy_size(threshold: float) -> list[Column]:
     ]
 
 
-def scan_fuzzy(rows: int, octets: int) -> bool:
+def scan_fuzzy(rows: int, octets: int, limit: int | None = None) -> bool:
     """Whether a dictionary is small enough to travel to the values by length."""
-    return rows <= FUZZY_SCAN_TERMS and octets <= BROADCAST_BYTES
+    return rows <= (FUZZY_SCAN_TERMS if limit is None else limit) and octets <= BROADCAST_BYTES
 
 
 def terms_by_length(terms: DataFrame, threshold: float, carried: list[str]) -> DataFrame:

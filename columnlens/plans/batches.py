@@ -61,4 +61,4 @@ def _attempt(work: Callable, opened: dict) -> list[tuple]:
 
 def _set_aside(idx: int, item: tuple, error: Exception) -> tuple:
     column = item[1] if len(item) > 1 else None
-    return idx, item[0], column, f"{type(error).__name__}: {error}"[:500]
+    return idx, item[0], column, f"{type(error).__name__}: {error}"

@@ -84,7 +84,7 @@ def find_keys(
     out: str,
     directory: str | None = None,
     reader: Reader = read_table,
-    max_width: int | None = 3,
+    max_width: int | None = None,
     all_superkeys: bool = False,
 ) -> DataFrame:
     """Key candidates of all datasets of a catalog; returns what failed."""
@@ -123,6 +123,7 @@ def label_columns(
     entries, labels = read_worklist(spark, worklist), read_truth(spark, truth)
     labelled = distinct_worklist(entries, labels)
     counted, missing = f"{out}/types", f"{out}/unresolved"
+    done: list[tuple[str, str]] = []  # parts of batches that were written whole
 
     def work(opened: dict[tuple, DataFrame]) -> None:
         tables = {dataset: table for (dataset,), table in opened.items()}
@@ -137,6 +138,8 @@ def label_columns(
             known = columns.setdefault(row["dataset"], [])
             if row["resolved"] is not None and row["resolved"] not in known:
                 known.append(row["resolved"])
+        own = _part(counted), _part(missing)
+        unresolved(plan).write.json(own[1])
         if any(columns.values()):
             counts = corpus_counts(tables, columns).select("dataset", "column", "value", "cnt")
             names = plan.filter("resolved IS NOT NULL").select(
@@ -147,18 +150,21 @@ def label_columns(
                 .join(names, ["dataset", "header"])
                 .drop("header")
             )
-            semantic_types(counts, rules, dictionary).write.json(_part(counted))
-        unresolved(plan).write.json(_part(missing))
+            semantic_types(counts, rules, dictionary).write.json(own[0])
+        else:
+            spark.createDataFrame([], SEMANTIC_SCHEMA).write.json(own[0])
+        done.append(own)
 
-    spark.createDataFrame([], SEMANTIC_SCHEMA).write.json(counted)
-    spark.createDataFrame([], QUARANTINE_SCHEMA).write.json(missing)
+    _new(spark, counted)
+    _new(spark, missing)
     datasets = [(r["dataset"],) for r in labelled.select("dataset").distinct().orderBy("dataset").collect()]
     failed = run_each(
         spark, datasets, work, lambda item: reader(spark, f"{directory}/{item[0]}{suffix}"), batch
     )
-    failed = failed.unionByName(_read(spark, QUARANTINE_SCHEMA, missing))
+    # a batch that failed halfway was repeated in halves: its parts are not read
+    failed = failed.unionByName(_read(spark, QUARANTINE_SCHEMA, [m for _, m in done]))
 
-    semantic = _read(spark, SEMANTIC_SCHEMA, counted)
+    semantic = _read(spark, SEMANTIC_SCHEMA, [c for c, _ in done])
     predicted = predicted_types(semantic, labelled)
     write_semantic(semantic_profile(semantic, labelled), f"{out}/documents")
     write_semantic(manual_labels(entries, labels), f"{out}/manual_labels")
@@ -207,9 +213,11 @@ def _part(target: str) -> str:
     return f"{target}/{uuid.uuid4().hex}"
 
 
-def _read(spark: SparkSession, schema: str, target: str) -> DataFrame:
-    """All parts of a folder."""
-    return spark.read.schema(schema).option("recursiveFileLookup", True).json(target)
+def _read(spark: SparkSession, schema: str, parts: list[str]) -> DataFrame:
+    """The given parts of a folder."""
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(parts)
 
 
 def _set_aside(failed: DataFrame, out: str) -> DataFrame:

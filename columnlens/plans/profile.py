@@ -99,7 +99,8 @@ def profile_counts(
     spread = deviations(counts, by_type, column_bound).select(*typed_keys, "stddev")
     shortest = text_extremes(counts, longest=False).withColumnRenamed("cells", "shortest_values")
     longest = text_extremes(counts, longest=True).withColumnRenamed("cells", "longest_values")
-    texts = shortest.join(sized(longest, column_bound), keys).withColumn(
+    # cells have any length: frames that hold them are joined as Spark measures them
+    texts = shortest.join(longest, keys).withColumn(
         "value_type", F.lit(fixed.TEXT)
     )
     top = (
@@ -128,7 +129,7 @@ def profile_counts(
     # a missing cell has no type, so its row adds to the totals only
     return (
         by_type.join(sized(spread, column_bound), typed_keys, "left")
-        .join(sized(texts, column_bound), typed_keys, "left")
+        .join(texts, typed_keys, "left")
         .groupBy(*keys)
         .agg(
             F.sum("distinct_values").alias("number_distinct_values"),
@@ -136,7 +137,7 @@ def profile_counts(
             (F.sum("cells") - F.sum("empty")).alias("number_non_empty_cells"),
             F.sort_array(F.collect_list(F.when(typed, entry))).alias("data_types"),  # four at most
         )
-        .join(sized(top, column_bound), keys)
+        .join(top, keys)
         .select(
             *keys, "number_distinct_values", "number_empty_cells", "number_non_empty_cells",
             "frequent_values", "data_types",

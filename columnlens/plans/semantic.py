@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from .. import fixed_values as fixed
 from ..functions import is_empty, pattern_match
-from ..operators.common import broadcast_if_small, group_keys
+from ..operators.common import BROADCAST_ROWS, broadcast_if_small, group_keys
 from ..operators.matching import (
     fuzzy_size,
     near_terms,
@@ -121,9 +121,17 @@ def term_table(spark: SparkSession, rules: RuleSet) -> DataFrame:
 
 
 def classify(
-    counts: DataFrame, rules: RuleSet | None = None, dictionary: DataFrame | None = None
+    counts: DataFrame,
+    rules: RuleSet | None = None,
+    dictionary: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
+    scan_terms: int | None = None,
 ) -> DataFrame:
-    """Add ``label`` to each value.  ``dictionary`` (``label, term``) adds to the rules' terms."""
+    """Add ``label`` to each value.  ``dictionary`` (``label, term``) adds to the rules' terms.
+
+    Terms of exact rules meet the values by shuffle over ``broadcast_rows`` of them, those of
+    fuzzy rules by shared pieces over ``scan_terms``.
+    """
     rules = rules or default_rules()
     terms = term_table(counts.sparkSession, rules)
     if dictionary is not None:
@@ -133,12 +141,12 @@ def classify(
     sizes = _sizes(terms, rules.threshold)
 
     known = counts.withColumn("probe", F.lower("value"))
-    known = _with_exact(known, rules, terms, sizes)
+    known = _with_exact(known, rules, terms, sizes, broadcast_rows)
     fuzzy_at = [i for i, r in enumerate(rules.rules) if r.kind == FUZZY]
     first_fuzzy = fuzzy_at[0] if fuzzy_at else len(rules.rules)
     known = known.withColumn("label", _first(rules, range(first_fuzzy)))
     if fuzzy_at:
-        known = _with_fuzzy(known, rules, terms, sizes, fuzzy_at)
+        known = _with_fuzzy(known, rules, terms, sizes, fuzzy_at, scan_terms)
         rest = _first(rules, range(first_fuzzy, len(rules.rules)))
         known = known.withColumn("label", F.coalesce("label", rest))
     return known.select(
@@ -151,6 +159,8 @@ def semantic_types(
     rules: RuleSet | None = None,
     dictionary: DataFrame | None = None,
     tokens: str | Iterable[str] = "semantic",
+    broadcast_rows: int = BROADCAST_ROWS,
+    scan_terms: int | None = None,
 ) -> DataFrame:
     """Cells per column and type: ``keys..., column, label, cnt, rank``.
 
@@ -159,7 +169,7 @@ def semantic_types(
     """
     keys = [*group_keys(counts), "column"]
     filled = counts.filter(~is_empty("value", tokens)).select(*keys, "value", "cnt")
-    labelled = classify(filled, rules, dictionary)
+    labelled = classify(filled, rules, dictionary, broadcast_rows, scan_terms)
     order = Window.partitionBy(*keys).orderBy(F.col("cnt").desc(), F.col("label").asc())
     return (
         labelled.groupBy(*keys, "label")
@@ -219,7 +229,9 @@ def _total(sizes: dict, labels: Iterable[str], octets: str) -> tuple[int, int]:
     return sum(r["rows"] for r in found), sum(r[octets] for r in found)
 
 
-def _with_exact(known: DataFrame, rules: RuleSet, terms: DataFrame, sizes: dict) -> DataFrame:
+def _with_exact(
+    known: DataFrame, rules: RuleSet, terms: DataFrame, sizes: dict, broadcast_rows: int
+) -> DataFrame:
     labels = [r.label for r in rules.rules if r.kind == EXACT]
     if not labels:
         return known.withColumn("exact", F.array().cast("array<string>"))
@@ -228,11 +240,17 @@ def _with_exact(known: DataFrame, rules: RuleSet, terms: DataFrame, sizes: dict)
         .groupBy(F.col("term").alias("probe"))
         .agg(F.collect_set("label").alias("exact"))
     )
-    return known.join(broadcast_if_small(table, _total(sizes, labels, "plain")), "probe", "left")
+    small = broadcast_if_small(table, _total(sizes, labels, "plain"), broadcast_rows)
+    return known.join(small, "probe", "left")
 
 
 def _with_fuzzy(
-    known: DataFrame, rules: RuleSet, terms: DataFrame, sizes: dict, fuzzy_at: list[int]
+    known: DataFrame,
+    rules: RuleSet,
+    terms: DataFrame,
+    sizes: dict,
+    fuzzy_at: list[int],
+    scan_terms: int | None,
 ) -> DataFrame:
     """Add the number of the first fuzzy rule that hits, for values without a label."""
     number = F.lit(None).cast("int")
@@ -244,7 +262,7 @@ def _with_fuzzy(
         .select("rule", "term")
     )
     labels = [rules.rules[i].label for i in fuzzy_at]
-    if scan_fuzzy(*_total(sizes, labels, "octets")):
+    if scan_fuzzy(*_total(sizes, labels, "octets"), scan_terms):
         table = terms_by_length(numbered, rules.threshold, ["rule"])
         near = near_terms(F.col("probe"), F.col("terms"))
         first = F.array_min(F.transform(near, lambda t: t["rule"]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 import traceback
 
@@ -67,6 +68,7 @@ def main() -> int:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="columnlens-"))  # one machine
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
     )

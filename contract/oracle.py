@@ -33,7 +33,7 @@ ORACLE_SQL["value_counts"] = COUNTED.format(
 ORACLE_SQL["distinct_counts"] = f"""
     SELECT "column", count(*) AS distinct_values FROM ({COUNTED.format(
         MESSY + " UNION ALL "
-        + long_cells("customer", ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]))})
+        + long_cells("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]))})
     GROUP BY "column"
 """
 
@@ -269,7 +269,7 @@ def _superkeys(tests: str) -> str:
 _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 _ORDERS = f"(SELECT o_orderkey, o_custkey, o_orderdate, {fx.MESSY} AS cell FROM orders)"
 _NARROW = (
-    _key_tests("lineitem", "lineitem", _LINE, 3) + " UNION ALL "
+    _key_tests("lineitem", "lineitem", _LINE, 4) + " UNION ALL "
     + _key_tests("nation", "nation", ["n_nationkey", "n_name", "n_regionkey"], 3)
 )
 _WIDE = (
@@ -281,6 +281,42 @@ ORACLE_SQL["key_candidates"] = (
 )
 ORACLE_SQL["superkeys"] = f"WITH tests AS ({_WIDE}) {_superkeys(_WIDE)}"
 
+_PROBED = _key_tests(
+    "orders", "orders", ["o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"], 4
+)
+ORACLE_SQL["key_candidates_probed"] = (
+    f"WITH tests AS ({_PROBED}) SELECT * FROM ({_superkeys(_PROBED)}) WHERE minimal"
+)
+_TYPED = """(SELECT CAST('12345678901234567890123456' AS DECIMAL(38,0)) + o_orderkey AS wide,
+    make_timestamptz(o_custkey * 1000 + o_orderkey % 7) AS instant,
+    CASE WHEN o_orderkey % 2 = 0 THEN [o_orderstatus || ', ' || o_orderpriority]
+        ELSE [o_orderstatus, o_orderpriority] END AS list,
+    {'a': o_orderstatus, 'b': o_custkey} AS pair FROM orders)"""
+ORACLE_SQL["typed_distinct"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS distinct_values FROM (SELECT DISTINCT {c} FROM {source})"""
+    for source, columns in (
+        (_TYPED, ("wide", "instant", "list", "pair")), ("embeddings", ("vec_id", "embedding", "label")),
+    )
+    for c in columns
+)
+_TYPED_KEYS = (
+    _key_tests("orders", _TYPED, ["wide", "instant", "list", "pair"], 4) + " UNION ALL "
+    + _key_tests("embeddings", "embeddings", ["vec_id", "embedding", "label"], 3)
+)
+ORACLE_SQL["typed_keys"] = (
+    f"WITH tests AS ({_TYPED_KEYS}) SELECT * FROM ({_superkeys(_TYPED_KEYS)}) WHERE minimal"
+)
+_JOB_KEYS = " UNION ALL ".join(
+    [
+        _key_tests("nation", "nation", ["n_nationkey", "n_name", "n_regionkey"], 3),
+        _key_tests("region", "region", ["r_regionkey", "r_name"], 2),
+        _key_tests("supplier", "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], 4),
+    ]
+)
+ORACLE_SQL["job_keys"] = (
+    f"WITH tests AS ({_JOB_KEYS}) SELECT * FROM ({_superkeys(_JOB_KEYS)}) WHERE minimal"
+)
+
 # --- dictionaries and patterns -----------------------------------------------
 
 TERMS = fx.sql_values(
@@ -301,10 +337,19 @@ def words(table: str) -> str:
 ORACLE_SQL["dict_exact"] = (
     f"SELECT value, cnt, label, term FROM ({LOWER_CELLS}) JOIN {TERMS} ON value = term"
 )
+def tokens(table: str) -> str:
+    return f"""
+        SELECT DISTINCT word FROM (
+            SELECT unnest(regexp_split_to_array(lower(text), '[ \\n]+')) AS word FROM {table})
+        WHERE word <> ''
+    """
+
+
 ORACLE_SQL["dict_exact_large"] = f"""
-    SELECT word, 'word' AS label, word AS term FROM ({words("documents")})
-    WHERE word IN (SELECT word FROM ({words("conversations")}))
+    SELECT word, 'word' AS label, word AS term FROM ({tokens("documents")})
+    WHERE word IN (SELECT word FROM ({tokens("conversations")}))
 """
+ORACLE_SQL["dict_exact_shuffled"] = ORACLE_SQL["dict_exact_large"]
 ORACLE_SQL["dict_terms"] = """
     SELECT DISTINCT 'name' AS label, lower(p_name) AS term FROM part
     UNION ALL SELECT DISTINCT 'supplier', lower(s_name) FROM supplier
@@ -323,11 +368,11 @@ ORACLE_SQL["dict_contains"] = (
     f"SELECT doc_id, label, term FROM documents JOIN {_INSIDE} ON contains(lower(text), term)"
 )
 ORACLE_SQL["dict_contains_large"] = """
-    SELECT doc_id, 'opening' AS label, term FROM documents JOIN (
-        SELECT DISTINCT CASE WHEN contains(text, ' ')
-            THEN split_part(text, ' ', 1) || ' ' || split_part(text, ' ', 2) ELSE text END AS term
-        FROM conversations) ON term <> '' AND contains(text, term)
+    WITH w AS (SELECT list_filter(regexp_split_to_array(text, '[ \\n]+'), lambda x: x <> '') AS w FROM benchmark),
+    pairs AS (SELECT DISTINCT w[i] || ' ' || w[i + 1] AS term FROM w, unnest(range(1, len(w))) t(i))
+    SELECT doc_id, 'pair' AS label, term FROM documents JOIN pairs ON contains(text, term)
 """
+ORACLE_SQL["dict_contains_shuffled"] = ORACLE_SQL["dict_contains_large"]
 ORACLE_SQL["dict_fuzzy"] = f"""
     SELECT value, cnt, label, term FROM ({LOWER_CELLS}) JOIN {TERMS}
     ON {SIMILAR.format("value", "term")}
@@ -467,6 +512,7 @@ def semantic(cells: str, cascade: str) -> str:
 
 CORPUS_SEMANTIC = semantic(corpus(), SHORT_RULES)
 ORACLE_SQL["semantic_types"] = semantic(f"{corpus()} UNION ALL {TABLE_CELLS}", SHORT_RULES)
+ORACLE_SQL["semantic_types_shuffled"] = ORACLE_SQL["semantic_types"]
 ORACLE_SQL["semantic_default_rules"] = semantic(TABLE_CELLS, STANDARD_RULES)
 ORACLE_SQL["semantic_values"] = f"""
     SELECT "column", value, {SHORT_RULES} AS label, cnt FROM (
@@ -622,10 +668,11 @@ ORACLE_SQL["profile_documents"] = f"""
     FROM ({_READ_BACK})
 """
 ORACLE_SQL["combine_json"] = f"""
-    SELECT dataset AS dataset_name, "column" AS column_name, label AS semantic_type, cnt AS cells
-    FROM ({CORPUS_SEMANTIC})
+    SELECT dataset AS dataset_name, "column" AS column_name, labels AS actual_types,
+        label AS semantic_type, cnt AS cells, CASE WHEN label = 'other' THEN labels END AS label
+    FROM ({CORPUS_SEMANTIC}) JOIN ({LABELLED_COLUMNS}) USING (dataset, "column")
 """
-ORACLE_SQL["metrics_file"] = f"SELECT label, actual, predicted, correct FROM ({PRECISION_RECALL})"
+ORACLE_SQL["metrics_file"] = PRECISION_RECALL
 ORACLE_SQL["quarantine"] = """
     SELECT lower(o_orderstatus) AS dataset, 'o_orderstatus' AS "column", o_orderstatus AS value,
         count(*) AS cnt FROM orders GROUP BY ALL

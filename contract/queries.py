@@ -43,7 +43,7 @@ def value_counts(spark, sf):
 @register
 def distinct_counts(spark, sf):
     messy_counts = cl.value_counts(messy(spark, sf))
-    customers = table(spark, sf, "customer").drop("c_acctbal")
+    customers = table(spark, sf, "customer")
     return cl.distinct_counts(messy_counts).unionByName(
         cl.distinct_counts(cl.value_counts(customers))
     )
@@ -86,7 +86,8 @@ def _numeric(spark, sf, kind, low, high):
     frames = [lines, parts, messy(spark, sf)]
     stats = None
     for frame in frames:
-        one = cl.numeric_stats(cl.typed_counts(frame), column_bound=len(frame.columns))
+        counts = cl.typed_counts(frame, types=[kind])
+        one = cl.numeric_stats(counts, column_bound=len(frame.columns))
         stats = one if stats is None else stats.unionByName(one)
     return stats.filter(F.col("value_type") == kind).select(
         "column", "cells", F.col(low).alias("min_value"), F.col(high).alias("max_value"),
@@ -225,8 +226,62 @@ LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 def key_candidates(spark, sf):
     lines = table(spark, sf, "lineitem")
     nation = table(spark, sf, "nation")
-    return _keys(cl.key_candidates(lines, LINE_COLUMNS, 3), "lineitem").unionByName(
-        _keys(cl.key_candidates(nation, max_width=None), "nation")
+    return _keys(cl.key_candidates(lines, LINE_COLUMNS), "lineitem").unionByName(
+        _keys(cl.key_candidates(nation), "nation")
+    )
+
+
+@register
+def key_candidates_probed(spark, sf):
+    """Sets looked at through slices of their hash before they are counted."""
+    columns = ["o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"]
+    orders = table(spark, sf, "orders")
+    return _keys(cl.key_candidates(orders, columns, probe_rows=100), "orders")
+
+
+def _typed(spark, sf):
+    """Columns whose values only their own type tells apart."""
+    return table(spark, sf, "orders").select(
+        (F.lit("12345678901234567890123456").cast("decimal(38,0)") + F.col("o_orderkey")).alias("wide"),
+        F.expr("timestamp_micros(o_custkey * 1000 + o_orderkey % 7)").alias("instant"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.array(F.concat("o_orderstatus", F.lit(", "), "o_orderpriority")))
+        .otherwise(F.array("o_orderstatus", "o_orderpriority")).alias("list"),
+        F.struct(F.col("o_orderstatus").alias("a"), F.col("o_custkey").alias("b")).alias("pair"),
+    )
+
+
+@register
+def typed_distinct(spark, sf):
+    orders = cl.distinct_counts(cl.typed_counts(_typed(spark, sf)))
+    vectors = cl.distinct_counts(cl.typed_counts(table(spark, sf, "embeddings")))
+    return orders.unionByName(vectors)
+
+
+@register
+def typed_keys(spark, sf):
+    vectors = table(spark, sf, "embeddings")
+    return _keys(cl.key_candidates(_typed(spark, sf)), "orders").unionByName(
+        _keys(cl.key_candidates(vectors), "embeddings")
+    )
+
+
+@register
+def job_keys(spark, sf):
+    """Key files of three datasets, written by the job and read back."""
+    root, out = _scratch(spark, "key-tables"), _scratch(spark, "key-job")
+    names = ("nation", "region", "supplier")
+    for name in names:
+        table(spark, sf, name).write.option("header", True).option("sep", "\t").option(
+            "compression", "gzip"
+        ).csv(f"{root}/{name}.tsv.gz")
+    rows = [(f"{n}\tabout {n}",) for n in names]
+    spark.createDataFrame(rows, "value string").coalesce(1).write.text(f"{root}/catalog")
+    cl.find_keys(spark, f"{root}/catalog", f"{out}/found", directory=root)
+    keys = spark.read.schema(
+        "dataset string, key array<string>, width int, minimal boolean"
+    ).option("recursiveFileLookup", True).json(f"{out}/found/keys")
+    return keys.select(
+        "dataset", F.array_join("key", ",").alias("key"), big("width"), "minimal"
     )
 
 
@@ -263,13 +318,27 @@ def dict_exact(spark, sf):
     return cl.exact_match(_lower_cells(spark, sf), dictionary(spark))
 
 
-@register
-def dict_exact_large(spark, sf):
-    words = _words(table(spark, sf, "documents"), "text")
-    terms = _words(table(spark, sf, "conversations"), "text").select(
+def _tokens(frame: DataFrame) -> DataFrame:
+    """All words of whole texts, of any letters and length."""
+    words = F.explode(F.split(F.lower("text"), "[ \n]+")).alias("word")
+    return frame.select(words).filter(F.col("word") != "").distinct()
+
+
+def _exact_large(spark, sf, **limits):
+    terms = _tokens(table(spark, sf, "conversations")).select(
         F.lit("word").alias("label"), F.col("word").alias("term")
     )
-    return cl.exact_match(words, terms, on="word")
+    return cl.exact_match(_tokens(table(spark, sf, "documents")), terms, on="word", **limits)
+
+
+@register
+def dict_exact_large(spark, sf):
+    return _exact_large(spark, sf)
+
+
+@register
+def dict_exact_shuffled(spark, sf):
+    return _exact_large(spark, sf, broadcast_rows=0)
 
 
 @register
@@ -306,15 +375,25 @@ def dict_contains(spark, sf):
     return cl.contains_match(texts, terms).drop("value")
 
 
-@register
-def dict_contains_large(spark, sf):
-    words = F.split("text", " ")
-    pair = F.concat_ws(" ", words[0], words[1])
-    terms = table(spark, sf, "conversations").select(
-        F.lit("opening").alias("label"), pair.alias("term")
+def _contains_large(spark, sf, **limits):
+    """Every pair of neighbouring words of the benchmark, in whole documents."""
+    words = F.filter(F.split("text", "[ \n]+"), lambda w: w != "")
+    pairs = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
+    terms = table(spark, sf, "benchmark").select(
+        F.lit("pair").alias("label"), F.explode(pairs).alias("term")
     )
     texts = table(spark, sf, "documents").select("doc_id", F.col("text").alias("value"))
-    return cl.contains_match(texts, terms).drop("value")
+    return cl.contains_match(texts, terms, **limits).drop("value")
+
+
+@register
+def dict_contains_large(spark, sf):
+    return _contains_large(spark, sf)
+
+
+@register
+def dict_contains_shuffled(spark, sf):
+    return _contains_large(spark, sf, scan_terms=0, broadcast_rows=0)
 
 
 @register
@@ -378,9 +457,9 @@ def _semantic_cells(spark, sf):
     return cells.unionByName(messy_cells)
 
 
-def _semantic(spark, sf):
+def _semantic(spark, sf, **limits):
     return cl.semantic_types(
-        cl.count_cells(_semantic_cells(spark, sf)), _rules(), dictionary(spark)
+        cl.count_cells(_semantic_cells(spark, sf)), _rules(), dictionary(spark), **limits
     )
 
 
@@ -393,6 +472,13 @@ def semantic_types(spark, sf):
     return _semantic(spark, sf).withColumn("rank", big("rank"))
 
 
+@register
+def semantic_types_shuffled(spark, sf):
+    """Both lookups by shuffle: on the term, and on pieces of it."""
+    found = _semantic(spark, sf, broadcast_rows=0, scan_terms=0)
+    return found.withColumn("rank", big("rank"))
+
+
 @register
 def semantic_values(spark, sf):
     counts = cl.count_cells(corpus_cells(spark, sf).drop("dataset"))
@@ -640,11 +726,15 @@ def combine_json(spark, sf):
     cl.combine_json(spark, source, target, whole_files=False)
     back = spark.read.schema(
         "dataset_name string, column_name string, actual_types array<string>, "
-        "semantic_types array<struct<semantic_type: string, count: bigint>>"
+        "semantic_types array<struct<semantic_type: string, count: bigint, label: array<string>>>"
     ).json(target)
     return back.select(
-        "dataset_name", "column_name", F.explode("semantic_types").alias("t")
-    ).select("dataset_name", "column_name", "t.semantic_type", F.col("t.count").alias("cells"))
+        "dataset_name", "column_name", F.array_join("actual_types", ",").alias("actual_types"),
+        F.explode("semantic_types").alias("t"),
+    ).select(
+        "dataset_name", "column_name", "actual_types", "t.semantic_type", F.col("t.count").alias("cells"),
+        F.array_join("t.label", ",").alias("label"),
+    )
 
 
 @register
@@ -653,7 +743,10 @@ def metrics_file(spark, sf):
     cl.write_metrics(
         cl.precision_recall(_predicted(spark, sf), _labelled_columns(spark, sf)), path
     )
-    return spark.read.schema("label string, actual bigint, predicted bigint, correct bigint").json(path)
+    back = spark.read.schema(
+        "label string, actual bigint, predicted bigint, correct bigint, precision double, recall double"
+    ).json(path)
+    return back.withColumns({c: F.round(c, 6) for c in ("precision", "recall")})
 
 
 @register

@@ -4,11 +4,10 @@ import pytest
 
 import __spark_entry__ as entry
 from contract.check import compare, connect
+from contract.oracle import ORACLE_SQL as ORACLE
+from contract.queries import QUERIES
 from tests.conftest import SF
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def connection():
@@ -18,6 +17,7 @@ def connection():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):

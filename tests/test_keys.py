@@ -27,9 +27,8 @@ def as_dict(found):
 
 @pytest.mark.parametrize("probed", [False, True])
 @pytest.mark.parametrize("seed", range(3))
-def test_random_tables(spark, monkeypatch, seed, probed):
-    if probed:  # as for a large table
-        monkeypatch.setattr(keys_module, "PROBE_ROWS", 1)
+def test_random_tables(spark, seed, probed):
+    limit = {"probe_rows": 1} if probed else {}  # as for a large table
     rng = random.Random(seed)
     names = ["a", "b.c", "d e", "f"]
     choices = [2, 3, 5, 8]
@@ -41,8 +40,8 @@ def test_random_tables(spark, monkeypatch, seed, probed):
         ", ".join(f"`{n}` string" for n in names),
     )
     want = brute_force(rows, names, 4)
-    assert as_dict(cl.key_candidates(frame, max_width=None, all_superkeys=True)) == want
-    assert as_dict(cl.key_candidates(frame, max_width=None)) == {k: m for k, m in want.items() if m}
+    assert as_dict(cl.key_candidates(frame, all_superkeys=True, **limit)) == want
+    assert as_dict(cl.key_candidates(frame, **limit)) == {k: m for k, m in want.items() if m}
 
 
 def test_missing_cells_are_values(spark):
@@ -69,3 +68,37 @@ def test_width_bound_and_empty_table(spark):
     frame = spark.createDataFrame([(0, 0), (0, 1), (1, 0)], "a int, b int")
     assert as_dict(cl.key_candidates(frame, max_width=1)) == {}
     assert as_dict(cl.key_candidates(frame.limit(0))) == {("a",): True, ("b",): True}
+
+
+def test_typed_values_stay_apart(spark):
+    """Long decimals, the repeated hour of autumn, and nested values."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    frame = spark.range(100).selectExpr(
+        "CAST('123456789012345678901234567000' AS decimal(30,0)) + id AS wide",
+        "timestamp_seconds(1698537600 + 3600 * (id % 2)) AS hour",
+        "CASE WHEN id % 2 = 0 THEN array('a, b') ELSE array('a', 'b') END AS list",
+        "map('k', id) AS entries",
+    )
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        counts = {r["column"]: r["distinct_values"] for r in cl.distinct_counts(cl.typed_counts(frame)).collect()}
+        assert counts == {"wide": 100, "hour": 2, "list": 2, "entries": 100}
+        assert as_dict(cl.key_candidates(frame)) == {("wide",): True, ("entries",): True}
+        two = frame.limit(2)
+        assert as_dict(cl.key_candidates(two.select("hour", "list"))) == {("hour",): True, ("list",): True}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_wide_table(spark):
+    """Sixty columns: no key among those that repeat a row, so nothing more is listed."""
+    frame = spark.range(60).selectExpr("id", *[f"id % {2 + i % 2} AS c{i}" for i in range(59)])
+    assert as_dict(cl.key_candidates(frame)) == {("id",): True}
+    supersets = cl.key_candidates(frame, max_width=2, all_superkeys=True)
+    assert supersets.count() == 60 and supersets.where("minimal").count() == 1
+
+
+def test_wide_keys_by_default(spark):
+    rows = [tuple((i >> k) & 1 for k in range(5)) for i in range(32)]
+    frame = spark.createDataFrame(rows, "a int, b int, c int, d int, e int")
+    assert as_dict(cl.key_candidates(frame)) == {("a", "b", "c", "d", "e"): True}

@@ -158,3 +158,20 @@ def test_empty_table_and_checkpoint(spark, strings):
     assert cl.profile(strings([]), "none").count() == 0
     frame = strings(["1", "a", "a"])
     assert cl.profile(frame, "x", checkpoint=True).collect() == cl.profile(frame, "x").collect()
+
+
+def test_texts_are_not_broadcast_unseen(spark):
+    """Frames that hold cells are joined as Spark measures them, whatever the column bound."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        frame = spark.range(20).selectExpr("concat('text ', repeat('x', 100000), id) AS t", "id AS n")
+        plan = cl.profile(frame)._jdf.queryExecution().optimizedPlan().toString()
+        for line in plan.splitlines():
+            if "Join" in line and "strategy=broadcast" in line:
+                assert "shortest_values" not in line and "frequent_values" not in line
+        hinted = plan.count("strategy=broadcast")
+        assert hinted <= 2  # means and deviations
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
