@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .storage import saved
+from .storage import saved, text_batches
 from .textops import Words, buffers, grams, mix, slices
 
 WINDOW = 13
@@ -210,7 +210,7 @@ def marked(documents: DataFrame, benchmark: DataFrame, text: str = "text", item:
     if size <= sent_bytes:
         held = items.orderBy("id", "text").toArrow()
         ids, texts = held.column("id").to_pylist(), held.column("text").combine_chunks()
-        judged = documents.mapInArrow(_judge_all(ids, texts, text, window, gram), out)
+        judged = text_batches(documents).mapInArrow(_judge_all(ids, texts, text, window, gram), out)
     else:
         judged = _joined(documents, items, text, window, gram, out)
     return judged.withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words")))
@@ -223,11 +223,11 @@ def _joined(documents, items, text, window, gram, out) -> DataFrame:
     prints = saved(items.select("k", "text").mapInArrow(_prints(None, window, gram), "k string, size int, h long").distinct(), "prints")
     lengths = [r[0] for r in prints.select("size").distinct().collect()]  # up to ``window`` of them
     texts = documents.select(key.alias("k"), F.col(f"`{text}`").alias("text"))
-    own = texts.mapInArrow(_prints(lengths or [window], window, gram), "k string, size int, h long").distinct()
+    own = text_batches(texts).mapInArrow(_prints(lengths or [window], window, gram), "k string, size int, h long").distinct()
     met = own.join(prints.withColumnRenamed("k", "item"), ["size", "h"]).select("k", "item").distinct()
     given = (
         met.join(items.withColumnRenamed("k", "item"), "item")
         .groupBy(F.col("k").alias("_key")).agg(F.collect_list(F.struct("id", "text")).alias("_items"))
     )
     joined = documents.withColumn("_k", key).join(given, F.col("_k") == F.col("_key"), "left").drop("_k", "_key")
-    return joined.mapInArrow(_judge_met(text, window, gram), out)
+    return text_batches(joined).mapInArrow(_judge_met(text, window, gram), out)

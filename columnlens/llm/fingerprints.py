@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .storage import parts, range_bounds, range_of, saved
+from .storage import parts, range_bounds, range_of, saved, text_batches
 from .textops import Permutations, shingle_sets
 
 PERMUTATIONS = 128
@@ -52,7 +52,7 @@ def with_fingerprints(documents: DataFrame, text: str = "text", permutations: in
             own = pa.array(_hex(hashing.signatures(batch.column(text), WIDTH)), pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, own], names=[*batch.schema.names, "fingerprint"])
 
-    return documents.mapInArrow(run, out)
+    return text_batches(documents).mapInArrow(run, out)
 
 
 def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -153,7 +153,7 @@ def edited_likeness(documents: DataFrame, doc_id: str = "doc_id", text: str = "t
         if held:  # ids that are all null: one task, whose first row follows its last
             yield _compared([held, first], hashing)
 
-    return in_order(documents, doc_id, text).mapInArrow(
+    return text_batches(in_order(documents, doc_id, text)).mapInArrow(
         run, "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
              "edited_fingerprint string, near_edited double, near_next double")
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .storage import parts, saved, sent_if_small
+from .storage import parts, saved, sent_if_small, text_batches
 from .textops import Permutations, Words, buffers, shingles, slices
 
 WIDTH = 5
@@ -189,7 +189,7 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", tre
     top, bottom = THRESHOLD
     length = prefix_length(top / bottom, trees, depth, recall)
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    made = rows.mapInArrow(_labels(length, trees, depth), "doc_id long, digest binary, size int, prefixes array<long>")
+    made = text_batches(rows).mapInArrow(_labels(length, trees, depth), "doc_id long, digest binary, size int, prefixes array<long>")
     labelled = saved(
         made.groupBy("doc_id")
         .agg(F.min(F.struct("digest", "size", "prefixes")).alias("m"), F.count("*").alias("n_rows"))

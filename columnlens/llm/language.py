@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .chargrams import batches, code_points, gram_buckets
+from .storage import text_batches
 
 SIZES = (1, 2, 3)
 BITS = 13
@@ -156,4 +157,4 @@ def identified(documents: DataFrame, model: Model, text: str = "text") -> DataFr
                 [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
                 names=[*batch.schema.names, "lang_pred", "lang_score"])
 
-    return documents.mapInArrow(run, out)
+    return text_batches(documents).mapInArrow(run, out)

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
+from .storage import text_batches
 from .wordids import WordIds
 
 SPACE = "▁"
@@ -181,7 +182,7 @@ SHORT = 64
 
 
 class Encoder:
-    def __init__(self, path: str, room: int = 1_000_000):
+    def __init__(self, path: str, room: int = 600_000):
         self.table = table = Table(path)
         self.words = WordIds(
             lambda runs: (_short(table, r) if len(r) <= SHORT else list(streamed(table, r)) for r in runs),
@@ -230,7 +231,7 @@ def encoded(documents: DataFrame, model: str, text: str = "text") -> DataFrame:
                     at.astype(np.int32), ids.view(np.int32), mask=texts.is_null() if texts.null_count else None)
                 yield pa.RecordBatch.from_arrays([*own.columns, lists], names=[*own.schema.names, "ids"])
 
-    return documents.mapInArrow(run, out)
+    return text_batches(documents).mapInArrow(run, out)
 
 
 def decoded(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -247,4 +248,4 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded"
                 yield pa.RecordBatch.from_arrays(
                     [*own.columns, pa.array(texts, pa.string())], names=[*own.schema.names, text])
 
-    return rows.mapInArrow(run, out)
+    return text_batches(rows).mapInArrow(run, out)

@@ -75,3 +75,16 @@ def sent_if_small(df: DataFrame, rows: int = SENT_ROWS) -> DataFrame:
     """``df`` marked for broadcast if it was counted and has up to ``rows`` rows of ids; beyond
     that as it is, for a join by shuffle. ``df`` should be saved, as it is read twice."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+#: Rows of an Arrow batch of whole texts. A text can be long; work goes by lots of texts anyway.
+BATCH_ROWS = 256
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, with its session's Arrow batches kept to ``BATCH_ROWS`` rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df

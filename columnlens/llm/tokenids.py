@@ -36,7 +36,7 @@ from pyspark.sql.datasource import (
 )
 
 from . import files
-from .storage import new_folder, parts, range_bounds, range_of
+from .storage import new_folder, parts, range_bounds, range_of, text_batches
 from .wordids import WordIds
 
 MAGIC = b"PKID0001"
@@ -261,7 +261,7 @@ class Encoder:
     the tokenizer does so anyway (``lower``) and no special token can be in them.
     """
 
-    def __init__(self, path: str, lower: bool = True, room: int = 1_000_000):
+    def __init__(self, path: str, lower: bool = True, room: int = 600_000):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
@@ -306,7 +306,7 @@ def encoded(documents: DataFrame, tokenizer: str, end: int, doc_id: str = "doc_i
                     names=["doc_id", "ids"])
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id bigint, ids array<int>")
+    return text_batches(rows).mapInArrow(run, "doc_id bigint, ids array<int>")
 
 
 def write_ids(documents: DataFrame, tokenizer: str, vocabulary: int, end: int, path: str | None = None,

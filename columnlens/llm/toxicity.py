@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .chargrams import batches, code_points, gram_buckets
+from .storage import text_batches
 
 BITS = 18
 SIZES = (3, 4, 5, 6)
@@ -230,4 +231,4 @@ def scored(documents: DataFrame, model: Model, text: str = "text") -> DataFrame:
             score = pa.array(model.scores(batch.column(text).to_pylist()), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, score], names=[*batch.schema.names, "score"])
 
-    return documents.mapInArrow(run, out).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return text_batches(documents).mapInArrow(run, out).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .storage import saved
+from .storage import saved, text_batches
 
 DEPTH = 60
 SALTS = 32
@@ -331,7 +331,7 @@ def _learn(lots: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def wrappers(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``host, wrapper`` (as JSON): one per host, from all its pages."""
     rows = pages.select(host_of(F.col(url)).alias("host"), F.col(html).alias("html"))
-    parts = rows.mapInArrow(_learn, "host string, wrapper string").distinct()
+    parts = text_batches(rows).mapInArrow(_learn, "host string, wrapper string").distinct()
 
     def fold(group: pd.DataFrame) -> pd.DataFrame:
         whole = _fold(json.loads(w) for w in sorted(group["wrapper"]))
@@ -374,4 +374,4 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", sent_bytes
             columns = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*names, "text"])
 
-    return joined.mapInArrow(run, out)
+    return text_batches(joined).mapInArrow(run, out)
