@@ -55,13 +55,32 @@ SEMANTIC_SCHEMA = "dataset string, column string, label string, cnt bigint, rank
 
 Reader = Callable[[SparkSession, str], DataFrame]
 
+# A gzipped file, or one with line ends in cells, is read by one task; the jobs deal its
+# rows out before they count them.
+READ_PARTITIONS = 64
+
+
+def read_dealt(spark: SparkSession, path: str) -> DataFrame:
+    """``read_table`` with the rows dealt over ``READ_PARTITIONS`` tasks if the file is large.
+
+    A file that Spark splits by itself needs no dealing: pass a reader of your own.
+    """
+    return read_table(spark, path, partitions=READ_PARTITIONS if _large(spark, path) else None)
+
+
+def _large(spark: SparkSession, path: str) -> bool:
+    """Whether a file holds more than one task's share of bytes."""
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.getContentSummary(file).getLength() > 128 * 1024 * 1024
+
 
 def profile_datasets(
     spark: SparkSession,
     catalog: str,
     out: str,
     directory: str | None = None,
-    reader: Reader = read_table,
+    reader: Reader = read_dealt,
     batch: int = 32,
 ) -> DataFrame:
     """Profile documents of all datasets of a catalog; returns what failed."""
@@ -83,7 +102,7 @@ def find_keys(
     catalog: str,
     out: str,
     directory: str | None = None,
-    reader: Reader = read_table,
+    reader: Reader = read_dealt,
     max_width: int | None = None,
     all_superkeys: bool = False,
 ) -> DataFrame:
@@ -112,7 +131,7 @@ def label_columns(
     rules: RuleSet | None = None,
     dictionary: DataFrame | None = None,
     aliases: Mapping[str, str] | None = None,
-    reader: Reader = read_table,
+    reader: Reader = read_dealt,
     suffix: str = TABLE_SUFFIX,
     batch: int = 32,
 ) -> DataFrame:

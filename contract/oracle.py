@@ -169,7 +169,7 @@ ORACLE_SQL["text_avg_length"] = f"""
 
 def _typed_column(dataset: str, source: str, column: str, kind: str) -> str:
     """Cells of one column: type by its physical type, or by what is written."""
-    typed = {"long": "'INTEGER (LONG)'", "double": "'REAL'", "text": TYPE_OF}[kind]
+    typed = {"long": "'INTEGER (LONG)'", "double": "'REAL'", "date": "'DATE/TIME'", "text": TYPE_OF}[kind]
     return f"""
         SELECT '{dataset}' AS dataset_name, '{column}' AS column_name, value,
             CASE WHEN value IS NULL THEN NULL ELSE {typed} END AS type
@@ -193,11 +193,13 @@ def _profile(columns: list[tuple[str, str, str, str]]) -> str:
                 min(l) AS min_long, max(l) AS max_long,
                 round(min(d), 4) AS min_double, round(max(d), 4) AS max_double,
                 round(avg(coalesce(l, d)), 4) AS mean, round(stddev_pop(coalesce(l, d)), 4) AS stddev,
-                round(avg(length(t)), 4) AS average_length
+                round(avg(length(t)), 4) AS average_length,
+                strftime(min(day), '%Y-%m-%d') AS min_date, strftime(max(day), '%Y-%m-%d') AS max_date
             FROM (SELECT *,
                     CASE WHEN type = 'INTEGER (LONG)' THEN try_cast(trim(value) AS BIGINT) END AS l,
                     CASE WHEN type = 'REAL' THEN try_cast(trim(value) AS DOUBLE) END AS d,
-                    CASE WHEN type = 'TEXT' THEN value END AS t
+                    CASE WHEN type = 'TEXT' THEN value END AS t,
+                    CASE WHEN type = 'DATE/TIME' THEN coalesce({AS_DATE}, try_cast(value AS TIMESTAMP)) END AS day
                 FROM cells WHERE type IS NOT NULL)
             GROUP BY ALL)
         SELECT * FROM totals JOIN types USING (dataset_name, column_name)
@@ -239,7 +241,8 @@ _PART = [
     ("part", "part", "p_brand", "text"), ("part", "part", "p_type", "text"),
     ("part", "part", "p_size", "long"), ("part", "part", "p_retailprice", "double"),
 ]
-ORACLE_SQL["profile_corpus"] = _profile(_NATION + _SUPPLIER + _PART)
+_ORDERED = [("orders", "orders", "o_orderdate", "date"), ("orders", "orders", "o_orderpriority", "text")]
+ORACLE_SQL["profile_corpus"] = _profile(_NATION + _SUPPLIER + _PART + _ORDERED)
 
 # --- keys --------------------------------------------------------------------
 
@@ -513,7 +516,10 @@ def semantic(cells: str, cascade: str) -> str:
 CORPUS_SEMANTIC = semantic(corpus(), SHORT_RULES)
 ORACLE_SQL["semantic_types"] = semantic(f"{corpus()} UNION ALL {TABLE_CELLS}", SHORT_RULES)
 ORACLE_SQL["semantic_types_shuffled"] = ORACLE_SQL["semantic_types"]
-ORACLE_SQL["semantic_default_rules"] = semantic(TABLE_CELLS, STANDARD_RULES)
+_SPOKEN = f"""SELECT 'conversations' AS dataset, 'word' AS "column", word AS value FROM ({tokens("conversations")})"""
+ORACLE_SQL["semantic_default_rules"] = semantic(
+    f"{corpus()} UNION ALL {TABLE_CELLS} UNION ALL {_SPOKEN}", STANDARD_RULES
+)
 ORACLE_SQL["semantic_values"] = f"""
     SELECT "column", value, {SHORT_RULES} AS label, cnt FROM (
         SELECT "column", value, lower(value) AS v, count(*) AS cnt FROM ({corpus()}) GROUP BY ALL)

@@ -173,6 +173,8 @@ def _profile_types(documents: DataFrame) -> DataFrame:
         F.round("t.min_double", 4).alias("min_double"), F.round("t.max_double", 4).alias("max_double"),
         F.round("t.mean", 4).alias("mean"), F.round("t.stddev", 4).alias("stddev"),
         F.round("t.average_length", 4).alias("average_length"),
+        F.col("t.min_date").cast("string").alias("min_date"),
+        F.col("t.max_date").cast("string").alias("max_date"),
     )
 
 
@@ -206,6 +208,7 @@ def profile_lists(spark, sf):
 @register
 def profile_corpus(spark, sf):
     tables = {n: table(spark, sf, n) for n in ("nation", "supplier", "part")}
+    tables["orders"] = table(spark, sf, "orders").select("o_orderdate", "o_orderpriority")
     return _profile_types(cl.profile_corpus(tables))
 
 
@@ -487,8 +490,12 @@ def semantic_values(spark, sf):
 
 @register
 def semantic_default_rules(spark, sf):
-    """The standard rules with all their own terms, on text columns of the tables."""
-    cells = _semantic_cells(spark, sf).filter(~F.col("dataset").startswith("ds"))
+    """The standard rules with all their own terms, on all cells and on spoken words."""
+    words = _tokens(table(spark, sf, "conversations")).select(
+        F.lit("conversations").alias("dataset"), F.lit("word").alias("column"),
+        F.col("word").alias("value"),
+    )
+    cells = _semantic_cells(spark, sf).unionByName(words)
     return cl.semantic_types(cl.count_cells(cells)).withColumn("rank", big("rank"))
 
 
