@@ -25,8 +25,10 @@ def components(edges: DataFrame) -> DataFrame:
             both.join(labels, both.b == labels.node)
             .groupBy("a").agg(F.min("component").alias("low"))
         )
-        lower = labels.join(near, labels.node == near.a).select(
-            "node", F.least("component", "low").alias("next"), F.col("component").alias("was"))
+        # saved, as it is read twice, and so that the join on a hub is one of two plain
+        # shuffles, which Spark can split
+        lower = saved(labels.join(near, labels.node == near.a).select(
+            "node", F.least("component", "low").alias("next"), F.col("component").alias("was")), "labels")
         of = lower.select(F.col("node").alias("at"), F.col("next").alias("jump"))
         after = saved(
             lower.join(of, lower.next == of.at, "left")
