@@ -12,7 +12,7 @@ by length, and each length has its own fingerprints, with k no longer than the l
 Words: runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after A-Z became lower case.
 
 Defined results. Null or wordless document: 0 words, not contaminated. Null or wordless
-item: never found. Repeated rows: each is judged by itself. Empty benchmark: all clean.
+item: never found. An item without an id hits words, but has no name to be listed by. Repeated rows: each is judged by itself. Empty benchmark: all clean.
 """
 
 from __future__ import annotations
@@ -104,7 +104,7 @@ class Benchmark:
             sums = np.concatenate([[0], np.cumsum(np.cumsum(hit[:-1]) > 0)])
             n_hit = sums[words.first[1:]] - sums[words.first[:-1]]
             for i in range(b - a):
-                found = sorted({self.ids[x] for x in items.get(i, ())})
+                found = sorted({self.ids[x] for x in items.get(i, ())} - {None})
                 yield int(words.first[i + 1] - words.first[i]), int(n_hit[i]), found
 
     def _extend(self, words, length, prints, h, owner, hit, items) -> None:

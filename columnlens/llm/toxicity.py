@@ -213,7 +213,7 @@ def fit(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Mo
         return train([], [])
     # about max_rows ids of 12 bytes: small enough to send whatever the input
     rows = (
-        documents.where(F.col("text").isNotNull() & (F.length("text") <= MAX_CHARS))
+        documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= MAX_CHARS))
         .join(F.broadcast(chosen), "doc_id").select("text", "toxic").toArrow()
     )
     texts, toxic = rows.column("text").to_pylist(), rows.column("toxic").to_pylist()

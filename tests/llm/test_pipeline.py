@@ -2,6 +2,7 @@
 
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from columnlens.llm import language, pieces, toxicity
@@ -76,9 +77,13 @@ def test_odd_rows(spark, tmp_path):
     rows = [(1, None, None, None, None, "x"), (2, "", "en", "s", 0, "x"), (3, "12 !", None, "s", 4, None), (None, "some words here", "en", None, None, "y"),
             (4, "the same text of six words", "en", "s", 1, "z"), (4, "the same text of six words", "en", "s", 1, "z"), (5, "The same text of six words.", "de", "s", 1, "z")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, score string")
+    docs = docs.withColumn("predicted", F.col("score")).withColumn("class", F.lit(7)).withColumn("n_hit", F.lit("n"))
+    given = {r["doc_id"]: r for r in docs.collect()}
     for name, stage in pipeline.STAGES:
         after = stage(spark, docs, SF)
         after.write.parquet(str(tmp_path / name))
+        if name != "sentencepiece":
+            assert all(r == given[r["doc_id"]] for r in after.collect())
         docs = spark.read.parquet(str(tmp_path / name))
     assert sorted(str(r["doc_id"]) for r in docs.collect()) == ["4", "None"]
 
