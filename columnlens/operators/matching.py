@@ -25,6 +25,8 @@ FUZZY_SCAN_TERMS = 2_000
 # Up to this many terms each is looked for in every text.
 CONTAINS_SCAN_TERMS = 1_000
 CONTAINS_SCAN_BYTES = 64 * 1024
+# Up to this many terms, texts list only beginnings that terms have.
+STEM_FILTER_TERMS = 20_000
 # Beginnings of a term by which it is found in a text, in characters.
 _STEM_WIDTHS = (1, 2, 4, 8, 16, 32)
 
@@ -81,12 +83,18 @@ def contains_match(
     width = F.greatest(*[F.when(F.length("term") >= w, w).otherwise(0) for w in (0, *widths)])
     stems = terms.withColumn("stem", F.substring("term", F.lit(1), width))
     small = broadcast_if_small(stems, (bounds["rows"], bounds["octets"]), broadcast_rows)
+    known = None
+    if bounds["rows"] <= min(STEM_FILTER_TERMS, broadcast_rows):  # known to be few: sent whole
+        own = sorted(r["stem"] for r in stems.select("stem").distinct().collect())
+        known = F.from_json(F.lit(json.dumps(own)), "array<string>")
     listed = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)) for w in widths]
+    begun = F.concat(*listed)
+    begun = F.array_distinct(begun) if known is None else F.array_intersect(begun, known)
     hits = (
         values.select(on)
         .distinct()
         .withColumn("digest", F.xxhash64(text))  # once per text, before it is cut
-        .select("digest", F.explode(F.array_distinct(F.concat(*listed))).alias("stem"))
+        .select("digest", F.explode(begun).alias("stem"))
         .join(small, "stem")
         .select("digest", "label", "term")
         .distinct()
