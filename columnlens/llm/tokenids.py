@@ -261,7 +261,7 @@ class Encoder:
     the tokenizer does so anyway (``lower``) and no special token can be in them.
     """
 
-    def __init__(self, path: str, lower: bool = True, room: int = 600_000):
+    def __init__(self, path: str, lower: bool = True, room: int = 1_500_000):
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
