@@ -23,6 +23,7 @@ ids: by text. Repeated rows are all written. No rows: no files.
 from __future__ import annotations
 
 import re
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -248,6 +249,11 @@ def find(path: str, doc_id: int) -> np.ndarray | None:
     return None
 
 
+#: byte-level vocabularies write printable Latin-1 bytes as they are and the others, in
+#: order, as the code points from U+0100
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {
+    b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 _PUNCTUATION = re.compile(r"(?<=[^\W\d_])[.,!?]+\Z")
 _encoders: dict = {}
 
@@ -264,11 +270,33 @@ class Encoder:
     def __init__(self, path: str, lower: bool = True, room: int = 1_500_000):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
         self.lower = lower
-        self.words = WordIds(
-            lambda words: (e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)),
-            self._parts, room)
+        self.direct = True
+        probe = ["the", "étage", "straße", "zyxwvutsrq", "ñandúes", "a"]
+        self.direct = [self._alone(w) for w in probe] == self._whole(probe)
+        self.words = WordIds(self._encode, self._parts, room)
+
+    def _whole(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _alone(self, word: str) -> list[int] | None:
+        """Ids from the merges alone, for words that all steps before leave as they are:
+        Latin letters in lower case, composed. None for others."""
+        if not (self.direct and word.isalpha() and max(word) < "\u0250" and word == word.lower()
+                and unicodedata.is_normalized("NFC", word)):
+            return None
+        if not word.isascii():
+            word = "".join(_BYTE_CHARS[b] for b in word.encode())
+        return [t.id for t in self.tokenizer.model.tokenize(word)]
+
+    def _encode(self, words: list[str]) -> list[list[int]]:
+        """Most words need no normalizer and no pattern, which take most of the time."""
+        found = [self._alone(w) for w in words]
+        rest = [i for i, ids in enumerate(found) if ids is None]
+        for i, ids in zip(rest, self._whole([words[i] for i in rest])):
+            found[i] = ids
+        return found
 
     def _parts(self, word: str) -> list[str]:
         if self.lower and word.isascii() and "<|" not in word:
