@@ -11,8 +11,9 @@ Aligning is a fold, so tasks first fold their own pages per host, then parts of
 folded in salted groups, then these. No task ever sees all pages of a host. Each wrapper
 then says of each of its text places whether it is main text: by the names of the elements
 around it, within the host's article element if there is one, else its main element, else
-what is left of the body without constant texts. Pages get their host's rules and are read
-once more.
+what is left of the body without constant texts. A text counts as constant once
+``CONFIRMED`` pages with different texts have it; on fewer it stays, as nothing tells a title
+from a template. Pages get their host's rules and are read once more.
 
 Blocks end where a block element begins or ends and at line breaks; white space in a block
 becomes one space; blocks are joined by one space in page order.
@@ -25,6 +26,7 @@ as being at that depth.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -41,6 +43,8 @@ from .storage import saved, text_batches
 DEPTH = 60
 SALTS = 32
 CONSTANT = 60
+#: A constant is taken for part of the template once so many different pages have it.
+CONFIRMED = 3
 #: Rules of up to this many bytes are sent to every executor; beyond, pages are shuffled.
 SENT_BYTES = 32 << 20
 
@@ -121,26 +125,37 @@ def _plain(key: str) -> bool:
     return key in INLINE
 
 
-# A wrapper node is [key, quantifier, text, children]; text: None, a constant, or "#".
+# A wrapper node is [key, quantifier, text, children, pages]; text: None, a constant, or "#".
+# pages: of the pages that have the constant, the CONFIRMED smallest digests; so parts of a
+# host can be put together in any order, and copies of a page count once.
 
 
 def page_wrapper(html: str) -> list:
     """The wrapper of one page."""
-    root: list = ["", "", None, []]
-    stack, inline = [root], []
+    root: list = ["", "", None, [], []]
+    stack, inline, off = [root], [], [False]
+    held, told = [], hashlib.blake2b(digest_size=6)
     for kind, value in events(html):
         if kind == "open":
             plain = _plain(value) or len(stack) > DEPTH
             inline.append(plain)
             if not plain:
-                node = [value, "", None, []]
+                node = [value, "", None, [], []]
                 stack[-1][3].append(node)
                 stack.append(node)
+                off.append(off[-1] or apart((value,)))
         elif kind == "close":
             if not inline.pop():
                 stack.pop()
+                off.pop()
         elif kind == "text" and (text := " ".join(value.split())):
+            if not off[-1]:  # other menus or ads do not make a copy another page
+                told.update(text.encode("utf-8", "replace") + b"\n")
             stack[-1][2] = text if stack[-1][2] is None and len(text) <= CONSTANT else "#"
+            held.append(stack[-1])
+    page = int.from_bytes(told.digest(), "big")
+    for node in held:
+        node[4] = [page] if node[2] != "#" else []
     return _folded(root)
 
 
@@ -157,7 +172,8 @@ def _quantified(a: str, b: str) -> str:
 def align(a: list, b: list) -> list:
     """The wrapper of what either wrapper (of like keys) describes."""
     text = a[2] if a[2] == b[2] else (b[2] if a[2] is None else a[2] if b[2] is None else "#")
-    return [a[0], _quantified(a[1], b[1]), text, repeats(_aligned(a[3], b[3]))]
+    pages = [] if text in (None, "#") else sorted({*a[4], *b[4]})[:CONFIRMED]
+    return [a[0], _quantified(a[1], b[1]), text, repeats(_aligned(a[3], b[3])), pages]
 
 
 def _aligned(a: list, b: list) -> list:
@@ -203,9 +219,9 @@ def repeats(children: list) -> list:
             while "" not in keys and [c[0] for c in out[i + n * width : i + (n + 1) * width]] == keys:
                 n += 1
             if n > 1:
-                group = ["", "+", None, out[i : i + width]]
+                group = ["", "+", None, out[i : i + width], []]
                 for k in range(1, n):
-                    group = ["", "+", None, _aligned(group[3], out[i + k * width : i + (k + 1) * width])]
+                    group = ["", "+", None, _aligned(group[3], out[i + k * width : i + (k + 1) * width]), []]
                 out[i : i + n * width] = [group]
             i += 1
     return out
@@ -225,7 +241,7 @@ def rules(wrapper: list) -> dict[str, bool]:
         node, path = todo.pop()
         path = (*path, node[0]) if node[0] else path
         if node[2] is not None:
-            places.append((path, node[2] != "#"))
+            places.append((path, len(node[4]) >= CONFIRMED))
         todo += [(c, path) for c in node[3]]
     free = [(p, constant) for p, constant in places if not apart(p)]
     for inside in (_in_article, _in_main, _in_named):

@@ -58,6 +58,24 @@ def test_constant_texts_go_where_nothing_names_the_main_part(spark):
     assert all(r["text"].endswith(f"text {r['page_id']}") for r in got)
 
 
+@pytest.mark.parametrize("copies", [1, 4])
+def test_titles_that_no_other_page_confirms_stay(spark, copies):
+    """A host of one page, or of its copies with other menus, is no evidence of a template."""
+    long = "a paragraph of quite a few more than sixty characters, as most paragraphs have"
+    rows = [(i, "http://one/", f"<body><nav>{i}</nav><div><h1>Short title</h1><p>{long}</p><p class=z>End</p></div>") for i in range(copies)]
+    rows += [(10 + i, "http://many/", f"<body><div class=top>Same header</div><div><h1>Title {i}</h1><p>{long} {i}</p></div>") for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in wrappers.extracted(df).collect()}
+    assert got == {i: f"Short title {long} End" for i in range(copies)} | {10 + i: f"Title {i} {long} {i}" for i in range(4)}
+
+
+def test_pages_of_a_constant_in_any_order():
+    made = [wrappers.page_wrapper(f"<div>Header</div><p>text {i % 5}</p>") for i in range(20)]
+    forth, back = wrappers._fold(iter(made)), wrappers._fold(iter(made[::-1]))
+    assert forth[3][0] == back[3][0] and len(forth[3][0][4]) == wrappers.CONFIRMED
+    assert len(wrappers._fold(iter(made[::5]))[3][0][4]) == 1
+
+
 def test_odd_pages(spark):
     rows = [(1, None, None), (2, "", ""), (3, "no address", "just text &amp; more"), (4, "http://a/", "<p>" * 5000 + "deep" + "<div>" * 3000 + "er"),
             (5, "http://b/", "<article>" + "<p>long text " * 30_000), (6, "http://c/", "a < b <"), (6, "http://c/", "a < b <"), (7, "http://d/", "<script>x<p>y")]
