@@ -9,9 +9,10 @@ sequences one repeated group, and texts that differ become a slot.
 
 Aligning is a fold, so tasks first fold their own pages per host, then parts of a host are
 folded in salted groups, then these. No task ever sees all pages of a host. Each wrapper
-then says of each of its text places whether it is main text: by the names of the elements
-around it, within the host's article element if there is one, else its main element, else
-what is left of the body without constant texts. A text counts as constant once
+then says of each of its text places whether it is main text, in which kind of container
+(article, main, or an element named like them): all of the container's texts but the
+constant ones. Which kind it is, every page decides by what it has itself, as a host can
+have several templates; a page with none gives what is left of the body. A text counts as constant once
 ``CONFIRMED`` pages with different texts have it; on fewer it stays, as nothing tells a title
 from a template. Pages get their host's rules and are read once more.
 
@@ -45,6 +46,8 @@ SALTS = 32
 CONSTANT = 60
 #: A constant is taken for part of the template once so many different pages have it.
 CONFIRMED = 3
+#: Kinds of containers of main text, as bits
+ARTICLE, MAIN, NAMED, BODY = 1, 2, 4, 8
 #: Rules of up to this many bytes are sent to every executor; beyond, pages are shuffled.
 SENT_BYTES = 32 << 20
 
@@ -233,25 +236,44 @@ def expression(node: list) -> str:
     return f"{node[0]}( {inner} ){node[1]}" if inner else f"{node[0]}(){node[1]}"
 
 
-def rules(wrapper: list) -> dict[str, bool]:
-    """For each path with text, whether it is main text."""
-    places: list[tuple[tuple[str, ...], bool]] = []
+def rules(wrapper: list) -> dict[str, int]:
+    """For each path with text, the containers (``ARTICLE``, ``MAIN``, ``NAMED``, ``BODY``) of
+    whose main text it is; in pages that have none of the first three, it is that of the body.
+
+    What the wrapper knows as constant is left out of a container, unless all of it is.
+    """
+    texts: dict[tuple[tuple[str, ...], str], set[int]] = {}  # of the same path in several templates
     todo: list[tuple[list, tuple[str, ...]]] = [(wrapper, ())]
     while todo:
         node, path = todo.pop()
         path = (*path, node[0]) if node[0] else path
         if node[2] is not None:
-            places.append((path, len(node[4]) >= CONFIRMED))
+            texts.setdefault((path, node[2]), set()).update(node[4])
         todo += [(c, path) for c in node[3]]
+    places = [(p, len(pages) >= CONFIRMED) for (p, _), pages in texts.items()]
+    marks = {"/".join(p): 0 for p, _ in places}
     free = [(p, constant) for p, constant in places if not apart(p)]
-    for inside in (_in_article, _in_main, _in_named):
-        if any(inside(p) for p, _ in free):
-            kept = {p for p, _ in free if inside(p)}
-            break
-    else:
-        varying = {p for p, constant in free if not constant}
-        kept = varying or {p for p, _ in free}
-    return {"/".join(p): p in kept for p, _ in places}
+    outside = free
+    for bit, inside in ((ARTICLE, _in_article), (MAIN, _in_main), (NAMED, _in_named), (BODY, None)):
+        own = [(p, c) for p, c in free if inside(p)] if inside else outside
+        outside = [(p, c) for p, c in outside if not inside(p)] if inside else []
+        for p in {p for p, constant in own if not constant} or {p for p, _ in own}:
+            marks["/".join(p)] |= bit
+    return marks
+
+
+def container(found: dict[str, int], marks: dict[str, int]) -> int:
+    """Which container holds a page's main text. ``found``: characters at its paths.
+
+    The first kind that the page has; a later one if it has more text beside than the
+    earlier one holds, as where an article element is but a teaser.
+    """
+    chosen, held = BODY, None
+    for bit in (ARTICLE, MAIN, NAMED):
+        own = {p for p in found if marks.get(p, 0) & bit}
+        if own and (held is None or sum(found[p] for p in own - held) > sum(found[p] for p in held)):
+            chosen, held = bit, own
+    return chosen
 
 
 def apart(path: tuple[str, ...]) -> bool:
@@ -275,11 +297,25 @@ def _in_named(path: tuple[str, ...]) -> bool:
     return any(not MAIN_NAMES.isdisjoint(k.split(".")[1:]) for k in path if k.split(".")[0] not in ("html", "body"))
 
 
-def main_text(html: str, keep: dict[str, bool]) -> str:
-    """The page's blocks at the places that the rules keep."""
-    blocks, block = [], []
+def main_text(html: str, marks: dict[str, int]) -> str:
+    """The page's blocks at the places that the rules keep in the page's container."""
     path, inline = [""], []
-    kept = keep.get("", False)
+    found: dict[str, int] = {}
+    steps: list[tuple[str, str, str]] = []  # kind, text or key, path
+    for kind, value in events(html):
+        if kind == "text":
+            if not value.isspace():
+                found[path[-1]] = found.get(path[-1], 0) + len(value)
+        elif kind == "open":
+            plain = _plain(value) or len(path) > DEPTH
+            inline.append(plain)
+            if not plain:
+                path.append(f"{path[-1]}/{value}" if path[-1] else value)
+        elif kind == "close" and not inline.pop():
+            path.pop()
+        steps.append((kind, value, path[-1]))
+    chosen = container(found, marks)
+    blocks, block = [], []
 
     def flush() -> None:
         if block:
@@ -288,26 +324,12 @@ def main_text(html: str, keep: dict[str, bool]) -> str:
                 blocks.append(text)
             block.clear()
 
-    for kind, value in events(html):
+    for kind, value, at in steps:
         if kind == "text":
-            if kept:
+            if marks.get(at, 0) & chosen:
                 block.append(unescape(value))
-        elif kind == "break":
+        elif kind == "break" or value.split(".")[0] not in INLINE:
             flush()
-        elif kind == "open":
-            plain = _plain(value) or len(path) > DEPTH
-            inline.append(plain)
-            if not plain:
-                path.append(f"{path[-1]}/{value}" if path[-1] else value)
-                kept = keep.get(path[-1], False)
-            if value.split(".")[0] not in INLINE:
-                flush()
-        else:
-            if value not in INLINE:
-                flush()
-            if not inline.pop():
-                path.pop()
-                kept = keep.get(path[-1], False)
     flush()
     return " ".join(blocks)
 
@@ -375,7 +397,7 @@ def extracted(pages: DataFrame, url: str = "url", html: str = "html", sent_bytes
     names = pages.columns
 
     def run(lots):
-        known: dict[str, dict[str, bool]] = {}
+        known: dict[str, dict[str, int]] = {}
         for batch in lots:
             own = batch.column("_wrapper").dictionary_encode()
             held = own.dictionary.to_pylist()

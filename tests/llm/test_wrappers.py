@@ -69,6 +69,20 @@ def test_titles_that_no_other_page_confirms_stay(spark, copies):
     assert got == {i: f"Short title {long} End" for i in range(copies)} | {10 + i: f"Title {i} {long} {i}" for i in range(4)}
 
 
+@pytest.mark.parametrize("address", ["http://h/", None])
+def test_templates_of_one_host(spark, address):
+    """Each page's own container counts, whatever other pages of the host have."""
+    long = lambda i: f"text {i} " + "with many words " * 9
+    forms = ["<article><h1>T{0}</h1><p>{1}</p><p class=more>Read on</p></article><div>Home</div>", "<main><h1>T{0}</h1><p>{1}</p></main><div>Home</div>",
+             "<div class=content><h1>T{0}</h1><p>{1}</p></div><div>Home</div>", "<div><h1>T{0}</h1><p>{1}</p></div>",
+             "<main><h1>T{0}</h1><p>{1}</p></main><div class=cards><article>card {0}</article></div>",
+             "<article><img src=x></article><main><h1>T{0}</h1><p>{1}</p></main>"]
+    rows = [(i, address, "<body>" + forms[i % 6].format(i, long(i))) for i in range(36)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r["page_id"]: r["text"] for r in wrappers.extracted(df).collect()}
+    assert got == {i: f"T{i} {long(i)}".strip() for i in range(36)}
+
+
 def test_pages_of_a_constant_in_any_order():
     made = [wrappers.page_wrapper(f"<div>Header</div><p>text {i % 5}</p>") for i in range(20)]
     forth, back = wrappers._fold(iter(made)), wrappers._fold(iter(made[::-1]))
