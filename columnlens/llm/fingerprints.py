@@ -3,8 +3,9 @@
 A text is the set of its runs of five words (fewer words: one run). Universal hash
 permutations of these shingles, all of a lot of texts at once in numpy, give a signature:
 per permutation the smallest value. The share of equal places in two signatures estimates
-the Jaccard similarity of the sets. Signatures are cut into bands; documents that share a
-band meet in Spark, and their sets are compared exactly.
+the Jaccard similarity of the sets. Signatures are cut into bands. Documents that share a band
+are tied to its smallest; this only makes them candidates. All pairs in a component of ties
+are compared exactly in blocks, as in ``forest``, so no document stands between two others.
 
 Defined results. Null text: as an empty one. A text without words has the signature of the
 empty set; two of them have likeness 1, and they are never near copies. Repeated rows have
@@ -15,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -22,8 +24,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .storage import parts, range_bounds, range_of, saved, text_batches
-from .textops import Permutations, shingle_sets
+from . import forest
+from .storage import parts, range_bounds, range_of, saved, sent_if_small, text_batches
+from .textops import Permutations
 
 PERMUTATIONS = 128
 WIDTH = 5
@@ -55,41 +58,46 @@ def with_fingerprints(documents: DataFrame, text: str = "text", permutations: in
     return text_batches(documents).mapInArrow(run, out)
 
 
+def _verified(documents: DataFrame, doc_id: str, text: str, threshold: float, bands: int):
+    exact = Fraction(threshold).limit_denominator(1_000_000)
+    size = PERMUTATIONS // bands
+    return forest.verified(documents, doc_id, text, size, bands, size, seed=1,  # the seed of fingerprints
+                           threshold=(exact.numerator, exact.denominator))
+
+
 def near_copies(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
                 threshold: float = THRESHOLD, bands: int = BANDS) -> DataFrame:
-    """``doc_id, near, jaccard``: each document with the smaller documents that stand for one
-    of its bands, if the exact similarity of their sets is ``threshold`` or more.
+    """``doc_id, near, jaccard``: links that connect each group of near copies, with the exact
+    similarity of the sets, ``threshold`` or more; ``near`` is the smaller id.
 
-    A band's rows meet its smallest document only, so a frequent band gives as many pairs
-    as it has rows, and the smallest per band is found before rows are shuffled.
+    A document whose set a smaller one has too is linked to the smallest of that set, and
+    only that one to others. There are no more than a few links per document and block,
+    however large a group is; ``near_groups`` has the number of all.
     """
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    signed = with_fingerprints(rows.where("doc_id is not null"))
-    size = 8 * PERMUTATIONS // bands
-    empty = "f" * 8 * PERMUTATIONS
-    pieces = F.transform(F.sequence(F.lit(0), F.lit(bands - 1)), lambda i: F.struct(
-        i.alias("band"), F.xxhash64(F.substring(F.col("fingerprint"), i * size + 1, F.lit(size))).alias("key")))
-    banded = saved(
-        signed.where(F.col("fingerprint") != empty).select("doc_id", F.inline(pieces)), "bands")
-    first = banded.groupBy("band", "key").agg(F.min("doc_id").alias("near"))
-    pairs = (
-        banded.join(first, ["band", "key"]).where(F.col("near") < F.col("doc_id"))
-        .select("doc_id", "near").distinct()
-    )
-    with_own = pairs.join(rows.withColumnRenamed("text", "own"), "doc_id")
-    other = rows.select(F.col("doc_id").alias("near"), F.col("text").alias("other"))
+    members, classes, checked = _verified(documents, doc_id, text, threshold, bands)
+    equal = members.join(classes.select("digest", "class"), "digest").where(F.col("doc_id") > F.col("class"))
+    return equal.select("doc_id", F.col("class").alias("near"), F.lit(1.0).alias("jaccard")).unionByName(
+        checked.where("b is not null").select(
+            F.greatest("a", "b").alias("doc_id"), F.least("a", "b").alias("near"), "jaccard"))
 
-    def run(lots):
-        for batch in lots:
-            sets = zip(shingle_sets(batch.column("own"), WIDTH), shingle_sets(batch.column("other"), WIDTH))
-            value = [len(np.intersect1d(a, b, True)) / max(len(np.union1d(a, b)), 1) for a, b in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("near"), pa.array(value, pa.float64())],
-                names=["doc_id", "near", "jaccard"])
-
-    verified = with_own.join(other, "near").select("doc_id", "near", "own", "other").mapInArrow(
-        run, "doc_id long, near long, jaccard double")
-    return verified.where(F.col("jaccard") >= threshold - 1e-12)
+
+def near_groups(documents: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                threshold: float = THRESHOLD, bands: int = BANDS) -> DataFrame:
+    """``doc_id, class_id, group_id, n_links``: smallest document of an equal set, smallest of
+    the connected links, and number of all links; one row per id."""
+    return forest.grouped(*_verified(documents, doc_id, text, threshold, bands)).drop("n_rows")
+
+
+def with_groups(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``near_groups``. Only documents with links are met; any
+    other stands for itself. Rows without an id get null and no links."""
+    rows = rows.drop("class_id", "group_id", "n_links")
+    linked = saved(groups.where("n_links > 0").withColumnRenamed("doc_id", "_of"), "linked")
+    met = rows.join(sent_if_small(linked), F.col("doc_id") == F.col("_of"), "left")
+    return met.select(
+        *rows.columns, F.coalesce("class_id", "doc_id").alias("class_id"),
+        F.coalesce("group_id", "doc_id").alias("group_id"),
+        F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
 
 
 def edited(own: str, following: str) -> str:

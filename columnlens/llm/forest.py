@@ -61,11 +61,11 @@ def _digest(values: np.ndarray) -> bytes:
     return hashlib.blake2b(values.tobytes(), digest_size=16).digest()
 
 
-def _labels(length: int, trees: int, depth: int):
+def _labels(length: int, trees: int, depth: int, seed: int):
     """Per text: digest and size of its set, and its prefix in every tree."""
 
     def run(lots: Iterator[pa.RecordBatch]):
-        hashing = Permutations(trees * depth, seed=2)
+        hashing = Permutations(trees * depth, seed=seed)
         weigh = np.random.default_rng(3).integers(1, 1 << 62, (trees, length), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         for batch in lots:
             for at in range(0, batch.num_rows, 1024):
@@ -91,8 +91,8 @@ def _labels(length: int, trees: int, depth: int):
     return run
 
 
-def _blocks(rows: list[tuple]) -> Iterator[tuple[list, list]]:
-    """Link counts per class and connecting links of one pair of blocks.
+def _blocks(rows: list[tuple], threshold: tuple[int, int]) -> tuple[list, list]:
+    """Link counts per class and connecting links, with their likeness, of one pair of blocks.
 
     ``rows``: (side, class, members, shingles); in a block paired with itself all have side 0.
     """
@@ -114,7 +114,7 @@ def _blocks(rows: list[tuple]) -> Iterator[tuple[list, list]]:
         part[row[a:b], column[a:b] - first] = 1
         shared += part @ part.T  # whole numbers: exact in float32 up to 2^24
     both = shared.astype(np.int64)
-    top, bottom = THRESHOLD
+    top, bottom = threshold
     linked = bottom * both >= top * (size[:, None] + size[None, :] - both)
     np.fill_diagonal(linked, False)
     side = np.array([r[0] for r in rows])
@@ -130,35 +130,39 @@ def _blocks(rows: list[tuple]) -> Iterator[tuple[list, list]]:
             i = front.pop()
             fresh = np.flatnonzero(linked[i] & ~seen)
             seen[fresh] = True
-            ties += [(rows[i][1], rows[j][1]) for j in fresh.tolist()]
+            ties += [(rows[i][1], rows[j][1], both[i, j] / (size[i] + size[j] - both[i, j])) for j in fresh.tolist()]
             front += fresh.tolist()
     return counts, ties
 
 
-def _verify(lots: Iterator[pa.RecordBatch]):
+def _verify(threshold: tuple[int, int]):
     """Rows come sorted by block pair; one pair of blocks is held at a time."""
 
-    def out(found: list[tuple]) -> pa.RecordBatch:
-        kind = [pa.int64(), pa.int64(), pa.int64()]
-        columns = list(zip(*found)) if found else ([], [], [])
-        return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kind)], names=["a", "b", "links"])
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        counts, ties = _blocks(rows, threshold)
+        found = [(c, None, n, None) for c, n in counts] + [(a, b, None, v) for a, b, v in ties]
+        columns = list(zip(*found)) if found else ([], [], [], [])
+        kind = [pa.int64(), pa.int64(), pa.int64(), pa.float64()]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(c), k) for c, k in zip(columns, kind)], names=["a", "b", "links", "jaccard"])
 
-    key, rows = None, []
-    for batch in lots:
-        keys = list(zip(*(batch.column(c).to_pylist() for c in ("component", "low", "high"))))
-        side, own, members = (batch.column(c).to_pylist() for c in ("side", "class", "members"))
-        sets = batch.column("shingles")
-        at, flat = sets.offsets.to_numpy(), sets.values.to_numpy()
-        for i, k in enumerate(keys):
-            if k != key and rows:
-                counts, ties = _blocks(rows)
-                yield out([(c, None, n) for c, n in counts] + [(a, b, None) for a, b in ties])
-                rows = []
-            key = k
-            rows.append((side[i], own[i], members[i], flat[at[i] : at[i + 1]].copy()))
-    if rows:
-        counts, ties = _blocks(rows)
-        yield out([(c, None, n) for c, n in counts] + [(a, b, None) for a, b in ties])
+    def run(lots: Iterator[pa.RecordBatch]):
+        key, rows = None, []
+        for batch in lots:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("component", "low", "high"))))
+            side, own, members = (batch.column(c).to_pylist() for c in ("side", "class", "members"))
+            sets = batch.column("shingles")
+            at, flat = sets.offsets.to_numpy(), sets.values.to_numpy()
+            for i, k in enumerate(keys):
+                if k != key and rows:
+                    yield out(rows)
+                    rows = []
+                key = k
+                rows.append((side[i], own[i], members[i], flat[at[i] : at[i + 1]].copy()))
+        if rows:
+            yield out(rows)
+
+    return run
 
 
 def _sets(lots: Iterator[pa.RecordBatch]):
@@ -185,11 +189,19 @@ def _sets(lots: Iterator[pa.RecordBatch]):
 def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", trees: int = TREES,
            depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
     """``doc_id, class_id, group_id, n_links``: see the module."""
-    spark = documents.sparkSession
     top, bottom = THRESHOLD
     length = prefix_length(top / bottom, trees, depth, recall)
+    return grouped(*verified(documents, doc_id, text, length, trees, depth))
+
+
+def verified(documents: DataFrame, doc_id: str, text: str, length: int, trees: int, depth: int, seed: int = 2,
+             threshold: tuple[int, int] = THRESHOLD) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents with the digests of their sets; classes of equal sets; and, of all pairs in
+    the components of classes that share a prefix, link counts (``a, links``) and links that
+    connect what is linked (``a, b, jaccard``)."""
+    spark = documents.sparkSession
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).where("doc_id is not null")
-    made = text_batches(rows).mapInArrow(_labels(length, trees, depth), "doc_id long, digest binary, size int, prefixes array<long>")
+    made = text_batches(rows).mapInArrow(_labels(length, trees, depth, seed), "doc_id long, digest binary, size int, prefixes array<long>")
     labelled = saved(
         made.groupBy("doc_id")
         .agg(F.min(F.struct("digest", "size", "prefixes")).alias("m"), F.count("*").alias("n_rows"))
@@ -226,7 +238,12 @@ def joined(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", tre
     checked = saved(
         dealt.repartition(n, "component", "low", "high").sortWithinPartitions("component", "low", "high")
         .select("component", "low", "high", "side", "class", "members", "shingles")
-        .mapInArrow(_verify, "a long, b long, links long"), "links")
+        .mapInArrow(_verify(threshold), "a long, b long, links long, jaccard double"), "links")
+    return members, classes, checked
+
+
+def grouped(members: DataFrame, classes: DataFrame, checked: DataFrame) -> DataFrame:
+    """``doc_id, class_id, group_id, n_links, n_rows`` of what ``verified`` gives."""
     groups = components(checked.where("b is not null").select("a", "b"))
     links = checked.where("links is not null").groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("links"))
     found = (

@@ -15,8 +15,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every document and of its edited text."""
-    return fingerprints.edited_likeness(table(spark, sf_dir, "documents"))
+    """Fingerprints of every document and of its edited text, and its near copies by bands."""
+    documents = table(spark, sf_dir, "documents")
+    return fingerprints.with_groups(
+        fingerprints.edited_likeness(documents), fingerprints.near_groups(documents))
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ from columnlens.llm import fingerprints
 from columnlens.llm.queries import QUERIES
 
 from .common import SF
-from .test_forest import shingle_set
+from .test_forest import brute, shingle_set
 
 
 def jaccard(a, b):
@@ -60,6 +60,41 @@ def test_near_copies(spark, rows):
     assert {a for a, _ in got} >= {1000 + i for i in range(1, 30)} and (502, 3) in got
 
 
+def test_links_beside_smaller_documents(spark):
+    """Smaller documents at about 0.7 of two others, which are linked at about 0.9, are first in
+    their bands; the link between the two must be found all the same."""
+    rnd = random.Random(5)
+    word = lambda: f"w{rnd.randrange(10**6)}"
+    base = [word() for _ in range(300)]
+    other = lambda n: " ".join(base[: 300 - n] + [word() for _ in range(n)])
+    made = [(i, other(52)) for i in range(400)] + [(900, " ".join(base)), (901, other(15)), (902, other(15)), (903, " ".join(base))]
+    made += [(950, None), (951, "?!"), (952, "one two")]
+    df = spark.createDataFrame(made, "doc_id long, text string")
+    want = brute(made)
+    assert want[901][1] == 900 and all(want[i][1] == i for i in range(400))
+    got = {r["doc_id"]: (r["class_id"], r["group_id"], r["n_links"]) for r in fingerprints.near_groups(df).collect()}
+    assert got == want
+    texts, links = dict(made), fingerprints.near_copies(df).collect()
+    assert {x for r in links for x in (r["doc_id"], r["near"])} == {i for i in want if want[i][2]}
+    assert all(r["near"] < r["doc_id"] and abs(jaccard(texts[r["doc_id"]], texts[r["near"]]) - r["jaccard"]) < 1e-9 for r in links)
+
+
+def test_query_links(spark):
+    """The registered query gives the classes, groups and links of all pairs."""
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    sets = {i: shingle_set(t) for i, t in rows}
+    owners = {}
+    for i, s in sets.items():
+        for g in s:
+            owners.setdefault(g, []).append(i)
+    links = {i: 0 for i in sets}
+    for i, s in sets.items():
+        near = {j for g in s for j in owners[g]} - {i}
+        links[i] = sum(5 * len(s & sets[j]) >= 4 * len(s | sets[j]) for j in near)
+    got = {r["doc_id"]: r["n_links"] for r in QUERIES["op1_fingerprints"](spark, SF).collect()}
+    assert got == links and any(links.values())
+
+
 def test_query(spark):
     got = QUERIES["op1_fingerprints"](spark, SF)
     assert got.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
