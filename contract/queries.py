@@ -17,6 +17,8 @@ from .fixtures import corpus_cells, dictionary, labelled, messy, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+#: Queries without SQL (DuckDB's edit distance is over bytes); tests check them by brute force.
+WITHOUT_SQL: dict[str, Query] = {}
 
 
 def register(query: Query) -> Query:
@@ -413,6 +415,17 @@ def dict_fuzzy_large(spark, sf):
     return cl.fuzzy_match(words, terms, on="word")
 
 
+def dict_fuzzy_tokens(spark, sf):
+    """As ``dict_fuzzy_large``, with all words of both sides: short ones and any letters."""
+    terms = _tokens(table(spark, sf, "conversations")).select(
+        F.lit("word").alias("label"), F.col("word").alias("term")
+    )
+    return cl.fuzzy_match(_tokens(table(spark, sf, "benchmark")), terms, on="word")
+
+
+WITHOUT_SQL["dict_fuzzy_tokens"] = dict_fuzzy_tokens
+
+
 @register
 def similarity(spark, sf):
     parts = table(spark, sf, "part")

@@ -109,3 +109,22 @@ def test_no_lookup_compares_all_pairs(spark, strings, monkeypatch, large):
     for match in (cl.exact_match, cl.contains_match, cl.fuzzy_match):
         plan = match(values, terms)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_fuzzy_tokens_of_any_letters(spark, tmp_path):
+    """All words count: of one letter, with accents and digits, or in other scripts."""
+    from __spark_entry__ import queries
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("aé1ñд日-") for _ in range(rng.randrange(1, 12)))
+    stems = [word() for _ in range(60)]
+    near = [w[:-1] + rng.choice("aé1") for w in stems] + [w + "x" for w in stems]
+    left = stems + ["a", "I", "über", "naïveté", "日本語の文", "r2d2c3"]
+    right = near + ["i", "ÜBER", "naivete", "naïvete", "日本語の分", "r2d2c4"]
+    for name, words in (("benchmark", left), ("conversations", right)):
+        lines = [(" \n".join(words[i : i + 7]) + " ",) for i in range(0, len(words), 7)] + [(None,)]
+        spark.createDataFrame(lines, "text string").write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {(r["word"], r["label"], r["term"]) for r in queries()["dict_fuzzy_tokens"](spark, str(tmp_path)).collect()}
+    a, b = ({w.lower() for w in words} for words in (left, right))
+    assert got == {(x, "word", y) for x in a for y in b if similar(x, y)}
+    assert {("i", "word", "i"), ("über", "word", "über"), ("日本語の文", "word", "日本語の分")} <= got
