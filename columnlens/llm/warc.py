@@ -9,7 +9,8 @@ unwanted record is passed over in pieces, without being kept, split or decoded.
 ``payload=false`` does so for all records.
 
 Defined results. Null payload: empty. Null record id, address or reference: the header is
-left out and read as null. Line breaks in a header value become ``%0D`` and ``%0A``. No
+left out and read as null. Archives of other writers: a block of type ``application/http``
+loses its HTTP head, up to the first empty line; any other block is the payload as it is. Line breaks in a header value become ``%0D`` and ``%0A``. No
 rows: an archive without records. Extra columns of the input are not written.
 """
 
@@ -170,6 +171,15 @@ class _Bytes:
         self.held = self.held[n:]
         return b"".join(got)
 
+    def fields(self, n: int) -> tuple[bytes, int]:
+        """The head of a block of ``n`` bytes up to its empty line, and the bytes left to skip."""
+        got = b""
+        while n and b"\r\n\r\n" not in got[-1027:]:
+            size = min(n, 1024)
+            got += self.block(size)
+            n -= size
+        return got.partition(b"\r\n\r\n")[0], n
+
     def skip(self, n: int) -> None:
         if not self.packed and n > len(self.held):
             self.file.seek(self.file.tell() + n - len(self.held))
@@ -214,20 +224,24 @@ class WarcReader(DataSourceReader):
         with fs.open_input_file(f"{folder}/{partition.value}") as file:
             source = _Bytes(file, partition.value.endswith(".gz"))
             while (head := source.head()) is not None:
-                row, length = _parsed(head)
+                row, length, http = _parsed(head)
                 if not self._wanted(row):
                     source.skip(length + 4)
                     continue
                 if self.payload:
-                    http, _, payload = source.block(length).partition(b"\r\n\r\n")
+                    payload = source.block(length)
                     source.skip(4)
+                    fields, _, payload = payload.partition(b"\r\n\r\n") if http else (b"", b"", payload)
                     if row["record_type"] != "revisit":
                         row["payload"] = payload
                         size += len(payload)
                 else:
-                    http = source.block(min(length, 1024)).partition(b"\r\n\r\n")[0]
-                    source.skip(length - min(length, 1024) + 4)
-                row["payload_length"] = next((int(x[15:]) for x in http.split(b"\r\n") if x[:15].lower() == b"content-length:"), None)
+                    fields, left = source.fields(length) if http else (b"", length)
+                    source.skip(left + 4)
+                if http:
+                    row["payload_length"] = next((int(x[15:]) for x in fields.split(b"\r\n") if x[:15].lower() == b"content-length:"), None)
+                elif row["record_type"] != "revisit":
+                    row["payload_length"] = length
                 rows.append(row)
                 if size > 1 << 22 or len(rows) >= 4096:
                     yield _batch(rows)
@@ -236,17 +250,20 @@ class WarcReader(DataSourceReader):
             yield _batch(rows)
 
 
-def _parsed(head: bytes) -> tuple[dict, int]:
-    row, length = dict.fromkeys(x.split()[0] for x in SCHEMA.split(", ")), 0
+def _parsed(head: bytes) -> tuple[dict, int, bool]:
+    """The record's headers, the length of its block, and whether that begins with an HTTP head."""
+    row, length, http = dict.fromkeys(x.split()[0] for x in SCHEMA.split(", ")), 0, False
     for line in head.lstrip(b"\r\n").split(b"\r\n")[1:]:
         name, _, value = line.partition(b":")
         name, value = name.strip().lower(), value.strip()
         if name == b"content-length":
             length = int(value)
+        elif name == b"content-type":
+            http = value.split(b";")[0].strip().lower() == b"application/http"
         elif name in _OF_HEADER:
             key, text = _OF_HEADER[name], value.decode("utf-8", "replace")
             row[key] = text[1:-1] if text[:1] == "<" else text.removeprefix("sha256:") if key == "payload_digest" else text
-    return row, length
+    return row, length, http
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:

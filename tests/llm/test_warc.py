@@ -59,5 +59,27 @@ def test_empty(spark, pages):
     assert warc.read_archive(spark, path).count() == 0
 
 
+@pytest.mark.parametrize("payload", [True, False])
+def test_other_writers(spark, tmp_path, payload):
+    """Only HTTP blocks have a head to split off, however long it is."""
+    text = b"first paragraph\r\n\r\nsecond\r\n\r\nthird"
+    http = b"HTTP/1.1 200 OK\r\n%sContent-Length: 11\r\n\r\n"
+    made = [
+        ("conversion", b"text/plain", text, text, len(text)), ("metadata", b"application/warc-fields", b"a: b\r\n", b"a: b\r\n", 6),
+        ("resource", b"", b"no empty line", b"no empty line", 13), ("warcinfo", b"application/warc-fields", b"", b"", 0),
+        ("conversion", b"text/plain", b"Content-Length: 99\r\n\r\nx", b"Content-Length: 99\r\n\r\nx", 23)]
+    for n in (0, 1, *range(974, 985), 5000):  # the empty line across every border of the pieces read
+        head = http % (b"X: " + b"y" * n + b"\r\n")
+        made.append(("response", b"application/http; msgtype=response", head + b"ab\r\n\r\ncdefg", b"ab\r\n\r\ncdefg", 11))
+    out = b""
+    for i, (kind, mime, block, _, _) in enumerate(made):
+        lines = [b"WARC/1.0", b"WARC-Type: " + kind.encode(), b"WARC-Record-ID: <%d>" % i] + ([b"Content-Type: " + mime] if mime else [])
+        out += b"\r\n".join([*lines, b"Content-Length: %d" % len(block), b"", block, b"", b""])
+    (tmp_path / "other.warc").write_bytes(out)
+    got = sorted((int(r["record_id"]), r["record_type"], r["payload"] and bytes(r["payload"]), r["payload_length"])
+                 for r in warc.read_archive(spark, str(tmp_path), payload=payload).collect())
+    assert got == [(i, k, (p if payload else None) and bytes(p), n) if payload else (i, k, None, n) for i, (k, _, _, p, n) in enumerate(made)]
+
+
 def test_query(spark):
     against_sql(spark, "op8_warc", QUERIES, ORACLE_SQL)
