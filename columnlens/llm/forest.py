@@ -1,11 +1,11 @@
-"""N-gram Jaccard join with an LSH forest.
+"""N-gram Jaccard join by MinHash bands, where an LSH forest would end.
 
 A text is the set of its runs of five words (fewer words: one run). Texts with equal sets
 are one class, which goes on as one row. Each class has ``TREES`` MinHash labels of up to
-``DEPTH`` values; a tree is the trie of its labels, kept as sorted prefixes. Two classes
-of likeness s share a prefix of length k in some tree with the chance 1 - (1 - s^k)^TREES.
-Matching begins with whole labels and shortens the prefix until that chance, at the
-threshold, reaches ``RECALL``; longer prefixes are contained in the shortened one.
+``DEPTH`` values. Two classes of likeness s share a prefix of length k in some tree with the
+chance 1 - (1 - s^k)^TREES. No tries are built: one length is computed, the longest with
+which that chance, at the threshold, reaches ``RECALL``, and equal prefixes are grouped. What
+meets under a longer prefix meets under it too, so shortening in rounds finds the same.
 
 Classes under one prefix are tied to its smallest class, so a prefix with m classes gives
 m - 1 ties however large m is. All pairs that share a prefix lie within one component of
