@@ -13,6 +13,7 @@ learned from and scored, and a text's regression values are their mean by length
 
 Training rows are a bounded sample: up to ``MAX_ROWS`` texts with a language, of up to
 ``MAX_CHARS`` characters, chosen by a hash, as many of each language as there are or fit.
+Copies of a text in one language count once. Landmarks are different pieces, by a hash.
 All else covers every text whole.
 
 Defined results. Null text, or one without any letter: ``und`` with score 0. Null
@@ -22,6 +23,7 @@ that one, 1. Equal regression values: the first language in order.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 import numpy as np
@@ -96,14 +98,22 @@ class Model:
         return names, scores
 
 
+def spread(texts: list[str], among: np.ndarray, count: int) -> np.ndarray:
+    """Up to ``count`` places of different texts, by the texts' hashes."""
+    first = {texts[i]: i for i in among[::-1].tolist()}
+    order = sorted(first, key=lambda t: (hashlib.blake2b(t.encode("utf-8", "replace"), digest_size=8).digest(), t))
+    return np.array([first[t] for t in order[:count]], np.int64)
+
+
 def train(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridge: float = 1e-3) -> Model:
-    """Landmarks are dealt evenly to the languages."""
+    """Landmarks are dealt evenly to the languages, and are different pieces of each."""
     kinds = sorted(set(languages))
     if not kinds:
         return Model([], np.zeros((1 << BITS, 0), np.float32), np.zeros((0, 0), np.float32), np.zeros(0))
     texts, owner = pieces(texts)
     at = np.array([kinds.index(x) for x in languages])[owner]
-    chosen = np.concatenate([np.flatnonzero(at == k)[: max(1, landmarks // len(kinds))] for k in range(len(kinds))])
+    chosen = np.concatenate([
+        spread(texts, np.flatnonzero(at == k), max(1, landmarks // len(kinds))) for k in range(len(kinds))])
     marks = presence([texts[i] for i in chosen]).T
     kernel = np.concatenate([presence(texts[i : i + 64]) @ marks for i in range(0, len(texts), 64)]).astype(np.float64)
     values, vectors = np.linalg.eigh(kernel[chosen])
@@ -127,11 +137,12 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(documents: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Train on up to about ``max_rows`` documents with a language that are not held out.
-    Only these rows come to the driver."""
+    Only these rows come to the driver; copies of a text in one language are one row."""
     known = documents.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= MAX_CHARS)
         & ~F.coalesce(held_out(F.col("doc_id")), F.lit(False)))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    different = known.select("lang", F.xxhash64("text").alias("text")).distinct()
+    counts = {r["lang"]: r["n"] for r in different.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return train([], [])
     room = max(1, max_rows // len(counts))
@@ -139,7 +150,7 @@ def fit(documents: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     chosen = F.lit(False)
     for lang, n in counts.items():
         chosen = chosen | ((F.col("lang") == lang) & (part < int(1_000_000 * min(1.0, room / n)) + 1))
-    rows = known.where(chosen).select("text", "lang").toArrow()
+    rows = known.where(chosen).select("text", "lang").distinct().toArrow()
     pairs = sorted(zip(rows.column("text").to_pylist(), rows.column("lang").to_pylist()))
     return train([t for t, _ in pairs], [lang for _, lang in pairs])
 

@@ -3,6 +3,7 @@
 import zlib
 
 import pyarrow.parquet as pq
+import numpy as np
 import pytest
 
 from columnlens.llm import language, toxicity
@@ -88,3 +89,17 @@ def test_landmark_kernel():
 
     want = [[kernel(a, b) for b in texts] for a in texts]
     assert np.allclose(p @ p.T, want, atol=0.03)  # up to collisions of hashes
+
+
+def test_language_learns_from_different_texts(spark, monkeypatch):
+    """Copies of a text are one row of the sample, and no two landmarks of a language."""
+    texts = [f"text number {i} " + "word" * (i % 7) for i in range(200)]
+    rows = [(10_000 + k, t, ("de", "fr")[i % 2]) for i, t in enumerate(texts) for k in range(20 * i, 20 * i + 20)]
+    rows = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    seen = []
+    monkeypatch.setattr(language, "train", lambda texts, languages: seen.append((texts, languages)))
+    language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 400)
+    assert sorted(seen[0][0]) == sorted(texts)
+    monkeypatch.undo()
+    model = language.train(["a a copy that sorts first"] * 300 + texts, ["de"] * 500, landmarks=50)
+    assert len(np.unique(model.landmarks, axis=1).T) == 50
