@@ -83,10 +83,51 @@ SELECT page_id, url, payload_bytes, payload_digest,
 FROM f
 """
 
+
+
+def _assigned(n: int) -> str:
+    """Every vector's cluster among the centroids ``c{n}`` and its distance."""
+    return f"""
+f{n} AS (SELECT r, c, sum((x - m) * (x - m)) AS far FROM v JOIN c{n} USING (d) GROUP BY r, c),
+a{n} AS (SELECT r, c, far FROM f{n} QUALIFY row_number() OVER (PARTITION BY r ORDER BY far, c) = 1)"""
+
+
+def _moved(n: int) -> str:
+    """The centroids after round ``n``; what has no vector stays."""
+    return f"""
+s{n} AS (SELECT c, d, sum(x) AS s, count(*) AS k FROM a{n} JOIN v USING (r) GROUP BY c, d),
+c{n + 1} AS (
+  SELECT c, d, CAST(CASE WHEN k IS NULL THEN m ELSE (s - ((s % k) + k) % k) // k END AS HUGEINT) AS m
+  FROM c{n} LEFT JOIN s{n} USING (c, d)
+)"""
+
+
+#: Five rounds of centroids over the integer entries, a row per vector and dimension.
+OP11 = f"""
+WITH kept AS (
+  SELECT row_number() OVER () AS r, vec_id, embedding FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64
+),
+v AS (SELECT r, d, CAST(floor(256 * CAST(embedding[d] AS DOUBLE)) AS HUGEINT) AS x FROM kept, unnest(range(1, 65)) t(d)),
+first AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR)) NULLS LAST, embedding) - 1 AS c
+  FROM kept QUALIFY c < 40
+),
+c0 AS (SELECT c, d, x AS m FROM first JOIN v USING (r)),
+{",".join(_assigned(n) + "," + _moved(n) for n in range(5))},
+{_assigned(5)},
+ends AS (SELECT c, sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c5 GROUP BY c)
+SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(far AS BIGINT) AS distance,
+  CAST(sum(far) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia, CAST(sum(far) OVER () AS BIGINT) AS inertia,
+  centroid_sha256
+FROM a5 JOIN kept USING (r) JOIN ends USING (c)
+"""
+
 ORACLE_SQL = {
     "op2_jaccard_join": OP2,
     "op4_main_text": OP4,
     "op5_decontaminate": OP5,
     "op8_warc": OP8,
     "op10_chat_format": OP10,
+    "op11_centroids": OP11,
 }

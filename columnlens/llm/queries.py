@@ -7,7 +7,9 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprints, forest, language, pieces, replies, tokenids, toxicity, warc, wrappers
+from . import (
+    centroids, decontaminate, fingerprints, forest, language, pieces, replies, tokenids, toxicity, warc, whitening,
+    wrappers)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -119,6 +121,19 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's cluster after five rounds."""
+    found = centroids.clustered(table(spark, sf_dir, "embeddings"))
+    return found.select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+        F.sha2(F.array_join("centroid", ",").cast("binary"), 256).alias("centroid_sha256"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's first 16 whitened components."""
+    return whitening.components(whitening.whitened(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_jaccard_join": op2_jaccard_join,
@@ -130,4 +145,6 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_chat_format": op10_chat_format,
+    "op11_centroids": op11_centroids,
+    "op13_whitening": op13_whitening,
 }

@@ -3,7 +3,7 @@
 import duckdb
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["documents", "pages", "benchmark", "labels", "conversations"]
+TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def rows(names, found):
