@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    centroids, decontaminate, fingerprints, forest, language, pieces, replies, tokenids, toxicity, warc, whitening,
+    centroids, decontaminate, fingerprints, forest, language, pieces, pii, replies, tokenids, toxicity, warc, whitening,
     wrappers)
 
 
@@ -129,6 +129,20 @@ def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("centroid", ",").cast("binary"), 256).alias("centroid_sha256"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document: base spans, and those that the classifier adds."""
+    rows = pii.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    listed = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    counts = [
+        F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+        for kind in pii.KINDS]
+    return rows.select(
+        "doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every embedding's first 16 whitened components."""
     return whitening.components(whitening.whitened(table(spark, sf_dir, "embeddings")))
@@ -146,5 +160,6 @@ QUERIES = {
     "op9_sentencepiece": op9_sentencepiece,
     "op10_chat_format": op10_chat_format,
     "op11_centroids": op11_centroids,
+    "op12_pii": op12_pii,
     "op13_whitening": op13_whitening,
 }
