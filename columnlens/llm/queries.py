@@ -135,9 +135,8 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = F.filter("spans", lambda s: s["base"])
     listed = lambda spans: F.array_join(F.transform(
         spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
-    counts = [
-        F.size(F.filter(base, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-        for kind in pii.KINDS]
+    number = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long")
+    counts = [number(kind).alias(f"n_{kind}") for kind in pii.KINDS]
     return rows.select(
         "doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"))
