@@ -7,8 +7,9 @@ chance 1 - (1 - s^k)^TREES. No tries are built: one length is computed, the long
 which that chance, at the threshold, reaches ``RECALL``, and equal prefixes are grouped. What
 meets under a longer prefix meets under it too, so shortening in rounds finds the same.
 
-Classes under one prefix are tied to its smallest class, so a prefix with m classes gives
-m - 1 ties however large m is. All pairs that share a prefix lie within one component of
+Classes under one prefix belong to its smallest class. A class is tied to the least of those it
+belongs to, and these to one another, so m classes give about m ties however many prefixes they
+share. All pairs that share a prefix lie within one component of
 ties. Components are verified exactly: their sets are dealt into blocks of ``BLOCK``, and
 every pair of blocks is one small matrix product that counts the shared shingles of all
 its pairs. A block pair gives out, per class, the number of its links, and links that
@@ -213,8 +214,12 @@ def verified(documents: DataFrame, doc_id: str, text: str, length: int, trees: i
              F.first("prefixes").alias("prefixes")), "classes")
     prefixes = classes.select("class", F.posexplode("prefixes").alias("tree", "prefix"))
     low = prefixes.groupBy("tree", "prefix").agg(F.min("class").alias("low"), F.count("*").alias("n")).where("n > 1")
-    ties = prefixes.join(low, ["tree", "prefix"]).where(F.col("low") < F.col("class")).select(
-        F.col("class").alias("a"), F.col("low").alias("b")).distinct()
+    # a class meets up to one low per tree: it is tied to the least of them, and so are the others,
+    # once for all classes; this connects the same as a tie to each
+    lows = saved(prefixes.join(low, ["tree", "prefix"]).groupBy("class").agg(
+        F.min("low").alias("least"), F.collect_set("low").alias("lows")), "lows")
+    ties = lows.select(F.col("class").alias("a"), F.col("least").alias("b")).where("a <> b").union(
+        lows.select(F.explode("lows").alias("a"), F.col("least").alias("b")).where("a <> b").distinct())
     candidate = components(ties)
     # blocks of each component: a class falls into one by a hash; the ids are few and small
     count = candidate.groupBy("component").agg(F.count("*").alias("n"))
