@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
     "value_counts", "frequent_values", "cell_type_counts", "integer_stats", "real_stats",
-    "date_stats", "text_longest", "profile", "profile_corpus", "key_candidates",
+    "date_stats", "text_longest", "profile", "profile_corpus", "key_columns",
     "dict_exact_large", "dict_contains", "dict_contains_large", "dict_fuzzy",
     "dict_fuzzy_large", "pattern_match", "semantic_types", "semantic_default_rules",
     "resolve_columns", "precision_recall", "column_precision", "top_values",

@@ -1,40 +1,51 @@
 """Column sets that identify a row.
 
-The search goes by width.  What one width teaches prunes the next:
-
-* a set that holds a key is a key, so it is reported without being counted;
-* the distinct values of a set are at most the product of those of its columns,
-  so a product below the row count rules the set out;
-* if the most frequent value of one column occurs more often than the rest of
-  the set has value combinations, two of those rows are equal;
-* two equal rows among any rows of the table rule the set out.  A large table
-  first looks for them in a slice of the hash of the set, which holds all rows
-  that are equal, so repeats show up in proportion;
-* if all columns that are no keys themselves repeat a row together, no set of
-  them is a key, and the search ends.
-
-Sets of a width are put together from the open sets of the width before, so no
-superset of a key is ever listed.  The search goes on to the full width unless
-``max_width`` ends it; its number of sets can grow as 2^n, as the task itself does.
-
-Only sets that survive are counted, exactly and over all rows, a few per job.  The driver sees
-one row of counts per job and never a row of the table.
+Two rows differ in a set of columns, their difference set. A column set is a key exactly if it
+has a column in common with the difference set of every pair of rows, so the minimal keys are
+the minimal hitting sets of all difference sets. The search never looks at all pairs:
+
+* pairs of nearly equal rows, found by sorting small slices of the table, give first
+  difference sets. Small ones rule out most column sets;
+* the minimal hitting sets of what is known are the only candidates. All up to
+  ``SETS_PER_SCAN`` of them are tested in one scan of the table;
+* a candidate that repeats a row is refuted by pairs that agree on it, which are fetched in one
+  more scan and give new difference sets; the others are keys, and minimal ones;
+* this goes on until every minimal hitting set is a key. No other minimal key can be left.
+
+A scan turns every row into one (set number, 128-bit hash) per candidate, and counts these,
+combined before the shuffle. Sets whose hashes are all different have no equal rows, which is
+exact; where hashes repeat, rows that agree are looked up and compared in every column, by two
+64-bit hashes of each value. Large tables first count only the
+hashes of one slice, which holds all rows that are equal on the set. The number of scans
+follows the number of rounds, not the number of column sets or columns; the driver sees a row
+per candidate and the masks of sampled pairs, never a row of the table. The number of minimal
+keys itself can grow as 2^n with the columns; they are listed one after the other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
-from math import prod
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .common import quoted
 
+SETS_PER_SCAN = 64
 SETS_PER_JOB = 8
-PROBE_ROWS = 1_000_000
+PROBE_ROWS = 100_000
+# rows in which pairs are looked for, per column; only evidence, no result depends on it
+EVIDENCE_ROWS = 20_000
+EVIDENCE_CELLS = 2_000_000
+# up to this many columns, all sets are listed and those that hold a key stay
+LISTED_COLUMNS = 22
+# repeated values of a set that are looked up
+REPEATS = 8
+# rows of one value that are sorted for neighbors
+EVIDENCE_GROUP = 64
 
 
 def key_candidates(
@@ -47,7 +58,7 @@ def key_candidates(
     """Column sets without a duplicate row: ``key, width, minimal``.
 
     All minimal keys, or those of up to ``max_width`` columns; ``all_superkeys``
-    adds every wider set that holds one.  A table of more than ten times
+    adds every wider set that holds one.  A table of more than four times
     ``probe_rows`` rows is probed for repeats before a set is counted.
     """
     names = list(columns) if columns is not None else df.columns
@@ -56,11 +67,64 @@ def key_candidates(
     keys = df.sparkSession.createDataFrame(
         [(list(s), len(s), True) for s in found], "key array<string>, width int, minimal boolean"
     )
-    return _with_supersets(keys, names, widest) if all_superkeys and found else keys
+    return _with_supersets(keys, found, names, widest) if all_superkeys and found else keys
 
 
-def _with_supersets(keys: DataFrame, names: list[str], widest: int) -> DataFrame:
-    """Every set of up to ``widest`` columns that holds a key, made from the keys.
+def minimal_hitting_sets(edges: Iterable[int], width: int | None = None) -> Iterator[int]:
+    """Minimal sets that meet every edge, one after the other; sets are bit masks.
+
+    Depth first (after Murakami and Uno, 2014): a column is added only while each one chosen
+    before still meets an edge alone, so nothing that is not minimal is ever extended.
+    """
+    edges = _minimal(edges)
+    if 0 in edges:
+        return
+    everything = reduce(int.__or__, edges, 0)
+
+    def search(chosen: int, allowed: int, open_edges: list[int], alone: dict[int, list[int]]) -> Iterator[int]:
+        if not open_edges:
+            yield chosen
+            return
+        if width is not None and len(alone) >= width:
+            return
+        branch = min((e & allowed for e in open_edges), key=int.bit_count)
+        allowed &= ~branch
+        while branch:
+            column = branch & -branch
+            branch ^= column
+            left = {c: [e for e in own if not e & column] for c, own in alone.items()}
+            if all(left.values()):
+                left[column] = [e for e in open_edges if e & column]
+                yield from search(chosen | column, allowed, [e for e in open_edges if not e & column], left)
+            allowed |= column
+
+    yield from search(0, everything, edges, {})
+
+
+def _minimal(edges: Iterable[int]) -> list[int]:
+    """The edges that hold no other one, the smallest first."""
+    kept: list[int] = []
+    for e in sorted(set(edges), key=lambda e: (e.bit_count(), e)):
+        if not any(k & e == k for k in kept):
+            kept.append(e)
+    return kept
+
+
+def _with_supersets(keys: DataFrame, found: list[tuple[str, ...]], names: list[str], widest: int) -> DataFrame:
+    """Every set of up to ``widest`` columns that holds one of the keys ``found``."""
+    if len(names) > LISTED_COLUMNS:
+        return _widened(keys, names, widest)
+    masks = [sum(1 << names.index(c) for c in key) for key in found]
+    whole = F.array(*[F.lit(c) for c in names])
+    known = F.array(*[F.lit(m).cast("long") for m in masks])
+    sets = keys.sparkSession.range(1, 1 << len(names)).where(F.bit_count("id") <= widest)
+    return sets.where(F.exists(known, lambda m: F.col("id").bitwiseAND(m) == m)).select(
+        F.filter(whole, lambda _, i: F.getbit(F.col("id"), i) == 1).alias("key"),
+        F.bit_count("id").alias("width"), F.array_contains(known, F.col("id")).alias("minimal"))
+
+
+def _widened(keys: DataFrame, names: list[str], widest: int) -> DataFrame:
+    """The same for more columns than all sets can be listed of, when ``widest`` is small.
 
     Each round adds one column to all sets of the round before; sets are in the
     order of ``names``, so a set reached by several ways is one row.
@@ -84,138 +148,184 @@ def _with_supersets(keys: DataFrame, names: list[str], widest: int) -> DataFrame
 
 
 def _search(df: DataFrame, names: list[str], widest: int, probe_rows: int) -> list[tuple[str, ...]]:
-    total, single = _single_columns(df, names)
-    if total == 0:  # no rows, no duplicates: every column is a key
+    table = df.select(*[_exact(df, c).alias(f"c{i}") for i, c in enumerate(names)])
+    total = table.count()
+    if total < 2:  # no two rows: every column is a key
         return [(c,) for c in names]
-    distinct = {(c,): single[c][0] for c in names}
-    top = {c: single[c][1] for c in names}
-    keys = [(c,) for c in names if distinct[(c,)] == total]
-    rest = [c for c in names if (c,) not in keys]
-    if widest < 2 or len(rest) < 2:
-        return keys
-    whole = tuple(rest)
-    if not _possible(whole, total, distinct, top) or _distinct(df, [whole])[0] < total:
-        return keys
-
-    slices = total // probe_rows if total > 10 * probe_rows else 1
-    order = {c: i for i, c in enumerate(names)}
-    open_sets = [(c,) for c in rest]
-    for width in range(2, widest + 1):
-        wider = _wider(open_sets, order)
-        candidates = [s for s in wider if _possible(s, total, distinct, top)]
-        if slices > 1:
-            candidates = [
-                s for b in _batches(candidates) for s in _without_repeat(df, b, slices)
-            ]
-        for batch in _batches(candidates):
-            distinct.update(zip(batch, _distinct(df, batch)))
-        found = {s for s in candidates if distinct[s] == total}
-        keys += [s for s in candidates if s in found]
-        open_sets = [s for s in wider if s not in found]
-        if not open_sets:
-            break
-    return keys
-
-
-def _wider(sets: list[tuple[str, ...]], order: dict[str, int]) -> list[tuple[str, ...]]:
-    """Sets one wider, all of whose parts one narrower are among ``sets``."""
-    known, groups = set(sets), {}
-    for s in sets:
-        groups.setdefault(s[:-1], []).append(s[-1])
-    wider = []
-    for begin, ends in groups.items():
-        ends.sort(key=order.__getitem__)
-        for i, a in enumerate(ends):
-            for b in ends[i + 1 :]:
-                s = (*begin, a, b)
-                if all(s[:j] + s[j + 1 :] in known for j in range(len(s) - 2)):
-                    wider.append(s)
-    return wider
+    whole = (1 << len(names)) - 1
+    edges = _minimal([whole, *_near_pairs(table, total)])
+    slices = total // probe_rows if total > 4 * probe_rows else 1
+    keys: set[int] = set()
+    while 0 not in edges:  # equal rows: no keys
+        candidates = []
+        for s in minimal_hitting_sets(edges, widest):
+            if s not in keys:
+                candidates.append(s)
+                if len(candidates) == SETS_PER_SCAN:
+                    break
+        if not candidates:
+            return sorted((tuple(names[i] for i in _columns(s)) for s in keys), key=lambda k: (len(k), [names.index(c) for c in k]))
+        refuted = _refuted(table, candidates, total, slices)
+        keys.update(s for s in candidates if s not in refuted)
+        # rows that agree on a refuted set differ only in other columns
+        edges = _minimal([*edges, *(whole & ~s for s in refuted), *(e for found in refuted.values() for e in found)])
+    return []
+
+
+def _columns(mask: int) -> list[int]:
+    return [i for i in range(mask.bit_length()) if mask >> i & 1]
+
+
+def _refuted(table: DataFrame, sets: list[int], total: int, slices: int) -> dict[int, list[int]]:
+    """The sets that repeat a row, each with difference sets of rows that agree on it."""
+    # arrays and structs of floating numbers are grouped by Spark itself, which evens out -0.0
+    unsafe = sum(1 << i for i, f in enumerate(table.schema) if not _hashes_safely(f.dataType))
+    plain = [s for s in sets if not s & unsafe]
+    repeats: dict[int, list[tuple]] = {}
+    for part in [slices, 1] if slices > 1 else [1]:
+        left = [s for s in plain if s not in repeats]
+        repeats.update(_repeats(table, left, part))
+    found: dict[int, list[int]] = {s: [] for s in repeats}
+    for s, mask in _agreeing_pairs(table, repeats):
+        if not mask & s:
+            found[s].append(mask)
+    # equal hashes of different rows, if that ever happens, and sets that cannot be hashed
+    doubtful = [s for s in repeats if not found[s]] + [s for s in sets if s & unsafe]
+    for batch in _batches(doubtful):
+        for s, distinct in zip(batch, _distinct(table, [tuple(f"c{i}" for i in _columns(s)) for s in batch])):
+            found.pop(s, None)
+            if distinct < total:
+                found[s] = []
+    return found
 
 
-def _exact(df: DataFrame, name: str) -> Column:
-    """The column as a value that can be grouped: maps cannot, their entries can."""
-    column = F.col(quoted(name))
-    if isinstance(df.schema[name].dataType, T.MapType):
-        return F.array_sort(F.map_entries(column)).alias(name)
-    return column
+def _hashed(table: DataFrame, used: int) -> DataFrame:
+    """Two 64-bit hashes of every column of ``used``: ``a0, a1... b0, b1...``. They differ for
+    equal values of different columns, and a missing cell has its own."""
+    made = []
+    for i, f in enumerate(table.schema):
+        value, missing = F.col(f.name), F.col(f.name).isNull()
+        if isinstance(f.dataType, (T.FloatType, T.DoubleType)):  # -0.0 is 0.0
+            value = F.when(value == 0, F.lit(0.0).cast(f.dataType)).otherwise(value)
+        if used >> i & 1:
+            made += [F.xxhash64(F.lit(i), value, missing).alias(f"a{i}"), F.xxhash64(F.lit(~i), value, missing).alias(f"b{i}")]
+    return table.select(*made)
 
 
-def _batches(sets: list) -> list[list]:
-    return [sets[i : i + SETS_PER_JOB] for i in range(0, len(sets), SETS_PER_JOB)]
+def _set_hashes(hashed: DataFrame, sets: list[int], *kept: str) -> DataFrame:
+    """``kept..., k, x, y`` per row and set: number of the set, and its two hashes.
+
+    The hash of a set is the exclusive or of those of its columns: rows that differ in it have
+    another one but for a chance of one in 2^64, for each of the two.
+    """
+    def of(name: str, s: int) -> Column:
+        return reduce(Column.bitwiseXOR, [F.col(f"{name}{i}") for i in _columns(s)])
+
+    each = [F.struct(F.lit(k).alias("k"), of("a", s).alias("x"), of("b", s).alias("y")) for k, s in enumerate(sets)]
+    names = [f"set{k}" for k in range(len(sets))]
+    wide = hashed.select(*kept, *[e.alias(n) for e, n in zip(each, names)])
+    return wide.unpivot([F.col(c) for c in kept], [F.col(n) for n in names], "name", "set").select(*kept, "set.*")
 
 
-def _without_repeat(df: DataFrame, sets: Sequence[tuple], slices: int) -> list[tuple]:
-    """Those of ``sets`` that show no two equal rows in one of ``slices`` slices.
+def _repeats(table: DataFrame, sets: list[int], slices: int) -> dict[int, list[tuple[int, int]]]:
+    """The sets with a hash that occurs twice, in one of ``slices`` slices: a few such hashes.
 
-    The slice is a hash of the set itself: equal rows are in it together or not
-    at all.  What is left after it has one part in ``slices`` of the rows.
+    One scan, whatever the number of sets.
     """
-    repeats = []
-    for i, s in enumerate(sets):
-        columns = df.select(*[_exact(df, c) for c in s])
-        part = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in s]), F.lit(slices)) == 0
-        repeats.append(
-            columns.filter(part)
-            .groupBy(*[F.col(quoted(c)) for c in s])
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .agg(F.max("rows").alias("most"))
-            .withColumn("number", F.lit(i))
-        )
-    rows = reduce(DataFrame.unionByName, repeats).collect()  # one row per set
-    return [sets[r["number"]] for r in rows if (r["most"] or 0) <= 1]
+    if not sets:
+        return {}
+    rows = _set_hashes(_hashed(table, reduce(int.__or__, sets)), sets)
+    if slices > 1:
+        rows = rows.where(F.pmod("x", F.lit(slices)) == 0)
+    counted = rows.groupBy("k", "x", "y").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    few = counted.withColumn("at", F.row_number().over(Window.partitionBy("k").orderBy("x", "y")))
+    found: dict[int, list[tuple[int, int]]] = {}
+    for r in few.where(F.col("at") <= REPEATS).collect():  # a few rows per set
+        found.setdefault(sets[r["k"]], []).append((r["x"], r["y"]))
+    return found
+
+
+def _agreeing_pairs(table: DataFrame, repeats: dict[int, list[tuple]]) -> Iterator[tuple[int, int]]:
+    """``set, difference set`` of neighbors among the rows with the given hashes. One scan."""
+    sets = sorted(repeats)
+    if not sets:
+        return
+    wanted = table.sparkSession.createDataFrame(
+        [(k, x, y) for k, s in enumerate(sets) for x, y in repeats[s]], "k int, x long, y long")
+    n = len(table.columns)
+    hashed = _with_arrays(_hashed(table, (1 << n) - 1), n)
+    hits = _set_hashes(hashed, sets, "a", "b").join(F.broadcast(wanted), ["k", "x", "y"])  # REPEATS rows per set
+    for r in _neighbors(hits, ["k", "x", "y"], F.col("a"), ["k"]):
+        yield sets[r["k"]], int(r["mask"][::-1], 2)
+
+
+def _with_arrays(hashed: DataFrame, n: int) -> DataFrame:
+    arrays = [F.array(*[F.col(f"{name}{i}") for i in range(n)]).alias(name) for name in "ab"]
+    return hashed.select("*", *arrays)
 
 
-def _single_columns(df: DataFrame, names: list[str]) -> tuple[int, dict]:
-    """Row count, and per column its distinct values and its top count.
+def _near_pairs(table: DataFrame, total: int) -> list[int]:
+    """Difference sets of rows that have a value in common and are neighbors in some order.
 
-    Values are grouped in their own type, a column at a time.
+    Of every column a slice of its values, and a slice of all rows, are put in groups of equal
+    values, and each group in the order of the other columns, beginning with the next. One scan.
     """
-    counted = [
-        df.select(_exact(df, c))
-        .groupBy(F.col(quoted(c)))
-        .agg(F.count(F.lit(1)).alias("cnt"))
-        .agg(
-            F.count(F.lit(1)).alias("distinct"),
-            F.max("cnt").alias("top"),
-            F.sum("cnt").alias("total"),
-        )
-        .withColumn("number", F.lit(i))
-        for i, c in enumerate(names)
-    ]
-    found, total = {}, 0
-    for batch in _batches(counted):
-        for r in reduce(DataFrame.unionByName, batch).collect():  # one row per column
-            found[names[r["number"]]] = (r["distinct"], r["top"] or 0)
-            total = r["total"] or 0
-    return total, found
-
-
-def _possible(s: tuple, total: int, distinct: dict, top: dict) -> bool:
-    def at_most(columns: tuple) -> int:
-        whole = prod(distinct[(c,)] for c in columns)
-        # a narrower set that was counted bounds it better
-        parts = [
-            distinct[columns[:i] + columns[i + 1 :]] * distinct[(columns[i],)]
-            for i in range(len(columns))
-            if len(columns) > 2 and columns[:i] + columns[i + 1 :] in distinct
-        ]
-        return min([whole, distinct.get(columns, whole), *parts])
-
-    if at_most(s) < total:
-        return False
-    return all(top[c] <= at_most(tuple(o for o in s if o != c)) for c in s)
+    n = len(table.columns)
+    slices = F.lit(max(1, total // min(EVIDENCE_ROWS, max(500, EVIDENCE_CELLS // n**2))))
+    every = F.sequence(F.lit(0), F.lit(n - 1))
+    own_value = F.filter(every, lambda i: F.pmod(F.get("a", i), slices) == 0)
+    rows = (
+        _with_arrays(_hashed(table, (1 << n) - 1), n)
+        .select("a", "b")
+        .withColumn("c", F.explode(F.when(F.pmod(F.xxhash64("a"), slices) == 0, every).otherwise(own_value)))
+        .withColumn("own", F.get("a", F.col("c")))
+    )
+    near = F.concat(F.slice("a", F.col("c") + 1, F.lit(n)), F.slice("a", F.lit(1), F.col("c")))
+    return [int(r["mask"][::-1], 2) for r in _neighbors(rows, ["c", "own"], near, [])]
 
 
-def _distinct(df: DataFrame, sets: Sequence[tuple]) -> list[int]:
-    """Exact distinct rows per column set, a missing cell being a value like any other.
+def _neighbors(rows: DataFrame, group: list[str], near: Column, kept: list[str]) -> list:
+    """Distinct ``kept..., mask`` of neighboring rows in the first ``EVIDENCE_GROUP`` of every
+    group; the mask has a 1 for each column in which they differ, by both hashes of its values.
 
-    Each set reads its own columns only and is made distinct before the shuffle.
-    A table kept as delimited text is parsed once per set: store it in columns
-    first if it is large.
+    The limit lets tasks drop rows of a common value before the shuffle.
     """
+    order = Window.partitionBy(*group).orderBy("near")
+    few = rows.withColumn("near", near).withColumn("at", F.row_number().over(order)).where(F.col("at") <= EVIDENCE_GROUP)
+    pairs = few.select(
+        *kept, "a", "b", F.lag("a").over(order).alias("a0"), F.lag("b").over(order).alias("b0")).where("a0 is not null")
+    same = lambda x, y: F.zip_with(x, y, lambda u, v: u == v)
+    mask = F.zip_with(same("a", "a0"), same("b", "b0"), lambda u, v: F.when(u & v, "0").otherwise("1"))
+    return pairs.select(*kept, F.array_join(mask, "").alias("mask")).distinct().collect()  # bounded by the limits
+
+
+def _exact(df: DataFrame, name: str) -> Column:
+    """The column as a value that can be grouped: maps cannot, their entries can."""
+    column = F.col(quoted(name))
+    if isinstance(df.schema[name].dataType, T.MapType):
+        return F.array_sort(F.map_entries(column)).alias(name)
+    return column
+
+
+def _hashes_safely(kind: T.DataType) -> bool:
+    """Whether equal values always have equal hashes."""
+    if isinstance(kind, T.ArrayType):
+        inner = [kind.elementType]
+    elif isinstance(kind, T.StructType):
+        inner = [f.dataType for f in kind.fields]
+    else:
+        return True
+    return all(_hashes_safely(k) and not isinstance(k, (T.FloatType, T.DoubleType)) for k in inner)
+
+
+def _batches(sets: list) -> list[list]:
+    return [sets[i : i + SETS_PER_JOB] for i in range(0, len(sets), SETS_PER_JOB)]
+
+
+def _distinct(df: DataFrame, sets: Sequence[tuple]) -> list[int]:
+    """Exact distinct rows per column set, a missing cell being a value like any other."""
     counts = [
-        df.select(*[_exact(df, c) for c in s])
+        df.select(*s)
         .distinct()
         .agg(F.count(F.lit(1)).alias("distinct"))
         .withColumn("number", F.lit(i))

@@ -262,34 +262,79 @@ def _key_tests(dataset: str, source: str, columns, widest: int) -> str:
 def _superkeys(tests: str) -> str:
     """Keys, each with whether a smaller key lies inside."""
     return f"""
+        WITH tests AS MATERIALIZED ({tests}), found AS (SELECT * FROM tests WHERE is_key)
         SELECT dataset, key, CAST(width AS BIGINT) AS width, NOT EXISTS (
-            SELECT 1 FROM tests i WHERE i.is_key AND i.dataset = o.dataset AND i.width < o.width
+            SELECT 1 FROM found i WHERE i.dataset = o.dataset AND i.width < o.width
                 AND list_has_all(string_split(o.key, ','), string_split(i.key, ','))) AS minimal
-        FROM tests o WHERE is_key
+        FROM found o
     """
 
 
+def _minimal_keys(tests: str) -> str:
+    return f"SELECT * FROM ({_superkeys(tests)}) WHERE minimal"
+
+
+def _levels(dataset: str, source: str, columns: list[str]) -> str:
+    """``{dataset}_keys``: masks of the minimal keys, width by width. A set that holds a key is
+    none of them and is not counted. A set of columns is one exact number per row, made of
+    the place of each value among those of its column."""
+    n, name = len(columns), dataset
+    ranks = ", ".join(f"dense_rank() OVER (ORDER BY {c}) - 1 AS r{i}" for i, c in enumerate(columns))
+    products = ", ".join(
+        "CAST(1 AS HUGEINT)" + "".join(f" * (max(r{j}) + 1)" for j in range(i)) + f" AS m{i}" for i in range(n))
+    code = " + ".join(f"CASE WHEN mask & {1 << i} <> 0 THEN r{i} * m{i} ELSE 0 END" for i in range(n))
+    parts = [
+        f"{name}_rows AS MATERIALIZED (SELECT {ranks} FROM {source})",
+        f"{name}_units AS MATERIALIZED (SELECT {products} FROM {name}_rows)",
+        f"{name}_sets AS MATERIALIZED (SELECT s AS mask, bit_count(s) AS width FROM range(1, {1 << n}) t(s))",
+    ]
+    known = ""
+    for width in range(1, n + 1):
+        unknown = f"NOT EXISTS (SELECT 1 FROM ({known}) k WHERE k.mask & s.mask = k.mask)" if known else "true"
+        parts.append(
+            f"{name}_{width} AS MATERIALIZED (SELECT mask FROM (SELECT mask FROM {name}_sets s WHERE width = {width} AND {unknown}) "
+            f"CROSS JOIN {name}_rows CROSS JOIN {name}_units GROUP BY mask "
+            f"HAVING count(DISTINCT {code}) = (SELECT count(*) FROM {name}_rows))")
+        known += (" UNION ALL " if known else "") + f"SELECT mask FROM {name}_{width}"
+    return ", ".join([*parts, f"{name}_keys AS ({known})"])
+
+
+def _named(dataset: str, columns: list[str], masks: str, minimal: str) -> str:
+    """Sets of a table as rows, from their masks."""
+    names = ", ".join(f"CASE WHEN s.mask & {1 << i} <> 0 THEN '{c}' END" for i, c in enumerate(columns))
+    return (f"SELECT '{dataset}' AS dataset, concat_ws(',', {names}) AS key, CAST(bit_count(s.mask) AS BIGINT) AS width, "
+            f"{minimal} AS minimal FROM {masks} s")
+
+
+def _all_minimal(tables: dict[str, tuple[str, list[str]]]) -> str:
+    found = [_named(d, columns, f"{d}_keys", "true") for d, (_, columns) in tables.items()]
+    return "WITH " + ", ".join(_levels(d, *t) for d, t in tables.items()) + " " + " UNION ALL ".join(found)
+
+
+def _all_superkeys(tables: dict[str, tuple[str, list[str]]]) -> str:
+    found = [
+        _named(d, columns, f"(SELECT mask FROM {d}_sets o WHERE EXISTS (SELECT 1 FROM {d}_keys k WHERE k.mask & o.mask = k.mask))",
+               f"s.mask IN (SELECT mask FROM {d}_keys)")
+        for d, (_, columns) in tables.items()]
+    return "WITH " + ", ".join(_levels(d, *t) for d, t in tables.items()) + " " + " UNION ALL ".join(found)
+
+
 _LINE = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
-_ORDERS = f"(SELECT o_orderkey, o_custkey, o_orderdate, {fx.MESSY} AS cell FROM orders)"
-_NARROW = (
-    _key_tests("lineitem", "lineitem", _LINE, 4) + " UNION ALL "
-    + _key_tests("nation", "nation", ["n_nationkey", "n_name", "n_regionkey"], 3)
-)
-_WIDE = (
+_NATION_COLUMNS = ["n_nationkey", "n_name", "n_regionkey"]
+_LINE_ALL = [
+    "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
+]
+_ORDER_ALL = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+_ORDERS = f"(SELECT *, {fx.MESSY} AS cell FROM orders)"
+ORACLE_SQL["key_candidates"] = _all_minimal({
+    "lineitem": ("lineitem", _LINE_ALL), "orders": ("orders", _ORDER_ALL), "nation": ("nation", _NATION_COLUMNS)})
+ORACLE_SQL["key_columns"] = _minimal_keys(
     _key_tests("lineitem", "lineitem", _LINE, 4) + " UNION ALL "
-    + _key_tests("orders", _ORDERS, ["o_orderkey", "o_custkey", "o_orderdate", "cell"], 4)
-)
-ORACLE_SQL["key_candidates"] = (
-    f"WITH tests AS ({_NARROW}) SELECT * FROM ({_superkeys(_NARROW)}) WHERE minimal"
-)
-ORACLE_SQL["superkeys"] = f"WITH tests AS ({_WIDE}) {_superkeys(_WIDE)}"
-
-_PROBED = _key_tests(
-    "orders", "orders", ["o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"], 4
-)
-ORACLE_SQL["key_candidates_probed"] = (
-    f"WITH tests AS ({_PROBED}) SELECT * FROM ({_superkeys(_PROBED)}) WHERE minimal"
-)
+    + _key_tests("nation", "nation", _NATION_COLUMNS, 3))
+ORACLE_SQL["superkeys"] = _all_superkeys({
+    "lineitem": ("lineitem", _LINE_ALL), "orders": (_ORDERS, [*_ORDER_ALL, "cell"])})
+ORACLE_SQL["key_candidates_probed"] = _minimal_keys(_key_tests("orders", "orders", _ORDER_ALL, 6))
 _TYPED = """(SELECT CAST('12345678901234567890123456' AS DECIMAL(38,0)) + o_orderkey AS wide,
     make_timestamptz(o_custkey * 1000 + o_orderkey % 7) AS instant,
     CASE WHEN o_orderkey % 2 = 0 THEN [o_orderstatus || ', ' || o_orderpriority]
@@ -306,9 +351,7 @@ _TYPED_KEYS = (
     _key_tests("orders", _TYPED, ["wide", "instant", "list", "pair"], 4) + " UNION ALL "
     + _key_tests("embeddings", "embeddings", ["vec_id", "embedding", "label"], 3)
 )
-ORACLE_SQL["typed_keys"] = (
-    f"WITH tests AS ({_TYPED_KEYS}) SELECT * FROM ({_superkeys(_TYPED_KEYS)}) WHERE minimal"
-)
+ORACLE_SQL["typed_keys"] = _minimal_keys(_TYPED_KEYS)
 _JOB_KEYS = " UNION ALL ".join(
     [
         _key_tests("nation", "nation", ["n_nationkey", "n_name", "n_regionkey"], 3),
@@ -316,9 +359,7 @@ _JOB_KEYS = " UNION ALL ".join(
         _key_tests("supplier", "supplier", ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"], 4),
     ]
 )
-ORACLE_SQL["job_keys"] = (
-    f"WITH tests AS ({_JOB_KEYS}) SELECT * FROM ({_superkeys(_JOB_KEYS)}) WHERE minimal"
-)
+ORACLE_SQL["job_keys"] = _minimal_keys(_JOB_KEYS)
 
 # --- dictionaries and patterns -----------------------------------------------
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -224,14 +225,20 @@ def _keys(found: DataFrame, name: str) -> DataFrame:
     )
 
 
-LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+@register
+def key_candidates(spark, sf):
+    """All minimal keys of three tables, over all their columns."""
+    found = [_keys(cl.key_candidates(table(spark, sf, n)), n) for n in ("lineitem", "orders", "nation")]
+    return reduce(DataFrame.unionByName, found)
 
 
 @register
-def key_candidates(spark, sf):
+def key_columns(spark, sf):
+    """Minimal keys among named columns."""
+    columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     lines = table(spark, sf, "lineitem")
     nation = table(spark, sf, "nation")
-    return _keys(cl.key_candidates(lines, LINE_COLUMNS), "lineitem").unionByName(
+    return _keys(cl.key_candidates(lines, columns), "lineitem").unionByName(
         _keys(cl.key_candidates(nation), "nation")
     )
 
@@ -239,9 +246,7 @@ def key_candidates(spark, sf):
 @register
 def key_candidates_probed(spark, sf):
     """Sets looked at through slices of their hash before they are counted."""
-    columns = ["o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority"]
-    orders = table(spark, sf, "orders")
-    return _keys(cl.key_candidates(orders, columns, probe_rows=100), "orders")
+    return _keys(cl.key_candidates(table(spark, sf, "orders"), probe_rows=100), "orders")
 
 
 def _typed(spark, sf):
@@ -292,13 +297,11 @@ def job_keys(spark, sf):
 
 @register
 def superkeys(spark, sf):
-    lines = table(spark, sf, "lineitem")
-    orders = table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", F.expr(fx.MESSY).alias("cell")
-    )
-    return _keys(
-        cl.key_candidates(lines, LINE_COLUMNS, None, all_superkeys=True), "lineitem"
-    ).unionByName(_keys(cl.key_candidates(orders, None, None, all_superkeys=True), "orders"))
+    """Every key of any width."""
+    orders = table(spark, sf, "orders").withColumn("cell", F.expr(fx.MESSY))
+    found = {"lineitem": table(spark, sf, "lineitem"), "orders": orders}
+    return reduce(DataFrame.unionByName, [
+        _keys(cl.key_candidates(df, all_superkeys=True), name) for name, df in found.items()])
 
 
 # --- dictionaries and patterns -----------------------------------------------

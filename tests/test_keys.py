@@ -102,3 +102,61 @@ def test_wide_keys_by_default(spark):
     rows = [tuple((i >> k) & 1 for k in range(5)) for i in range(32)]
     frame = spark.createDataFrame(rows, "a int, b int, c int, d int, e int")
     assert as_dict(cl.key_candidates(frame)) == {("a", "b", "c", "d", "e"): True}
+
+
+def test_wide_keys_in_few_scans(spark, monkeypatch):
+    """Sixty columns and a key of six: digits of the row number, and columns made of two each.
+    (Wider keys are too many to list.)"""
+    scans = []
+    for name in ("_near_pairs", "_repeats", "_agreeing_pairs"):
+        scan = getattr(keys_module, name)
+        monkeypatch.setattr(
+            keys_module, name, lambda *a, scan=scan: (scans.append(1) if a[1] else None) or scan(*a)
+        )
+    rng = random.Random(1)
+    digit = "int(id / {}) % 4".format
+    made = []
+    for i in range(54):
+        a, b = rng.sample(range(6), 2)
+        made.append(f"({digit(4**a)} * {rng.randint(1, 3)} + {digit(4**b)}) % {rng.choice([2, 3])} AS x{i}")
+    frame = spark.range(4096).selectExpr(*[f"{digit(4**k)} AS d{k}" for k in range(6)], *made)
+    assert as_dict(cl.key_candidates(frame, max_width=6)) == {tuple(f"d{k}" for k in range(6)): True}
+    assert len(scans) < 20
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_unproven_repeats_are_recounted(spark, monkeypatch, seed):
+    """A hash that repeats without two rows that agree changes no result: the set is counted exactly."""
+    rng = random.Random(seed)
+    rows = list({(rng.randint(0, 2), rng.randint(0, 3), rng.randint(0, 4)) for _ in range(15)})
+    frame = spark.createDataFrame(rows, "a int, b int, c int")
+    want = brute_force(rows, ["a", "b", "c"], 3)
+    monkeypatch.setattr(keys_module, "_repeats", lambda table, sets, slices: {s: [(1, 1)] for s in sets})
+    monkeypatch.setattr(keys_module, "_near_pairs", lambda table, total: [])
+    assert as_dict(cl.key_candidates(frame)) == {k: True for k, minimal in want.items() if minimal}
+
+
+def test_zeros_and_nested_numbers(spark):
+    """-0.0 is 0.0, also inside of arrays; NaN is NaN."""
+    rows = [(0.0, [0.0], 1), (-0.0, [-0.0], 2), (float("nan"), [float("nan")], 3), (float("nan"), [1.0], 3)]
+    frame = spark.createDataFrame(rows, "x double, list array<double>, n int")
+    assert as_dict(cl.key_candidates(frame)) == {("list", "n"): True}
+    assert as_dict(cl.key_candidates(frame.select("x", "n").limit(3))) == {("n",): True}
+
+
+def test_hitting_sets_and_supersets(spark, monkeypatch):
+    rng = random.Random(3)
+    for _ in range(300):
+        edges = [rng.randint(1, 63) for _ in range(rng.randint(1, 8))]
+        meeting = [s for s in range(64) if all(s & e for e in edges)]
+        want = {s for s in meeting if not any(o != s and o & s == o for o in meeting)}
+        found = list(keys_module.minimal_hitting_sets(edges))
+        assert len(found) == len(set(found)) and set(found) == want
+        assert set(keys_module.minimal_hitting_sets(edges, 2)) == {s for s in want if s.bit_count() <= 2}
+    assert list(keys_module.minimal_hitting_sets([3, 0])) == []
+    rows = [(i % 2, i % 3, i % 5, i) for i in range(30)]
+    frame = spark.createDataFrame(rows, "a int, b int, c int, d int")
+    listed = as_dict(cl.key_candidates(frame, max_width=3, all_superkeys=True))
+    monkeypatch.setattr(keys_module, "LISTED_COLUMNS", 0)
+    assert as_dict(cl.key_candidates(frame, max_width=3, all_superkeys=True)) == listed
+    assert len(listed) == 8  # d with up to two others, and a, b, c
