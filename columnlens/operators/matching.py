@@ -25,10 +25,15 @@ FUZZY_SCAN_TERMS = 2_000
 # Up to this many terms each is looked for in every text.
 CONTAINS_SCAN_TERMS = 1_000
 CONTAINS_SCAN_BYTES = 64 * 1024
-# Up to this many terms, texts list only beginnings that terms have.
-STEM_FILTER_TERMS = 20_000
-# Beginnings of a term by which it is found in a text, in characters.
-_STEM_WIDTHS = (1, 2, 4, 8, 16, 32)
+# Characters of a text in a row while terms are looked for, and such chunks in a first cut.
+CHUNK = 2_048
+CHUNKS_PER_BLOCK = 64
+# One in so many chunks is looked at to see which grams are rare.
+SAMPLED_CHUNKS = 64
+# Widths of the grams by which a term is found: the widest that it has.
+_GRAM_WIDTHS = (1, 2, 4, 8)
+# Places of the filter that drops grams of no term, where the terms are too many to be sent.
+GRAM_SLOTS = 1 << 20
 
 
 def exact_match(
@@ -52,12 +57,13 @@ def contains_match(
 ) -> DataFrame:
     """Values with a term anywhere inside, each (value, term) once.
 
-    A dictionary of up to ``scan_terms`` is tested in place, term by term.  For a longer one each
-    text lists what begins at each of its positions, 1, 2, 4, 8... characters
-    wide, and a term meets the texts that list its own beginning, as wide as it
-    has characters for; then the whole term is looked for.  Texts are examined
-    whole, and travel as a 64-bit hash until a term has met them; the last test is
-    on the text itself, so equal hashes of two texts change nothing.
+    A dictionary of up to ``scan_terms`` is tested in place, term by term. For a longer one,
+    texts are cut into overlapping chunks, which list the runs of characters (grams) that begin
+    at each of their places, one to eight wide as terms are long. A term meets the chunks that
+    have its rarest gram. Where the terms can be sent, they are then looked for in the chunk;
+    beyond, a filter of bounded size drops grams that no term goes by, and the rest of them
+    travel with a 64-bit hash of their text. The last test is on the whole text itself, so
+    equal hashes of two texts change nothing.
     """
     terms = dictionary.select("label", "term").filter(F.length("term") > 0).distinct()
     bounds = terms.agg(
@@ -77,28 +83,21 @@ def contains_match(
             *values.columns, "hit.label", "hit.term"
         )
 
-    widths = [
-        w for w in _STEM_WIDTHS if 2 * w > bounds["shortest"] and w <= bounds["longest"]
-    ]
-    width = F.greatest(*[F.when(F.length("term") >= w, w).otherwise(0) for w in (0, *widths)])
-    stems = terms.withColumn("stem", F.substring("term", F.lit(1), width))
-    small = broadcast_if_small(stems, (bounds["rows"], bounds["octets"]), broadcast_rows)
-    known = None
-    if bounds["rows"] <= min(STEM_FILTER_TERMS, broadcast_rows):  # known to be few: sent whole
-        own = sorted(r["stem"] for r in stems.select("stem").distinct().collect())
-        known = F.from_json(F.lit(json.dumps(own)), "array<string>")
-    listed = [F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)) for w in widths]
-    begun = F.concat(*listed)
-    begun = F.array_distinct(begun) if known is None else F.array_intersect(begun, known)
-    hits = (
-        values.select(on)
-        .distinct()
-        .withColumn("digest", F.xxhash64(text))  # once per text, before it is cut
-        .select("digest", F.explode(begun).alias("stem"))
-        .join(small, "stem")
-        .select("digest", "label", "term")
-        .distinct()
-    )
+    width = _gram_width(F.length("term"))
+    widths = [r["width"] for r in terms.select(width.alias("width")).distinct().collect()]  # four at most
+    pieces = _chunks(values.select(text.alias("text")), bounds["longest"])
+    rare = _by_rarest_gram(terms, pieces)
+    small = bounds["rows"] <= broadcast_rows and bounds["octets"] <= BROADCAST_BYTES
+    listed = F.concat(*[F.regexp_extract_all("chunk", F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)) for w in sorted(widths)])
+    grams = pieces.select("digest", "chunk", F.explode(listed).alias("gram")).select("digest", "chunk", F.xxhash64("gram").alias("gram"))
+    if small:
+        found = grams.join(F.broadcast(rare), "gram").filter(F.contains("chunk", F.col("term")))
+    else:
+        slot = F.pmod("gram", F.lit(GRAM_SLOTS)).cast("int")
+        slots = rare.select(slot.alias("slot")).distinct()  # GRAM_SLOTS rows at most
+        few = grams.join(F.broadcast(slots), slot == F.col("slot"), "left_semi").select("digest", "gram").distinct()
+        found = few.join(rare.hint("merge"), "gram")
+    hits = found.select("digest", "label", "term").distinct()
     return (
         values.withColumn("digest", F.xxhash64(text))
         .join(hits, "digest")
@@ -107,6 +106,52 @@ def contains_match(
     )
 
 
+def _gram_width(length: Column) -> Column:
+    """Width of the grams by which a term of some length is found."""
+    width = F.lit(_GRAM_WIDTHS[0])
+    for w in _GRAM_WIDTHS[1:]:
+        width = F.when(length >= w, w).otherwise(width)
+    return width
+
+
+def _chunks(texts: DataFrame, longest: int) -> DataFrame:
+    """``digest, chunk``: texts in pieces, so that a row is small however long its text is.
+
+    Pieces overlap by one character less than ``longest``, so whatever is no longer lies whole
+    in one of them. Long texts are cut twice, as finding a place takes time by its distance.
+    """
+
+    def cut(name: str, size: int) -> Column:
+        whole = F.col(name)
+        starts = F.sequence(F.lit(1), F.greatest(F.length(whole), F.lit(1)), F.lit(size))
+        parts = F.transform(starts, lambda at: F.substring(whole, at, F.lit(size + longest - 1)))
+        return F.explode(F.when(F.length(whole) <= size, F.array(whole)).otherwise(parts))
+
+    chunk = max(CHUNK, longest)
+    blocks = texts.select(F.xxhash64("text").alias("digest"), cut("text", CHUNKS_PER_BLOCK * chunk).alias("block"))
+    return blocks.select("digest", cut("block", chunk).alias("chunk"))
+
+
+def _by_rarest_gram(terms: DataFrame, chunks: DataFrame) -> DataFrame:
+    """``gram, label, term``: each term under the hash of the gram of it that fewest chunks have.
+
+    How many have it is counted in a part of the chunks. This decides how much work there is,
+    not what is found: any gram of a term is in every text that holds the term.
+    """
+    width = _gram_width(F.length("term"))
+    places = F.sequence(F.lit(1), F.length("term") - width + 1)
+    own = terms.select("label", "term", F.explode(
+        F.array_distinct(F.transform(places, lambda at: F.xxhash64(F.substring("term", at, width))))).alias("gram"))
+    some = chunks.where(F.pmod(F.xxhash64("chunk"), F.lit(SAMPLED_CHUNKS)) == 0)
+    listed = F.concat(*[F.regexp_extract_all("chunk", F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)) for w in _GRAM_WIDTHS])
+    common = (
+        some.select(F.explode(F.array_distinct(listed)).alias("gram"))
+        .groupBy(F.xxhash64("gram").alias("gram")).agg(F.count(F.lit(1)).alias("chunks"))
+    )
+    rated = own.join(common, "gram", "left").select("label", "term", F.struct(F.coalesce("chunks", F.lit(0)).alias("chunks"), "gram").alias("rated"))
+    return rated.groupBy("label", "term").agg(F.min("rated").alias("rated")).select("rated.gram", "label", "term")
+
+
 def fuzzy_match(
     values: DataFrame,
     dictionary: DataFrame,

@@ -128,3 +128,35 @@ def test_fuzzy_tokens_of_any_letters(spark, tmp_path):
     a, b = ({w.lower() for w in words} for words in (left, right))
     assert got == {(x, "word", y) for x in a for y in b if similar(x, y)}
     assert {("i", "word", "i"), ("über", "word", "über"), ("日本語の文", "word", "日本語の分")} <= got
+
+
+@pytest.mark.parametrize("sent", [True, False])
+@pytest.mark.parametrize("chunk", [7, 64])
+def test_contains_over_chunks(spark, strings, monkeypatch, sent, chunk):
+    """Terms of all lengths, across the edges of chunks and blocks, sent along or shuffled."""
+    monkeypatch.setattr(matching, "CHUNK", chunk)
+    monkeypatch.setattr(matching, "CHUNKS_PER_BLOCK", 3)
+    rng = random.Random(8)
+    values = ["".join(rng.choice("ab ñ𝄞") for _ in range(rng.randrange(400))) for _ in range(30)] + [None, "", "a"]
+    terms = sorted({"".join(rng.choice("ab ñ𝄞") for _ in range(rng.choice([1, 2, 3, 5, 9, 20]))) for _ in range(60)})
+    terms += [values[0][5:300], "zz"]
+    limits = {"scan_terms": 0} if sent else {"scan_terms": 0, "broadcast_rows": 0}
+    got = cl.contains_match(strings(values), dictionary(spark, terms), **limits).collect()
+    assert sorted((r["value"], r["term"]) for r in got) == sorted((v, t) for v in values if v for t in terms if t in v)
+
+
+def test_contains_in_a_long_text(spark, strings):
+    text = "".join(f"word{i % 977} " for i in range(600_000)) + "needle in here"
+    terms = ["needle in", "word976 word0", "word3 word5", "word12 word13 "]
+    got = cl.contains_match(strings([text, "a needle"]), dictionary(spark, terms), scan_terms=0)
+    assert sorted(r["term"] for r in got.select("term").collect()) == ["needle in", "word12 word13 ", "word976 word0"]
+
+
+def test_terms_go_by_their_rarest_gram(spark, strings, monkeypatch):
+    monkeypatch.setattr(matching, "SAMPLED_CHUNKS", 1)
+    chunks = strings(["common words all over"] * 20 + ["common zebra"], "chunk")
+    found = matching._by_rarest_gram(dictionary(spark, ["common zebra"]), chunks).collect()
+    gram = found[0]["gram"]
+    hashes = {g: spark.range(1).selectExpr(f"xxhash64('{g}')").first()[0] for g in ("common w", "common z")}
+    assert len(found) == 1 and gram != hashes["common w"]
+    assert gram in {spark.range(1).selectExpr(f"xxhash64('{'common zebra'[i:i + 8]}')").first()[0] for i in range(5)}
