@@ -6,6 +6,7 @@ from .evaluate import (
     correct_counts,
     distinct_worklist,
     label_counts,
+    label_lines,
     manual_labels,
     precision_recall,
     predicted_counts,
@@ -27,7 +28,7 @@ from .semantic import (
 __all__ = [
     "Rule", "RuleSet", "classify", "column_precision", "correct_counts",
     "default_rules", "distinct_worklist", "find_keys", "label_columns", "label_counts",
-    "manual_labels", "precision_recall", "predicted_counts", "predicted_types", "profile",
+    "label_lines", "manual_labels", "precision_recall", "predicted_counts", "predicted_types", "profile",
     "profile_corpus", "profile_counts", "profile_datasets", "profile_rows", "report", "run_each", "semantic_profile",
     "semantic_types", "term_table", "unmatched_labels",
 ]

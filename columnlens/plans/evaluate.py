@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import fixed_values as fixed
+
 COLUMN = ["dataset", "column"]
 
 
@@ -23,6 +25,25 @@ def manual_labels(worklist: DataFrame, truth: DataFrame) -> DataFrame:
     )
 
 
+def label_lines(worklist: DataFrame, truth: DataFrame) -> DataFrame:
+    """The label file as ``idx, value``: the vocabulary under -1, then an object per entry."""
+    entries = worklist.join(truth, "idx").select(
+        "idx",
+        F.to_json(
+            F.struct(
+                F.col("dataset").alias("dataset_name"),
+                F.col("column").alias("column_name"),
+                F.transform("labels", lambda label: F.struct(label.alias("semantic_type"))).alias("manual_labels"),
+            )
+        ).alias("value"),
+    )
+    vocabulary = worklist.sparkSession.range(1).select(
+        F.lit(-1).alias("idx"),
+        F.to_json(F.struct(F.array(*[F.lit(t) for t in fixed.SEMANTIC_TYPES]).alias("actual_types"))).alias("value"),
+    )
+    return vocabulary.unionByName(entries)
+
+
 def unmatched_labels(worklist: DataFrame, truth: DataFrame) -> DataFrame:
     """Label rows without a work-list entry."""
     return truth.join(worklist, "idx", "left_anti")

@@ -30,6 +30,7 @@ from ..operators.tally import (
 from ..sources.documents import (
     read_profiles,
     write_keys,
+    write_labels,
     write_metrics,
     write_profiles,
     write_semantic,
@@ -42,7 +43,7 @@ from .evaluate import (
     correct_counts,
     distinct_worklist,
     label_counts,
-    manual_labels,
+    label_lines,
     precision_recall,
     predicted_counts,
     predicted_types,
@@ -186,7 +187,7 @@ def label_columns(
     semantic = _read(spark, SEMANTIC_SCHEMA, [c for c, _ in done])
     predicted = predicted_types(semantic, labelled)
     write_semantic(semantic_profile(semantic, labelled), f"{out}/documents")
-    write_semantic(manual_labels(entries, labels), f"{out}/manual_labels")
+    write_labels(label_lines(entries, labels), f"{out}/manual_labels")
     write_metrics(unmatched_labels(entries, labels), f"{out}/unmatched_labels")
     write_metrics(label_counts(labelled), f"{out}/actual_labels")
     write_metrics(predicted_counts(predicted), f"{out}/predicted_labels")

@@ -5,6 +5,7 @@ from .documents import (
     profile_json,
     read_profiles,
     write_keys,
+    write_labels,
     write_metrics,
     write_profiles,
     write_semantic,
@@ -25,5 +26,5 @@ __all__ = [
     "combine_json", "parse_abbrev_terms", "parse_catalog", "parse_terms", "parse_truth",
     "parse_worklist", "profile_json", "read_catalog", "read_profiles", "read_table",
     "read_terms", "read_terms_with_abbrev", "read_truth", "read_worklist",
-    "table_headers", "write_keys", "write_metrics", "write_profiles", "write_semantic",
+    "table_headers", "write_keys", "write_labels", "write_metrics", "write_profiles", "write_semantic",
 ]

@@ -104,6 +104,11 @@ def write_keys(keys: DataFrame, path: str, mode: str = "overwrite") -> None:
     keys.write.mode(mode).json(path)
 
 
+def write_labels(lines: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """The lines of ``label_lines`` in their order: the vocabulary begins the first file."""
+    lines.orderBy("idx").select("value").write.mode(mode).text(path)
+
+
 def write_metrics(metrics: DataFrame, path: str, mode: str = "overwrite") -> None:
     """An evaluation table as JSON lines, ordered by label or index."""
     by = "label" if "label" in metrics.columns else "idx"

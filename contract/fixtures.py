@@ -89,6 +89,12 @@ TRUTH_LINE = f"""
         CASE WHEN c_custkey % 3 = 0 THEN ' see note' ELSE '' END)
 """
 
+# Labels of both entries of a line of the work list, which are numbered through.
+ENTRY_LINE = f"""
+    concat(CAST(2 * c_custkey + entry AS STRING), ' ', {TRUTH_LABELS},
+        CASE WHEN c_custkey % 3 = 0 THEN ' see note' ELSE '' END)
+"""
+
 # The evaluated corpus: one dataset per nation, four columns each, and labels
 # for a column from its dataset and number.
 CORPUS_DATASET = "concat('ds', CAST(c_nationkey AS STRING))"

@@ -215,18 +215,22 @@ _CUSTOMER_COLUMNS = [
 ORACLE_SQL["profile"] = _profile(_CUSTOMER_COLUMNS)
 
 _LISTED = " UNION ALL ".join(_typed_column(*c) for c in _CUSTOMER_COLUMNS)
-_LISTED_TEXT = f"SELECT column_name, value FROM ({_LISTED}) WHERE type = 'TEXT'"
-_LISTED_COUNTS = (
-    f'SELECT column_name AS "column", value, count(*) AS cnt FROM ({_LISTED}) GROUP BY ALL'
-)
-ORACLE_SQL["profile_lists"] = f"""
-    SELECT "column" AS column_name, 'frequent' AS list, rank, coalesce(value, 'None') AS value
-    FROM ({top_of(_LISTED_COUNTS)})
-    UNION ALL SELECT column_name, 'shortest', rank, value
-    FROM ({_extremes(_LISTED_TEXT, "ASC", "column_name")})
-    UNION ALL SELECT column_name, 'longest', rank, value
-    FROM ({_extremes(_LISTED_TEXT, "DESC", "column_name")})
-"""
+
+
+def _lists(cells: str) -> str:
+    texts = f"SELECT column_name, value FROM ({cells}) WHERE type = 'TEXT'"
+    counts = f'SELECT column_name AS "column", value, count(*) AS cnt FROM ({cells}) GROUP BY ALL'
+    return f"""
+        SELECT "column" AS column_name, 'frequent' AS list, rank, coalesce(value, 'None') AS value
+        FROM ({top_of(counts)})
+        UNION ALL SELECT column_name, 'shortest', rank, value
+        FROM ({_extremes(texts, "ASC", "column_name")})
+        UNION ALL SELECT column_name, 'longest', rank, value
+        FROM ({_extremes(texts, "DESC", "column_name")})
+    """
+
+
+ORACLE_SQL["profile_lists"] = _lists(_LISTED)
 
 _NATION = [
     ("nation", "nation", "n_nationkey", "long"), ("nation", "nation", "n_name", "text"),
@@ -370,14 +374,6 @@ LOWER_CELLS = f"SELECT lower({fx.LABELLED}) AS value, count(*) AS cnt FROM custo
 SIMILAR = "levenshtein({0}, {1}) * 5 <= greatest(length({0}), length({1}))"
 
 
-def words(table: str) -> str:
-    return f"""
-        SELECT DISTINCT word FROM (
-            SELECT unnest(regexp_split_to_array(lower(text), '[^a-z]+')) AS word FROM {table})
-        WHERE length(word) >= 4
-    """
-
-
 ORACLE_SQL["dict_exact"] = (
     f"SELECT value, cnt, label, term FROM ({LOWER_CELLS}) JOIN {TERMS} ON value = term"
 )
@@ -421,10 +417,24 @@ ORACLE_SQL["dict_fuzzy"] = f"""
     SELECT value, cnt, label, term FROM ({LOWER_CELLS}) JOIN {TERMS}
     ON {SIMILAR.format("value", "term")}
 """
+# The edit distance here is over bytes: letters of two bytes are put in the place of capital
+# letters and signs that lower-case words don't have, one for one.
+_WIDE = "àáâãäåæçèéêëìíîïñòóôõöøœùúûüÿß¿¡«»"
+_NARROW = "ABCDEFGHIJKLMNOPQRSTUVWXYZ\x01\x02\x03\x04\x05\x06\x07\x08"
+
+
+def _plain_tokens(table: str) -> str:
+    return f"""
+        SELECT DISTINCT word, translate(word, '{_WIDE}', '{_NARROW}') AS plain FROM (
+            SELECT unnest(regexp_split_to_array(lower(text), '[ \n]+')) AS word FROM {table})
+        WHERE word <> ''
+    """
+
+
 ORACLE_SQL["dict_fuzzy_large"] = f"""
     SELECT v.word, 'word' AS label, t.word AS term
-    FROM ({words("benchmark")}) v JOIN ({words("conversations")}) t
-    ON {SIMILAR.format("v.word", "t.word")}
+    FROM ({_plain_tokens("benchmark")}) v JOIN ({_plain_tokens("conversations")}) t
+    ON {SIMILAR.format("v.plain", "t.plain")}
 """
 ORACLE_SQL["similarity"] = """
     SELECT p_partkey,
@@ -591,12 +601,18 @@ ORACLE_SQL["truth_labels"] = f"""
     SELECT label, count(*) AS actual
     FROM (SELECT unnest(string_split(labels, ',')) AS label FROM ({_TRUTH})) GROUP BY label
 """
+_ENTRIES = f"""
+    SELECT 2 * c_custkey + e AS idx, {fx.TRUTH_LABELS} AS labels,
+        CASE e WHEN 0 THEN 'ds' || (c_custkey % 9) ELSE 'ds' || c_nationkey END AS dataset,
+        CASE e WHEN 0 THEN 'COL_' || c_custkey ELSE c_mktsegment END AS name
+    FROM customer, (VALUES (0), (1)) t(e)
+"""
 ORACLE_SQL["manual_labels"] = f"""
-    SELECT 'ds' || (idx % 9) AS dataset_name, 'COL_' || idx AS column_name,
-        unnest(string_split(labels, ',')) AS semantic_type
-    FROM ({_TRUTH})
+    SELECT dataset AS dataset_name, name AS column_name, unnest(string_split(labels, ',')) AS semantic_type
+    FROM ({_ENTRIES})
+    UNION ALL SELECT NULL, NULL, unnest([{", ".join(f"'{t}'" for t in fixed.SEMANTIC_TYPES)}])
 """
-ORACLE_SQL["unmatched_labels"] = f"SELECT idx, labels FROM ({_TRUTH}) WHERE idx % 9 = 4"
+ORACLE_SQL["unmatched_labels"] = f"SELECT idx, labels FROM ({_ENTRIES}) WHERE dataset = 'ds4'"
 
 RESOLVED = f"""
     WITH wanted AS (
@@ -700,20 +716,18 @@ ORACLE_SQL["read_table"] = COUNTED.format("""
 ORACLE_SQL["catalog"] = """
     SELECT 'p' || p_partkey AS dataset, '/data/p' || p_partkey || '.tsv.gz' AS path FROM part
 """
-_READ_BACK = _profile(
-    [
-        ("customer", "customer", "c_custkey", "long"), ("customer", "customer", "c_name", "text"),
-        ("customer", "customer", "c_nationkey", "long"), ("customer", "customer", "c_acctbal", "double"),
-        ("customer", "customer", "c_mktsegment", "text"),
-    ]
-    + _SUPPLIER
-)
-ORACLE_SQL["profile_documents"] = f"""
-    SELECT dataset_name, column_name, number_distinct_values, number_empty_cells,
-        number_non_empty_cells, type, cells, coalesce(min_long, min_double) AS min_value,
-        coalesce(max_long, max_double) AS max_value
-    FROM ({_READ_BACK})
-"""
+_READ_BACK = [
+    ("customer", "customer", "c_custkey", "long"), ("customer", "customer", "c_name", "text"),
+    ("customer", "customer", "c_nationkey", "long"), ("customer", "customer", "c_acctbal", "double"),
+    ("customer", "customer", "c_mktsegment", "text"), *_SUPPLIER,
+    ("orders", "orders", "o_orderkey", "long"), ("orders", "orders", "o_custkey", "long"),
+    ("orders", "orders", "o_orderstatus", "text"), ("orders", "orders", "o_totalprice", "double"),
+    ("orders", "orders", "o_orderdate", "date"), ("orders", "orders", "o_orderpriority", "text"),
+]
+ORACLE_SQL["profile_documents"] = _profile(_READ_BACK)
+_BACK_CELLS = " UNION ALL ".join(_typed_column(*c) for c in _READ_BACK)
+_BACK_CELLS = f"SELECT dataset_name || '.' || column_name AS column_name, value, type FROM ({_BACK_CELLS})"
+ORACLE_SQL["profile_document_lists"] = _lists(_BACK_CELLS)
 ORACLE_SQL["combine_json"] = f"""
     SELECT dataset AS dataset_name, "column" AS column_name, labels AS actual_types,
         label AS semantic_type, cnt AS cells, CASE WHEN label = 'other' THEN labels END AS label

@@ -307,14 +307,6 @@ def superkeys(spark, sf):
 # --- dictionaries and patterns -----------------------------------------------
 
 
-def _words(frame: DataFrame, column: str) -> DataFrame:
-    return (
-        frame.select(F.explode(F.split(F.lower(column), "[^a-z]+")).alias("word"))
-        .filter(F.length("word") >= 4)
-        .distinct()
-    )
-
-
 def _lower_cells(spark, sf):
     return cl.count_cells(
         labelled(spark, sf).select(F.lit("cell").alias("column"), F.lower("cell").alias("value"))
@@ -409,21 +401,22 @@ def dict_fuzzy(spark, sf):
     return cl.fuzzy_match(_lower_cells(spark, sf), dictionary(spark))
 
 
-@register
-def dict_fuzzy_large(spark, sf):
-    words = _words(table(spark, sf, "benchmark"), "text")
-    terms = _words(table(spark, sf, "conversations"), "text").select(
+def _fuzzy_tokens(spark, sf):
+    terms = _tokens(table(spark, sf, "conversations")).select(
         F.lit("word").alias("label"), F.col("word").alias("term")
     )
-    return cl.fuzzy_match(words, terms, on="word")
+    return cl.fuzzy_match(_tokens(table(spark, sf, "benchmark")), terms, on="word")
+
+
+@register
+def dict_fuzzy_large(spark, sf):
+    """All words of both sides, short ones and of any letters."""
+    return _fuzzy_tokens(spark, sf)
 
 
 def dict_fuzzy_tokens(spark, sf):
-    """As ``dict_fuzzy_large``, with all words of both sides: short ones and any letters."""
-    terms = _tokens(table(spark, sf, "conversations")).select(
-        F.lit("word").alias("label"), F.col("word").alias("term")
-    )
-    return cl.fuzzy_match(_tokens(table(spark, sf, "benchmark")), terms, on="word")
+    """The same under the name its brute-force test has."""
+    return _fuzzy_tokens(spark, sf)
 
 
 WITHOUT_SQL["dict_fuzzy_tokens"] = dict_fuzzy_tokens
@@ -539,11 +532,16 @@ def _truth(spark, sf):
     return cl.parse_truth(table(spark, sf, "customer").select(F.expr(fx.TRUTH_LINE).alias("value")))
 
 
-def _worklist(spark, sf):
+def _entries(spark, sf):
+    """Both entries of every line of the work list, numbered through."""
     entries = cl.parse_worklist(_work_lines(spark, sf), ["c_custkey"])
-    return entries.filter(F.col("idx") == 0).select(
-        F.col("c_custkey").cast("int").alias("idx"), "dataset", "column"
-    )
+    return entries.select((2 * F.col("c_custkey") + F.col("idx")).cast("int").alias("idx"), "dataset", "column")
+
+
+def _entry_labels(spark, sf):
+    """A line of labels for every entry."""
+    lines = table(spark, sf, "customer").withColumn("entry", F.explode(F.array(F.lit(0), F.lit(1))))
+    return cl.parse_truth(lines.select(F.expr(fx.ENTRY_LINE).alias("value")))
 
 
 @register
@@ -558,17 +556,21 @@ def truth_labels(spark, sf):
 
 @register
 def manual_labels(spark, sf):
-    documents = cl.manual_labels(_worklist(spark, sf), _truth(spark, sf))
-    return documents.select(
-        "dataset_name", "column_name",
-        F.explode("manual_labels.semantic_type").alias("semantic_type"),
-    )
+    """The label file, written and read back: the vocabulary, then every entry."""
+    path = _scratch(spark, "labels")
+    cl.write_labels(cl.label_lines(_entries(spark, sf), _entry_labels(spark, sf)), path)
+    back = spark.read.schema(
+        "actual_types array<string>, dataset_name string, column_name string, "
+        "manual_labels array<struct<semantic_type: string>>"
+    ).json(path)
+    types = F.coalesce("actual_types", "manual_labels.semantic_type")
+    return back.select("dataset_name", "column_name", F.explode(types).alias("semantic_type"))
 
 
 @register
 def unmatched_labels(spark, sf):
-    some = _worklist(spark, sf).filter(F.col("dataset") != "ds4")
-    return cl.unmatched_labels(some, _truth(spark, sf)).select(
+    some = _entries(spark, sf).filter(F.col("dataset") != "ds4")
+    return cl.unmatched_labels(some, _entry_labels(spark, sf)).select(
         big("idx"), F.array_join("labels", ",").alias("labels")
     )
 
@@ -723,23 +725,49 @@ def catalog(spark, sf):
     return cl.read_catalog(spark, path, "/data")
 
 
-@register
-def profile_documents(spark, sf):
+def _read_profiles(spark, sf):
+    """Profile documents of three tables, written and read back: a row per column."""
     path = _scratch(spark, "profiles")
-    tables = {n: table(spark, sf, n) for n in ("customer", "supplier")}
+    tables = {n: table(spark, sf, n) for n in ("customer", "supplier", "orders")}
     cl.write_profiles(cl.profile_corpus(tables), path)
     columns = cl.read_profiles(spark, path).select("dataset_name", F.explode("columns").alias("c"))
-    return columns.select("dataset_name", "c.*").select(
-        "dataset_name", "column_name", "number_distinct_values", "number_empty_cells",
-        "number_non_empty_cells", F.explode("data_types").alias("t"),
-    ).select(
+    return columns.select("dataset_name", "c.*")
+
+
+@register
+def profile_documents(spark, sf):
+    """Every number and date of the documents."""
+    types = _read_profiles(spark, sf).withColumn("t", F.explode("data_types"))
+
+    def bound(name: str, kind: str, cast: str) -> Column:
+        return F.when(F.col("t.type") == kind, F.col(f"t.{name}_value").try_cast(cast))
+
+    return types.select(
         "dataset_name", "column_name", "number_distinct_values", "number_empty_cells",
         "number_non_empty_cells", F.col("t.type").alias("type"), F.col("t.count").alias("cells"),
-        F.round(F.col("t.min_value").try_cast("double"), 4).alias("min_value"),
-        F.round(F.col("t.max_value").try_cast("double"), 4).alias("max_value"),
+        bound("min", fixed.INTEGER, "bigint").alias("min_long"),
+        bound("max", fixed.INTEGER, "bigint").alias("max_long"),
+        F.round(bound("min", fixed.REAL, "double"), 4).alias("min_double"),
+        F.round(bound("max", fixed.REAL, "double"), 4).alias("max_double"),
+        F.round("t.mean", 4).alias("mean"), F.round("t.stddev", 4).alias("stddev"),
+        F.round("t.average_length", 4).alias("average_length"),
+        bound("min", fixed.DATE, "string").alias("min_date"),
+        bound("max", fixed.DATE, "string").alias("max_date"),
     )
 
 
+@register
+def profile_document_lists(spark, sf):
+    """Every list of the documents: most frequent, shortest and longest values."""
+    columns = _read_profiles(spark, sf)
+    name = F.concat_ws(".", "dataset_name", "column_name").alias("column_name")
+    texts = columns.select(name, F.explode("data_types").alias("t"))
+    lists = [columns.select(name, F.lit("frequent").alias("list"), F.posexplode("frequent_values").alias("rank", "value"))] + [
+        texts.select("column_name", F.lit(n).alias("list"), F.posexplode(f"t.{n}_values").alias("rank", "value"))
+        for n in ("shortest", "longest")]
+    return reduce(DataFrame.unionByName, lists).withColumn("rank", (F.col("rank") + 1).cast("bigint"))
+
+
 @register
 def combine_json(spark, sf):
     source, target = _scratch(spark, "parts"), _scratch(spark, "combined")

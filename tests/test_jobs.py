@@ -70,7 +70,7 @@ def test_labels(spark, corpus):
     assert scores["city"] == scores["borough"] == scores["zip_code"] == (1.0, 1.0)
     assert scores["color"] == (0.0, 0.0)
     assert [r["idx"] for r in rows(spark, out + "/unmatched_labels")] == [7]
-    assert len(rows(spark, out + "/manual_labels")) == 7
+    assert len(rows(spark, out + "/manual_labels")) == 8  # the vocabulary, and seven entries
     assert {r["idx"]: r.get("precision") for r in rows(spark, out + "/column_precision")} == {
         0: 1.0, 1: 1.0, 2: 1.0, 3: None, 4: None, 5: 1.0
     }

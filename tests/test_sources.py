@@ -82,6 +82,12 @@ def test_lists(spark, tmp_path):
     assert [tuple(r) for r in truth.collect()] == [(0, ["city"]), (1, ["phone_number", "other"])]
     manual = cl.manual_labels(work, truth).filter("column_name = 'Phone'").first()
     assert [m["semantic_type"] for m in manual["manual_labels"]] == ["phone_number", "other"]
+    cl.write_labels(cl.label_lines(work, truth), str(tmp_path / "labels"))
+    lines = sorted((tmp_path / "labels").glob("part-*"))
+    written = [json.loads(line) for file in lines for line in file.read_text().splitlines()]
+    assert written[0] == {"actual_types": list(cl.fixed_values.SEMANTIC_TYPES)}
+    assert len(written) == 1 + work.join(truth, "idx").count()
+    assert written[1].keys() == {"dataset_name", "column_name", "manual_labels"}
 
 
 def test_terms(spark, tmp_path):
