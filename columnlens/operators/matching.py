@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions import similarity_reach
-from .common import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small
+from .common import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, measured, quoted
 
 # Up to this many terms a value is compared with all terms of similar length;
 # beyond, only with those that share a piece with it.
@@ -32,6 +32,10 @@ CHUNKS_PER_BLOCK = 64
 SAMPLED_CHUNKS = 64
 # Widths of the grams by which a term is found: the widest that it has.
 _GRAM_WIDTHS = (1, 2, 4, 8)
+# A value in one of so many rows is common enough to be looked up apart.
+HOT_SHARE = 200
+# Places of the filter that drops values of no term, where the terms are too many to be sent.
+TERM_SLOTS = 1 << 20
 # Places of the filter that drops grams of no term, where the terms are too many to be sent.
 GRAM_SLOTS = 1 << 20
 
@@ -42,10 +46,36 @@ def exact_match(
     on: str = "value",
     broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """Values that are a term.  Over ``broadcast_rows`` terms both sides are shuffled."""
+    """Values that are a term.  Over ``broadcast_rows`` terms both sides are shuffled.
+
+    Before that, a filter of bounded size drops most values that are no term, and values that
+    fill many rows are looked up apart: their few terms travel to them.
+    """
     terms = dictionary.select("label", "term").distinct()
-    small = broadcast_if_small(terms, limit=broadcast_rows)
-    return values.join(small, F.col(on) == F.col("term"))
+    size = measured(terms)
+    if size[0] <= broadcast_rows and size[1] <= BROADCAST_BYTES:
+        return values.join(F.broadcast(terms), F.col(on) == F.col("term"))
+    hot = _hot_values(values, on)
+    value = F.col(quoted(on))
+    slot = F.pmod(F.xxhash64("term"), F.lit(TERM_SLOTS)).cast("int")
+    slots = terms.select(slot.alias("_slot")).distinct()  # TERM_SLOTS rows at most
+    own = F.pmod(F.xxhash64(value), F.lit(TERM_SLOTS)).cast("int")
+    few = values.join(F.broadcast(slots), own == F.col("_slot"), "left_semi")
+    common = value.isin(hot) if hot else F.lit(False)
+    rest = few.filter(~common).join(terms.filter(~F.col("term").isin(hot)) if hot else terms, value == F.col("term"))
+    if not hot:
+        return rest
+    sent = broadcast_if_small(terms.filter(F.col("term").isin(hot)), limit=HOT_SHARE * HOT_SHARE)
+    return rest.unionByName(few.filter(common).join(sent, value == F.col("term")))
+
+
+def _hot_values(values: DataFrame, on: str) -> list[str]:
+    """Values in at least one of ``HOT_SHARE`` rows, by a summary of frequent items that tasks
+    make and merge. There are no more than ``HOT_SHARE`` of them; which they are decides where
+    rows meet, not what is found."""
+    top = f"approx_top_k({quoted(on)}, {HOT_SHARE}, {32 * HOT_SHARE})"
+    seen = values.agg(F.expr(top).alias("top"), F.count(quoted(on)).alias("rows")).first()
+    return sorted(r["item"] for r in seen["top"] if r["item"] is not None and r["count"] * HOT_SHARE >= seen["rows"])
 
 
 def contains_match(

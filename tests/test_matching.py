@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import columnlens as cl
 from columnlens.operators import common, matching
@@ -160,3 +161,25 @@ def test_terms_go_by_their_rarest_gram(spark, strings, monkeypatch):
     hashes = {g: spark.range(1).selectExpr(f"xxhash64('{g}')").first()[0] for g in ("common w", "common z")}
     assert len(found) == 1 and gram != hashes["common w"]
     assert gram in {spark.range(1).selectExpr(f"xxhash64('{'common zebra'[i:i + 8]}')").first()[0] for i in range(5)}
+
+
+def test_exact_with_a_common_value(spark, strings):
+    """A value in a third of the rows: no task gets it all, and no row is lost."""
+    values = ["hot" if i % 3 == 0 else f"v{i}" for i in range(6_000)] + [None, "", "a"]
+    rows = [("l", f"v{i}") for i in range(0, 9_000, 2)] + [("l", "hot"), ("m", "hot"), ("l", ""), ("l", "other")]
+    terms = spark.createDataFrame(rows, "label string, term string")
+    frame = strings(values).repartition(8)
+    assert matching._hot_values(frame, "value") == ["hot"]
+    assert matching._hot_values(strings(["a b", "c"] * 3), "value") == ["a b", "c"]
+    assert matching._hot_values(strings([None, None]), "value") == []
+    found = cl.exact_match(frame, terms, broadcast_rows=0)
+    got = sorted((r["value"], r["label"]) for r in found.collect())
+    assert got == sorted((v, l) for v in values if v is not None for l, t in rows if t == v)
+    name = "spark.sql.adaptive.enabled"
+    try:
+        spark.conf.set(name, "false")
+        spread = cl.exact_match(frame, terms, broadcast_rows=0).groupBy(F.spark_partition_id()).count()
+        sizes = sorted(r["count"] for r in spread.collect())
+    finally:
+        spark.conf.unset(name)
+    assert sizes[-1] < 2.5 * sizes[len(sizes) // 2]
