@@ -36,6 +36,7 @@ from ..sources.documents import (
     write_semantic,
 )
 from ..sources.lists import read_truth, read_worklist
+from ..sources.split import read_split_table
 from ..sources.tables import TABLE_SUFFIX, read_catalog, read_table, table_headers
 from .batches import QUARANTINE_SCHEMA, run_each
 from .evaluate import (
@@ -56,24 +57,23 @@ SEMANTIC_SCHEMA = "dataset string, column string, label string, cnt bigint, rank
 
 Reader = Callable[[SparkSession, str], DataFrame]
 
-# A gzipped file, or one with line ends in cells, is read by one task; the jobs deal its
-# rows out before they count them.
+# Bytes of a file that one task may read alone.
+ONE_TASK = 128 * 1024 * 1024
+# A compressed file is read by one task; the jobs deal the rows of a large one out before they
+# count them.
 READ_PARTITIONS = 64
+_COMPRESSED = (".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate", ".xz")
 
 
 def read_dealt(spark: SparkSession, path: str) -> DataFrame:
-    """``read_table`` with the rows dealt over ``READ_PARTITIONS`` tasks if the file is large.
-
-    A file that Spark splits by itself needs no dealing: pass a reader of your own.
-    """
-    return read_table(spark, path, partitions=READ_PARTITIONS if _large(spark, path) else None)
-
-
-def _large(spark: SparkSession, path: str) -> bool:
-    """Whether a file holds more than one task's share of bytes."""
-    file = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = file.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.getContentSummary(file).getLength() > 128 * 1024 * 1024
+    """``read_table``; a large plain file is read by many tasks, and the rows of a large
+    compressed one are dealt over ``READ_PARTITIONS``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)  # sizes only
+    plain = ~F.lower("path").rlike("(" + "|".join(e.replace(".", r"\.") for e in _COMPRESSED) + ")$")
+    found = files.agg(F.sum("length").alias("bytes"), F.every(plain).alias("plain")).first()
+    if (found["bytes"] or 0) <= ONE_TASK:
+        return read_table(spark, path)
+    return read_split_table(spark, path) if found["plain"] else read_table(spark, path, partitions=READ_PARTITIONS)
 
 
 def profile_datasets(

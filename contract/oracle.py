@@ -713,6 +713,7 @@ ORACLE_SQL["read_table"] = COUNTED.format("""
     UNION ALL SELECT 'note', CASE WHEN o_orderkey % 4 <> 0
         THEN 'two' || chr(10) || 'lines ' || o_orderpriority END FROM orders
 """)
+ORACLE_SQL["read_split_table"] = ORACLE_SQL["read_table"]
 ORACLE_SQL["catalog"] = """
     SELECT 'p' || p_partkey AS dataset, '/data/p' || p_partkey || '.tsv.gz' AS path FROM part
 """

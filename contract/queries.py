@@ -703,17 +703,29 @@ def _scratch(spark: SparkSession, name: str) -> str:
     return f"{root}/columnlens-{name}-{uuid.uuid4().hex}"
 
 
-@register
-def read_table(spark, sf):
-    path = _scratch(spark, "table")
-    orders = table(spark, sf, "orders").select(
+def _noted_orders(spark, sf):
+    """Orders with line ends in the cells of a column."""
+    return table(spark, sf, "orders").select(
         F.lpad(F.col("o_orderkey").cast("string"), 9, "0").alias("o_orderkey"),
         F.col("o_orderstatus").alias("order.status"),
         F.when(F.col("o_orderkey") % 4 != 0, F.concat(F.lit("two\nlines "), "o_orderpriority")).alias("note"),
     )
-    orders.write.option("header", True).option("sep", "\t").option("compression", "gzip").csv(path)
-    back = cl.read_table(spark, path)
-    return cl.value_counts(back)
+
+
+@register
+def read_table(spark, sf):
+    path = _scratch(spark, "table")
+    rows = _noted_orders(spark, sf)
+    rows.write.option("header", True).option("sep", "\t").option("compression", "gzip").csv(path)
+    return cl.value_counts(cl.read_table(spark, path))
+
+
+@register
+def read_split_table(spark, sf):
+    """The same from plain files, which several tasks read."""
+    path = _scratch(spark, "table")
+    _noted_orders(spark, sf).write.option("header", True).option("sep", "\t").csv(path)
+    return cl.value_counts(cl.read_split_table(spark, path))
 
 
 @register
