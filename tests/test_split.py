@@ -73,7 +73,7 @@ def test_jobs_choose_a_reader(spark, tmp_path, monkeypatch):
         read = getattr(jobs, name)
         monkeypatch.setattr(jobs, name, lambda *a, read=read, name=name, **k: used.append((name, *k)) or read(*a, **k))
     assert jobs.read_dealt(spark, str(tmp_path / "t.tsv")).count() == 50
-    monkeypatch.setattr(jobs, "ONE_TASK", 100)
+    monkeypatch.setattr(jobs, "ONE_TASK", 10)
     assert jobs.read_dealt(spark, str(tmp_path / "t.tsv")).count() == 50
     jobs.read_dealt(spark, str(tmp_path / "z"))
     assert used == [("read_table",), ("read_split_table",), ("read_table", "partitions")]
