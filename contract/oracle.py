@@ -729,6 +729,41 @@ ORACLE_SQL["profile_documents"] = _profile(_READ_BACK)
 _BACK_CELLS = " UNION ALL ".join(_typed_column(*c) for c in _READ_BACK)
 _BACK_CELLS = f"SELECT dataset_name || '.' || column_name AS column_name, value, type FROM ({_BACK_CELLS})"
 ORACLE_SQL["profile_document_lists"] = _lists(_BACK_CELLS)
+_JOB_COLUMNS = [
+    (d, d, c, "text")
+    for d, names in {
+        "nation": ["n_nationkey", "n_name", "n_regionkey"],
+        "supplier": ["s_suppkey", "s_name", "s_nationkey", "s_acctbal"],
+        "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+    }.items()
+    for c in names
+]
+ORACLE_SQL["job_profile"] = _profile(_JOB_COLUMNS)
+_JOB_CELLS = " UNION ALL ".join(_typed_column(*c) for c in _JOB_COLUMNS)
+_JOB_COUNTS = f"""
+    SELECT dataset_name || '.' || column_name AS "column", value, count(*) AS cnt FROM ({_JOB_CELLS}) GROUP BY ALL
+"""
+ORACLE_SQL["job_report"] = f"""
+    WITH tally AS (
+        SELECT value, count(*) AS n
+        FROM (SELECT lower(trim(coalesce(value, 'None'))) AS value FROM ({top_of(_JOB_COUNTS)})) GROUP BY value),
+    words AS (SELECT * FROM tally WHERE NOT regexp_matches(value, '^[0-9]') AND length(value) <> 1),
+    cells AS (SELECT * FROM words WHERE value NOT IN {in_list(fixed.EMPTY_INSIGHT)})
+    SELECT 'top_values' AS part, * FROM (SELECT * FROM tally ORDER BY n DESC, value LIMIT 100)
+    UNION ALL SELECT 'top_words', * FROM (SELECT * FROM words ORDER BY n DESC, value LIMIT 100)
+    UNION ALL SELECT 'top_cells', * FROM (SELECT * FROM cells ORDER BY n DESC, value LIMIT 100)
+    UNION ALL SELECT 'empty_labels', * FROM words WHERE value IN {in_list(fixed.EMPTY_INSIGHT)}
+    UNION ALL SELECT 'boroughs', * FROM cells WHERE value IN {in_list(fixed.BOROUGH_NAMES)}
+    UNION ALL SELECT 'school_levels', * FROM cells WHERE value IN {in_list(fixed.SCHOOL_LEVEL_TERMS)}
+    UNION ALL SELECT 'streets', * FROM (
+        SELECT * FROM cells WHERE regexp_full_match(value, '([a-zA-Z0-9]{{1,10}} ){{1,5}}{_END}') ORDER BY n DESC, value LIMIT 10)
+"""
+ORACLE_SQL["list_files"] = f"""
+    SELECT 'truth' AS list, unnest(string_split(labels, ',')) AS label, CAST(idx AS VARCHAR) AS term FROM ({_TRUTH})
+    UNION ALL SELECT DISTINCT 'terms', 'name', lower(p_name) FROM part
+    UNION ALL SELECT DISTINCT 'terms', 'agency', lower(s_name) FROM supplier
+    UNION ALL SELECT DISTINCT 'terms', 'agency', 's' || s_suppkey FROM supplier
+"""
 ORACLE_SQL["combine_json"] = f"""
     SELECT dataset AS dataset_name, "column" AS column_name, labels AS actual_types,
         label AS semantic_type, cnt AS cells, CASE WHEN label = 'other' THEN labels END AS label

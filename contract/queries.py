@@ -746,10 +746,9 @@ def _read_profiles(spark, sf):
     return columns.select("dataset_name", "c.*")
 
 
-@register
-def profile_documents(spark, sf):
-    """Every number and date of the documents."""
-    types = _read_profiles(spark, sf).withColumn("t", F.explode("data_types"))
+def _document_types(columns: DataFrame) -> DataFrame:
+    """Every number and date of documents that were read."""
+    types = columns.withColumn("t", F.explode("data_types"))
 
     def bound(name: str, kind: str, cast: str) -> Column:
         return F.when(F.col("t.type") == kind, F.col(f"t.{name}_value").try_cast(cast))
@@ -768,6 +767,58 @@ def profile_documents(spark, sf):
     )
 
 
+@register
+def profile_documents(spark, sf):
+    return _document_types(_read_profiles(spark, sf))
+
+
+JOB_TABLES = ("nation", "supplier", "customer")
+
+
+def _profile_job(spark, sf) -> str:
+    """The profile job from compressed text files and a catalog of them; its folder."""
+    root, out = _scratch(spark, "tables"), _scratch(spark, "profile-job")
+    for name in JOB_TABLES:
+        table(spark, sf, name).write.option("header", True).option("sep", "\t").option(
+            "compression", "gzip"
+        ).csv(f"{root}/{name}.tsv.gz")
+    spark.createDataFrame([(f"{n}\t{n}s",) for n in JOB_TABLES], "value string").write.text(f"{root}/catalog")
+    cl.profile_datasets(spark, f"{root}/catalog", out, directory=root)
+    return out
+
+
+@register
+def job_profile(spark, sf):
+    """Documents of whole files, written by the job and read back."""
+    documents = cl.read_profiles(spark, f"{_profile_job(spark, sf)}/profiles")
+    return _document_types(documents.select("dataset_name", F.explode("columns").alias("c")).select("dataset_name", "c.*"))
+
+
+@register
+def job_report(spark, sf):
+    """Every part of the report on the profile job's documents."""
+    out = _scratch(spark, "report")
+    cl.report(spark, f"{_profile_job(spark, sf)}/profiles", out)
+    parts = ("top_values", "top_words", "top_cells", "empty_labels", "boroughs", "school_levels", "streets")
+    return reduce(DataFrame.unionByName, [
+        spark.read.schema("value string, n bigint").json(f"{out}/{part}").withColumn("part", F.lit(part)) for part in parts])
+
+
+@register
+def list_files(spark, sf):
+    """Labels and dictionaries read from text files."""
+    truth, terms, abbrev = (_scratch(spark, n) for n in ("truth", "terms", "abbrev"))
+    table(spark, sf, "customer").select(F.expr(fx.TRUTH_LINE)).write.text(truth)
+    table(spark, sf, "part").select(F.concat_ws("\t", F.upper("p_name"), "p_brand")).write.text(terms)
+    table(spark, sf, "supplier").select(
+        F.concat("s_name", F.lit(" (S"), F.col("s_suppkey").cast("string"), F.lit(")"))).write.text(abbrev)
+    labels = cl.read_truth(spark, truth).select(
+        F.explode("labels").alias("label"), F.col("idx").cast("string").alias("term"))
+    names = cl.read_terms(spark, terms, "name", field=0, sep="\t").unionByName(
+        cl.read_terms_with_abbrev(spark, abbrev, "agency"))
+    return labels.withColumn("list", F.lit("truth")).unionByName(names.withColumn("list", F.lit("terms")))
+
+
 @register
 def profile_document_lists(spark, sf):
     """Every list of the documents: most frequent, shortest and longest values."""
