@@ -35,6 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import components
 from .storage import parts, saved, sent_if_small, text_batches
@@ -216,10 +217,11 @@ def verified(documents: DataFrame, doc_id: str, text: str, length: int, trees: i
     low = prefixes.groupBy("tree", "prefix").agg(F.min("class").alias("low"), F.count("*").alias("n")).where("n > 1")
     # a class meets up to one low per tree: it is tied to the least of them, and so are the others,
     # once for all classes; this connects the same as a tie to each
-    lows = saved(prefixes.join(low, ["tree", "prefix"]).groupBy("class").agg(
-        F.min("low").alias("least"), F.collect_set("low").alias("lows")), "lows")
-    ties = lows.select(F.col("class").alias("a"), F.col("least").alias("b")).where("a <> b").union(
-        lows.select(F.explode("lows").alias("a"), F.col("least").alias("b")).where("a <> b").distinct())
+    least = F.min("low").over(Window.partitionBy("class"))
+    ties = (
+        prefixes.join(low, ["tree", "prefix"]).select("class", "low", least.alias("b"))
+        .select(F.explode(F.array("class", "low")).alias("a"), "b").where("a <> b").distinct()
+    )
     candidate = components(ties)
     # blocks of each component: a class falls into one by a hash; the ids are few and small
     count = candidate.groupBy("component").agg(F.count("*").alias("n"))
