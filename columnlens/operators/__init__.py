@@ -19,6 +19,7 @@ from .stats import (
     text_lengths,
     text_stats,
     type_counts,
+    typed_extremes,
 )
 from .tally import (
     empty_labels,
@@ -35,6 +36,6 @@ __all__ = [
     "empty_cells", "empty_labels", "exact_match", "filled_values", "frequent_values",
     "fuzzy_match", "key_candidates", "numeric_stats", "pattern_mentions",
     "resolve_columns", "term_mentions", "text_extremes", "text_lengths", "text_stats",
-    "top_values", "type_counts", "typed_counts", "unresolved", "value_counts",
+    "top_values", "type_counts", "typed_counts", "typed_extremes", "unresolved", "value_counts",
     "value_tally", "without_numbers",
 ]

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .. import fixed_values as fixed
-from .common import BROADCAST_ROWS, group_keys
+from .common import BROADCAST_ROWS, group_keys, quoted
 from .counts import with_types
 
 
@@ -41,6 +44,41 @@ def numeric_stats(counts: DataFrame, column_bound: int | None = None) -> DataFra
     return deviations(counts, means, column_bound)
 
 
+def typed_extremes(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Smallest and largest value of each column in its own type: ``column, type, min_value,
+    max_value``, as text.
+
+    Decimals keep all digits, instants their microseconds; nothing is converted before it is
+    compared. One pass over the table, a row per task, and a row per column at the end. A
+    column without values, or of a type without an order, has nulls.
+    """
+    fields = [f for f in df.schema if columns is None or f.name in columns]
+    ordered = [f for f in fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    places = {f.name: i for i, f in enumerate(ordered)}
+    ends = [g(F.col(quoted(f.name))).alias(f"{n}{i}") for i, f in enumerate(ordered) for n, g in (("min", F.min), ("max", F.max))]
+    none = F.lit(None).cast("string")
+
+    def text(name: str, field: T.StructField) -> Column:
+        if field.name not in places:
+            return none
+        value = F.col(f"{name}{places[field.name]}")
+        if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            return F.date_format(value, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        if isinstance(field.dataType, T.BinaryType):
+            return F.hex(value)
+        if isinstance(field.dataType, (T.ArrayType, T.StructType)):
+            return F.to_json(value)
+        return value.cast("string")
+
+    rows = [
+        F.struct(
+            F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+            text("min", f).alias("min_value"), text("max", f).alias("max_value"))
+        for f in fields
+    ]
+    return df.agg(*(ends or [F.count(F.lit(1))])).select(F.inline(F.array(*rows)))
+
+
 _RANGES = ("min_long", "max_long", "min_double", "max_double")
 
 

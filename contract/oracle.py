@@ -351,6 +351,18 @@ ORACLE_SQL["typed_distinct"] = " UNION ALL ".join(
     )
     for c in columns
 )
+_EXTREME = """(SELECT *, CAST('12345678901234567890123456' AS DECIMAL(38,0)) + o_orderkey AS wide,
+    CAST(CAST(o_orderkey AS DECIMAL(18,6)) / 1000000 AS DECIMAL(38,6)) AS part,
+    o_orderdate + to_microseconds(o_custkey) AS moment FROM orders)"""
+ORACLE_SQL["typed_extremes"] = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {text.format(f"min({c})")} AS min_value, {text.format(f"max({c})")} AS max_value FROM {source}"""
+    for source, columns in (
+        (_EXTREME, [*_ORDER_ALL, "wide", "part", "moment"]),
+        ("customer", ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]),
+    )
+    for c in columns
+    for text in ["strftime({}, '%Y-%m-%d %H:%M:%S.%f')" if c in ("o_orderdate", "moment") else "CAST({} AS VARCHAR)"]
+)
 _TYPED_KEYS = (
     _key_tests("orders", _TYPED, ["wide", "instant", "list", "pair"], 4) + " UNION ALL "
     + _key_tests("embeddings", "embeddings", ["vec_id", "embedding", "label"], 3)

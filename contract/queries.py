@@ -267,6 +267,18 @@ def typed_distinct(spark, sf):
     return orders.unionByName(vectors)
 
 
+@register
+def typed_extremes(spark, sf):
+    """Whole tables, and digits and microseconds that a double or a date would lose."""
+    orders = table(spark, sf, "orders").withColumns({
+        "wide": F.lit("12345678901234567890123456").cast("decimal(38,0)") + F.col("o_orderkey"),
+        "part": (F.col("o_orderkey") / F.lit("1000000").cast("decimal(7,0)")).cast("decimal(38,6)"),
+        "moment": F.expr("timestampadd(MICROSECOND, o_custkey, o_orderdate)"),
+    })
+    return cl.typed_extremes(orders).unionByName(cl.typed_extremes(table(spark, sf, "customer"))).select(
+        "column", "min_value", "max_value")
+
+
 @register
 def typed_keys(spark, sf):
     vectors = table(spark, sf, "embeddings")

@@ -175,3 +175,18 @@ def test_texts_are_not_broadcast_unseen(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_extremes_in_their_own_type(spark):
+    frame = spark.sql("""
+        SELECT * FROM VALUES
+            (CAST('9007199254740993' AS decimal(38,1)), timestamp_ntz'2020-01-01 10:00:00.000001', array(2), map(1, 2), null, 'b'),
+            (CAST('9007199254740992.5' AS decimal(38,1)), timestamp_ntz'2020-01-01 10:00:00', array(10), map(1, 3), null, 'a')
+        AS t(d, t, list, entries, `no.thing`, s)""")
+    found = {r["column"]: (r["min_value"], r["max_value"]) for r in cl.typed_extremes(frame).collect()}
+    assert found == {
+        "d": ("9007199254740992.5", "9007199254740993.0"),
+        "t": ("2020-01-01 10:00:00.000000", "2020-01-01 10:00:00.000001"),
+        "list": ("[2]", "[10]"), "entries": (None, None), "no.thing": (None, None), "s": ("a", "b")}
+    assert cl.typed_extremes(frame.limit(0)).where("min_value is null").count() == 6
+    assert cl.typed_extremes(frame, ["entries"]).collect()[0]["type"] == "map<int,int>"
