@@ -122,15 +122,17 @@ WEBSITE = (
 )
 COORDINATE_PAIR = (
     r"[-+]?([1-8]?\d(\.\d+)?|90(\.0+)?),\s*"
-    r"[-+]?(180(\.0+)?|(1[0-7]\d|[1-9]?\d)(\.\d+)?)$"
+    r"[-+]?(180(\.0+)?|((1[0-7]\d)|([1-9]?\d))(\.\d+)?)$"
 )
 COORDINATE = r"(([1-9]\d?|1[0-7]\d)\.\d{3,7}|180|0(\.\d{1,6})?)$"
-COORDINATE_LOOSE = r"([1-9]\d?|1[0-7]\d)(\.\d{3,7})|180|0(\.\d{1,6})?"
+COORDINATE_LOOSE = r"(([1-9]\d?)|(1[0-7]\d))(\.\d{3,7})|180|0(\.\d{1,6})?"
 PHONES = (
     r"[2-9]\d{2}-\d{3}-\d{4}$",
-    r"(\(\d{3}\) ?|\d{3}-)?\d{3}-\d{4}",
-    r"(1?(-?\d{3})-?)?\d{3}-?\d{4}$",
+    r"((\(\d{3}\) ?)|(\d{3}-))?\d{3}-\d{4}",
+    r"(1?(-?\d{3})-?)?(\d{3})(-?\d{4})$",
 )
+# The last word has up to 50 characters, as one repeat: five repeats of up to ten, one in the
+# other, accept the same and are tried in as many ways as there are sums.
 SCHOOL = (
     r"([a-z0-9]{1,10} ){1,5}(high school|middle school|studies|charter school|"
     r"elementary school|(school|academy) (of|for) [a-z0-9]{1,50})$"
@@ -142,6 +144,8 @@ STREET_ENDINGS = (
 )
 STREET = r"([a-z0-9]{1,10} ){1,2}" + STREET_ENDINGS
 STREET_INSIGHT = r"([a-zA-Z0-9]{1,10} ){1,5}" + STREET_ENDINGS
+# A prefix: what may follow and may be empty is left out. The optional first word has its blank
+# with it, so that a long word is not split in two at each of its characters.
 ADDRESS = r"\d+[a-z]*\s(\w*\s)?\w+\s\w{2}"
 LEADING_NUMBER = r"[0-9]"
 
