@@ -26,8 +26,8 @@ FUZZY_SCAN_TERMS = 2_000
 CONTAINS_SCAN_TERMS = 1_000
 CONTAINS_SCAN_BYTES = 64 * 1024
 # Characters of a text in a row while terms are looked for, and such chunks in a first cut.
-CHUNK = 2_048
-CHUNKS_PER_BLOCK = 64
+CHUNK = 256
+CHUNKS_PER_BLOCK = 512
 # One in so many chunks is looked at to see which grams are rare.
 SAMPLED_CHUNKS = 64
 # Widths of the grams by which a term is found: the widest that it has.
