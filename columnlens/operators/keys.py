@@ -6,26 +6,37 @@ the minimal hitting sets of all difference sets. The search never looks at all p
 
 * pairs of nearly equal rows, found by sorting small slices of the table, give first
   difference sets. Small ones rule out most column sets;
-* the minimal hitting sets of what is known are the only candidates. All up to
-  ``SETS_PER_SCAN`` of them are tested in one scan of the table;
-* a candidate that repeats a row is refuted by pairs that agree on it, which are fetched in one
-  more scan and give new difference sets; the others are keys, and minimal ones;
-* this goes on until every minimal hitting set is a key. No other minimal key can be left.
-
-A scan turns every row into one (set number, 128-bit hash) per candidate, and counts these,
-combined before the shuffle. Sets whose hashes are all different have no equal rows, which is
-exact; where hashes repeat, rows that agree are looked up and compared in every column, by two
-64-bit hashes of each value. Large tables first count only the
-hashes of one slice, which holds all rows that are equal on the set. The number of scans
-follows the number of rounds, not the number of column sets or columns; the driver sees a row
-per candidate and the masks of sampled pairs, never a row of the table. The number of minimal
-keys itself can grow as 2^n with the columns; they are listed one after the other.
+* the minimal hitting sets of what is known are the only candidates. Rows that agree on a
+  candidate also agree on each part of it, so one part that few rows have in common, a pivot,
+  settles all candidates around it: one shuffle brings together the rows that agree on the
+  pivot, all of their pairs are compared, and their difference sets refute or prove every set
+  that holds the pivot;
+* this goes on until every minimal hitting set holds a pivot or is proved. No other minimal
+  key can be left.
+
+A pivot is a set on which a row agrees with at most ``PAIRS_PER_ROW`` others on average, as
+counted in a sample of the rows; among these the one with most candidates for its work is
+taken. So a shuffle moves every row once, not once per candidate, and the number of shuffles
+follows that of the pivots, not of the keys, candidates or columns. Rows of a group may be
+many more than estimated: they are streamed by a sort-merge join, never collected.
+
+A candidate whose parts and which itself are common to many more rows is no key: neighbors in
+the sample that agree on it refute it. What is left after that (sets of columns that cannot be
+hashed) is counted: every row as one (set number, 128-bit hash) per candidate, combined before
+the shuffle; sets whose hashes are all different have no equal rows, which is exact; where
+hashes repeat, rows that agree are looked up and compared in every column. Large tables first
+count only the hashes of one slice, which holds all rows that are equal on the set.
+
+The driver sees difference sets, up to a fixed number a round, never a row of the table. The
+number of minimal keys itself can grow as 2^n with the columns; they are listed one after the
+other.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,6 +57,16 @@ LISTED_COLUMNS = 22
 REPEATS = 8
 # rows of one value that are sorted for neighbors
 EVIDENCE_GROUP = 64
+# rows in which agreeing pairs are counted to choose a pivot; only work depends on it
+SAMPLE_ROWS = 50_000
+# most pairs a row may be in on average, and how many pairs take the time of moving a row
+PAIRS_PER_ROW = 32
+PAIRS_PER_MOVE = 16
+# difference sets brought back per pivot and per candidate; one with fewer is known in full
+PIVOT_MASKS = 4096
+CANDIDATE_MASKS = 64
+# columns in one number
+MASK_BITS = 60
 
 
 def key_candidates(
@@ -58,8 +79,8 @@ def key_candidates(
     """Column sets without a duplicate row: ``key, width, minimal``.
 
     All minimal keys, or those of up to ``max_width`` columns; ``all_superkeys``
-    adds every wider set that holds one.  A table of more than four times
-    ``probe_rows`` rows is probed for repeats before a set is counted.
+    adds every wider set that holds one.  Where sets must be counted, a table of more
+    than four times ``probe_rows`` rows is probed for repeats before that.
     """
     names = list(columns) if columns is not None else df.columns
     widest = len(names) if max_width is None else min(max_width, len(names))
@@ -155,23 +176,137 @@ def _search(df: DataFrame, names: list[str], widest: int, probe_rows: int) -> li
     whole = (1 << len(names)) - 1
     edges = _minimal([whole, *_near_pairs(table, total)])
     slices = total // probe_rows if total > 4 * probe_rows else 1
+    part = max(1, total // SAMPLE_ROWS)
+    sample = _hashed(table.where(F.pmod(F.xxhash64(*table.columns), F.lit(part)) == 0), whole).persist()
+    safe = sum(1 << i for i, f in enumerate(table.schema) if _hashes_safely(f.dataType))
+    agreeing: dict[int, float] = {}  # pairs per row that agree on a set, as estimated
+    settled: list[int] = []
     keys: set[int] = set()
-    while 0 not in edges:  # equal rows: no keys
-        candidates = []
-        for s in minimal_hitting_sets(edges, widest):
-            if s not in keys:
-                candidates.append(s)
-                if len(candidates) == SETS_PER_SCAN:
-                    break
-        if not candidates:
-            return sorted((tuple(names[i] for i in _columns(s)) for s in keys), key=lambda k: (len(k), [names.index(c) for c in k]))
-        refuted = _refuted(table, candidates, total, slices)
-        keys.update(s for s in candidates if s not in refuted)
-        # rows that agree on a refuted set differ only in other columns
-        edges = _minimal([*edges, *(whole & ~s for s in refuted), *(e for found in refuted.values() for e in found)])
+    try:
+        while 0 not in edges:  # equal rows: no keys
+            found, candidates = [], []
+            for s in minimal_hitting_sets(edges, widest):
+                found.append(s)
+                if s not in keys and not any(t & s == t for t in settled):
+                    candidates.append(s)
+                    if len(candidates) == SETS_PER_SCAN:
+                        break
+            if not candidates:
+                return sorted((tuple(names[i] for i in _columns(s)) for s in found), key=lambda k: (len(k), [names.index(c) for c in k]))
+            pivot, common = _pivot(sample, candidates, safe, agreeing, part * part / total)
+            if pivot:
+                held = [s for s in candidates if s & pivot == pivot]
+                masks, whole_list = _differences(table, pivot, held, total)
+                if whole_list:
+                    settled.append(pivot)
+                keys.update(s for s in held if all(s & e for e in masks))
+                edges = _minimal([*edges, *masks])
+                continue
+            refuted = _sample_pairs(sample, [s for s in common if not s & ~safe])
+            rest = [s for s in common if s not in refuted]
+            counted = _refuted(table, rest, total, slices) if rest else {}
+            keys.update(s for s in rest if s not in counted)
+            refuted.update(counted)
+            # rows that agree on a refuted set differ only in other columns
+            edges = _minimal([*edges, *(whole & ~s for s in refuted), *(e for found in refuted.values() for e in found)])
+    finally:
+        sample.unpersist()
     return []
 
 
+def _pivot(
+    sample: DataFrame, candidates: list[int], safe: int, agreeing: dict[int, float], weight: float
+) -> tuple[int, list[int]]:
+    """The part of candidates to compare rows by, 0 if there is none; and the candidates that
+    have no such part. ``agreeing`` keeps what was estimated, ``weight`` is that of a pair of
+    the sample."""
+    def rare(s: int) -> bool:
+        return any(t & s == t and n <= PAIRS_PER_ROW for t, n in agreeing.items())
+
+    for width in range(1, max(map(int.bit_count, candidates)) + 1):
+        wanted: dict[int, None] = {}
+        for s in candidates:
+            if len(wanted) < SETS_PER_SCAN and not rare(s):
+                parts = (sum(1 << i for i in c) for c in combinations(_columns(s & safe), width))
+                wanted.update((t, None) for t in parts if t not in agreeing)
+        sets = list(wanted)
+        for i in range(0, len(sets), SETS_PER_SCAN):
+            lot = sets[i : i + SETS_PER_SCAN]
+            groups = _set_hashes(sample, lot).groupBy("k", "x", "y").agg(F.count(F.lit(1)).alias("n"))
+            pairs = groups.groupBy("k").agg(F.sum(F.col("n") * (F.col("n") - 1) / 2).alias("pairs"))
+            agreeing.update(dict.fromkeys(lot, 0.0))
+            agreeing.update((lot[r["k"]], r["pairs"] * weight) for r in pairs.collect())  # a row per set
+
+    def worth(t: int) -> float:
+        return sum(t & s == t for s in candidates) / (PAIRS_PER_MOVE + agreeing[t])
+
+    best = max((t for t, n in agreeing.items() if n <= PAIRS_PER_ROW), key=worth, default=0)
+    if best and worth(best) > 0:
+        return best, []
+    return 0, [s for s in candidates if not s & safe or s & safe in agreeing][:SETS_PER_JOB]
+
+
+def _differences(table: DataFrame, pivot: int, candidates: list[int], total: int) -> tuple[list[int], bool]:
+    """Difference sets of all pairs of rows that agree on ``pivot``, and whether these are all:
+    else the smallest of all and of those that refute a candidate. One shuffle of the rows.
+
+    Rows meet by a hash of the pivot. Pairs that meet by chance are pairs as well, and columns are
+    compared by their values (by 128 bits, if they are texts), so nothing depends on it. Every
+    row meets itself once; more pairs without a difference are equal rows.
+    """
+    n = len(table.columns)
+    hashed = _hashed(table, (1 << n) - 1, keep=True)
+    x = reduce(Column.bitwiseXOR, [F.col(f"a{i}") for i in _columns(pivot)])
+    order = reduce(Column.bitwiseXOR, [F.col(f"b{i}") for i in range(n)])
+    by_hash = [_hashes_safely(f.dataType) and not _is_small(f.dataType) for f in table.schema]
+    compared = [[f"a{i}", f"b{i}"] if by_hash[i] else [f.name] for i, f in enumerate(table.schema)]
+    rows = hashed.select(x.alias("x"), order.alias("o"), *[c for own in compared for c in own])
+    left, right = rows.alias("l"), rows.alias("r")
+    pairs = left.join(right.hint("merge"), F.expr("l.x = r.x AND l.o <= r.o"))
+
+    def bit(i: int) -> Column:
+        same = reduce(Column.__and__, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in compared[i]])
+        return F.when(same, F.lit(0)).otherwise(F.lit(1 << i % MASK_BITS)).cast("long")
+
+    words = [f"m{w}" for w in range(-(-n // MASK_BITS))]
+    masks = [
+        reduce(Column.__add__, [bit(i) for i in range(w * MASK_BITS, min(n, (w + 1) * MASK_BITS))]).alias(m)
+        for w, m in enumerate(words)]
+    counted = pairs.select(*masks).groupBy(*words).agg(F.count(F.lit(1)).alias("n"))
+
+    def misses(s: int) -> Column:
+        own = [s >> w * MASK_BITS & (1 << MASK_BITS) - 1 for w in range(len(words))]
+        return reduce(Column.__and__, [F.col(m).bitwiseAND(F.lit(o).cast("long")) == 0 for m, o in zip(words, own)])
+
+    lists = [F.lit(0), *[F.when(misses(s), F.lit(k)) for k, s in enumerate(candidates, 1)]]
+    size = reduce(Column.__add__, [F.bit_count(m) for m in words])
+    few = (
+        counted.withColumn("size", size).where((F.col("size") > 0) | (F.col("n") > total))
+        .withColumn("k", F.explode(F.array_compact(F.array(*lists))))
+        .withColumn("at", F.row_number().over(Window.partitionBy("k").orderBy("size", *words)))
+        .where(F.col("at") <= F.when(F.col("k") == 0, PIVOT_MASKS).otherwise(CANDIDATE_MASKS))
+    )
+    found = few.select("k", *words).collect()  # bounded by the limits
+    sets = {sum(r[m] << w * MASK_BITS for w, m in enumerate(words)) for r in found}
+    return sorted(sets), sum(r["k"] == 0 for r in found) < PIVOT_MASKS
+
+
+def _is_small(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
+def _sample_pairs(sample: DataFrame, sets: list[int]) -> dict[int, list[int]]:
+    """Of ``sets``, those on which rows of the sample agree, with difference sets of such rows."""
+    found: dict[int, list[int]] = {}
+    if sets:
+        hashed = _with_arrays(sample, len(sample.columns) // 2)
+        for r in _neighbors(_set_hashes(hashed, sets, "a", "b"), ["k", "x", "y"], F.col("a"), ["k"]):
+            mask = int(r["mask"][::-1], 2)
+            if not mask & sets[r["k"]]:
+                found.setdefault(sets[r["k"]], []).append(mask)
+    return found
+
+
 def _columns(mask: int) -> list[int]:
     return [i for i in range(mask.bit_length()) if mask >> i & 1]
 
@@ -199,10 +334,11 @@ def _refuted(table: DataFrame, sets: list[int], total: int, slices: int) -> dict
     return found
 
 
-def _hashed(table: DataFrame, used: int) -> DataFrame:
-    """Two 64-bit hashes of every column of ``used``: ``a0, a1... b0, b1...``. They differ for
-    equal values of different columns, and a missing cell has its own."""
-    made = []
+def _hashed(table: DataFrame, used: int, keep: bool = False) -> DataFrame:
+    """Two 64-bit hashes of every column of ``used``: ``a0, a1... b0, b1...``, after all columns
+    if they are to be kept. They differ for equal values of different columns, and a missing cell
+    has its own."""
+    made = list(table.columns) if keep else []
     for i, f in enumerate(table.schema):
         value, missing = F.col(f.name), F.col(f.name).isNull()
         if isinstance(f.dataType, (T.FloatType, T.DoubleType)):  # -0.0 is 0.0

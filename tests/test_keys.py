@@ -160,3 +160,36 @@ def test_hitting_sets_and_supersets(spark, monkeypatch):
     monkeypatch.setattr(keys_module, "LISTED_COLUMNS", 0)
     assert as_dict(cl.key_candidates(frame, max_width=3, all_superkeys=True)) == listed
     assert len(listed) == 8  # d with up to two others, and a, b, c
+
+
+@pytest.mark.parametrize("limits", [
+    {}, {"PIVOT_MASKS": 2, "CANDIDATE_MASKS": 1}, {"PAIRS_PER_ROW": -1}, {"PAIRS_PER_ROW": 0}, {"SAMPLE_ROWS": 5}, {"MASK_BITS": 2}])
+def test_pivots(spark, monkeypatch, limits):
+    """The same keys whatever is estimated, listed or settled at once."""
+    for name, value in limits.items():
+        monkeypatch.setattr(keys_module, name, value)
+    rng = random.Random(5)
+    texts = [None, "", "a", "b", "c"]
+    rows = list({(rng.choice(texts), rng.choice([None, 0.0, 1.5, 2.5]), rng.randrange(3), rng.randrange(4), rng.randrange(30)) for _ in range(40)})
+    frame = spark.createDataFrame([(a, None if b is None else -b if i % 2 and b == 0 else b, c, d, e)
+                                   for i, (a, b, c, d, e) in enumerate(rows)], "a string, b double, c int, d int, e int")
+    want = brute_force(rows, ["a", "b", "c", "d", "e"], 5)
+    assert as_dict(cl.key_candidates(frame)) == {k: True for k, minimal in want.items() if minimal}
+    assert as_dict(cl.key_candidates(frame.unionAll(frame.limit(1)))) == {}
+
+
+def test_one_shuffle_for_many_keys(spark, monkeypatch):
+    """Forty-two keys around two columns: rows are not hashed once per key."""
+    hashed, compared = [], []
+    repeats, differences = keys_module._repeats, keys_module._differences
+    monkeypatch.setattr(keys_module, "_repeats", lambda table, sets, slices: hashed.extend(sets) or repeats(table, sets, slices))
+    monkeypatch.setattr(keys_module, "_differences", lambda *a: compared.append(a[1]) or differences(*a))
+    frame = spark.range(600).selectExpr("int(id / 3) AS a", "int(id / 3) + 900 AS b", *[f"id % 3 + {k} AS c{k}" for k in range(21)])
+    assert len(as_dict(cl.key_candidates(frame))) == 42
+    assert hashed == [] and len(compared) == 2
+
+
+def test_more_columns_than_bits(spark):
+    frame = spark.range(90).selectExpr(
+        "int(id / 9) AS a", *["1 AS s%d" % k for k in range(70)], "id % 9 AS z", "array(double(id % 9)) AS list")
+    assert as_dict(cl.key_candidates(frame)) == {("a", "z"): True, ("a", "list"): True}
