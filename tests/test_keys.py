@@ -193,3 +193,15 @@ def test_more_columns_than_bits(spark):
     frame = spark.range(90).selectExpr(
         "int(id / 9) AS a", *["1 AS s%d" % k for k in range(70)], "id % 9 AS z", "array(double(id % 9)) AS list")
     assert as_dict(cl.key_candidates(frame)) == {("a", "z"): True, ("a", "list"): True}
+
+
+def test_superkeys_by_pivots(spark, monkeypatch):
+    """Every key of any width, with no set counted over the rows."""
+    hashed = []
+    repeats = keys_module._repeats
+    monkeypatch.setattr(keys_module, "_repeats", lambda table, sets, slices: hashed.extend(sets) or repeats(table, sets, slices))
+    rng = random.Random(8)
+    rows = list({tuple(rng.randrange(n) for n in (2, 3, 4, 9, 30, 40)) for _ in range(150)})
+    frame = spark.createDataFrame(rows, "a int, b int, c int, d int, e int, f int")
+    assert as_dict(cl.key_candidates(frame, all_superkeys=True)) == brute_force(rows, list("abcdef"), 6)
+    assert hashed == []
