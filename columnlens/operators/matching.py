@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fixed
 from ..functions import similarity_reach
+from . import grams as runs
 from .common import BROADCAST_BYTES, BROADCAST_ROWS, broadcast_if_small, measured, quoted
 
 # Up to this many terms a value is compared with all terms of similar length;
@@ -36,8 +37,6 @@ _GRAM_WIDTHS = (1, 2, 4, 8)
 HOT_SHARE = 200
 # Places of the filter that drops values of no term, where the terms are too many to be sent.
 TERM_SLOTS = 1 << 20
-# Places of the filter that drops grams of no term, where the terms are too many to be sent.
-GRAM_SLOTS = 1 << 20
 
 
 def exact_match(
@@ -89,11 +88,11 @@ def contains_match(
 
     A dictionary of up to ``scan_terms`` is tested in place, term by term. For a longer one,
     texts are cut into overlapping chunks, which list the runs of characters (grams) that begin
-    at each of their places, one to eight wide as terms are long. A term meets the chunks that
+    at each of their places, one to eight wide as terms are long. A filter of bounded size drops
+    those that no term goes by before they become values. A term meets the chunks that
     have its rarest gram. Where the terms can be sent, they are then looked for in the chunk;
-    beyond, a filter of bounded size drops grams that no term goes by, and the rest of them
-    travel with a 64-bit hash of their text. The last test is on the whole text itself, so
-    equal hashes of two texts change nothing.
+    beyond, the grams travel with a 64-bit hash of their text. The last test is on the whole
+    text itself, so equal hashes of two texts change nothing.
     """
     terms = dictionary.select("label", "term").filter(F.length("term") > 0).distinct()
     bounds = terms.agg(
@@ -118,15 +117,13 @@ def contains_match(
     pieces = _chunks(values.select(text.alias("text")), bounds["longest"])
     rare = _by_rarest_gram(terms, pieces)
     small = bounds["rows"] <= broadcast_rows and bounds["octets"] <= BROADCAST_BYTES
-    listed = F.concat(*[F.regexp_extract_all("chunk", F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)) for w in sorted(widths)])
-    grams = pieces.select("digest", "chunk", F.explode(listed).alias("gram")).select("digest", "chunk", F.xxhash64("gram").alias("gram"))
+    wanted = runs.filter_of(rare.select(_own_gram().alias("run")), "run", widths)
+    listed = runs.possible(pieces, "chunk", widths, wanted)
+    grams = listed.select("digest", "chunk", F.explode("grams").alias("gram")).select("digest", "chunk", F.xxhash64("gram").alias("gram"))
     if small:
         found = grams.join(F.broadcast(rare), "gram").filter(F.contains("chunk", F.col("term")))
     else:
-        slot = F.pmod("gram", F.lit(GRAM_SLOTS)).cast("int")
-        slots = rare.select(slot.alias("slot")).distinct()  # GRAM_SLOTS rows at most
-        few = grams.join(F.broadcast(slots), slot == F.col("slot"), "left_semi").select("digest", "gram").distinct()
-        found = few.join(rare.hint("merge"), "gram")
+        found = grams.select("digest", "gram").distinct().join(rare.hint("merge"), "gram")
     hits = found.select("digest", "label", "term").distinct()
     return (
         values.withColumn("digest", F.xxhash64(text))
@@ -144,6 +141,17 @@ def _gram_width(length: Column) -> Column:
     return width
 
 
+def _term_grams() -> Column:
+    """All grams of a term, of the width it goes by."""
+    width = _gram_width(F.length("term"))
+    return F.transform(F.sequence(F.lit(1), F.length("term") - width + 1), lambda at: F.substring("term", at, width))
+
+
+def _own_gram() -> Column:
+    """The text of the gram that a term goes by."""
+    return F.get(F.filter(_term_grams(), lambda g: F.xxhash64(g) == F.col("gram")), F.lit(0))
+
+
 def _chunks(texts: DataFrame, longest: int) -> DataFrame:
     """``digest, chunk``: texts in pieces, so that a row is small however long its text is.
 
@@ -168,14 +176,12 @@ def _by_rarest_gram(terms: DataFrame, chunks: DataFrame) -> DataFrame:
     How many have it is counted in a part of the chunks. This decides how much work there is,
     not what is found: any gram of a term is in every text that holds the term.
     """
-    width = _gram_width(F.length("term"))
-    places = F.sequence(F.lit(1), F.length("term") - width + 1)
-    own = terms.select("label", "term", F.explode(
-        F.array_distinct(F.transform(places, lambda at: F.xxhash64(F.substring("term", at, width))))).alias("gram"))
+    own = terms.select("label", "term", F.explode(F.array_distinct(_term_grams())).alias("run")).withColumn("gram", F.xxhash64("run"))
+    wanted = runs.filter_of(own, "run", _GRAM_WIDTHS)
     some = chunks.where(F.pmod(F.xxhash64("chunk"), F.lit(SAMPLED_CHUNKS)) == 0)
-    listed = F.concat(*[F.regexp_extract_all("chunk", F.lit(f"(?s)(?=(.{{{w}}}))"), F.lit(1)) for w in _GRAM_WIDTHS])
+    listed = runs.possible(some.select("chunk"), "chunk", _GRAM_WIDTHS, wanted)
     common = (
-        some.select(F.explode(F.array_distinct(listed)).alias("gram"))
+        listed.select(F.explode("grams").alias("gram"))
         .groupBy(F.xxhash64("gram").alias("gram")).agg(F.count(F.lit(1)).alias("chunks"))
     )
     rated = own.join(common, "gram", "left").select("label", "term", F.struct(F.coalesce("chunks", F.lit(0)).alias("chunks"), "gram").alias("rated"))

@@ -183,3 +183,19 @@ def test_exact_with_a_common_value(spark, strings):
     finally:
         spark.conf.unset(name)
     assert sizes[-1] < 2.5 * sizes[len(sizes) // 2]
+
+
+def test_only_grams_of_terms_become_values(spark, strings):
+    """What passes holds every wanted gram of every text, and hardly any other."""
+    from columnlens.operators import grams
+
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefgh ñ𝄞") for _ in range(rng.randrange(300))) for _ in range(60)] + ["", None, "a"]
+    wanted = {t[i : i + w] for t in texts[:9] if t for w in (1, 2, 4, 8) for i in [rng.randrange(max(1, len(t) - 8))] if len(t) > 16}
+    bits = grams.filter_of(strings(sorted(wanted), "run"), "run", (1, 2, 4, 8))
+    listed = grams.possible(strings(texts, "chunk"), "chunk", (1, 2, 4, 8), bits).collect()
+    want = {(t, t[i : i + w]) for t in texts if t for w in (1, 2, 4, 8) for i in range(len(t) - w + 1) if t[i : i + w] in wanted}
+    got = [(r["chunk"], g) for r in listed for g in r["grams"]]
+    assert len(got) == len(set(got)) and want <= set(got) and len(got) < len(want) + 20
+    plan = cl.contains_match(strings(["a", "b"]), dictionary(spark, ["a", "bb"]), scan_terms=0)._jdf.queryExecution().toString()
+    assert "regexp_extract_all" not in plan and "MapInArrow" in plan
