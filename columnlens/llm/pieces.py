@@ -37,7 +37,9 @@ SPACE = "▁"
 #: stands for U+2581 of a text; no valid text has a lone surrogate
 LITERAL = "\udfff"
 UNKNOWN = 10.0
-_RUNS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n")
+#: begins the key of a run that no space begins
+BARE = "\x01"
+_RUNS = re.compile(" *[^ \n]+| +|\n")
 _tables: dict = {}
 
 
@@ -181,30 +183,43 @@ def _short(table: Table, run: str) -> list[int]:
 SHORT = 64
 
 
+def _run(key: str) -> str:
+    """The run of a key, its white space marked."""
+    return (key[1:] if key.startswith(BARE) else " " + key).replace(" ", SPACE)
+
+
+def _key(run: str) -> str:
+    """What a run is kept by: most are a word after a space, which is left away."""
+    run = run.replace(SPACE, " ")
+    return run[1:] if run.startswith(" ") and len(run) > 1 and run[1] != BARE else BARE + run
+
+
 class Encoder:
     def __init__(self, path: str, room: int = 1_000_000):
         self.table = table = Table(path)
+        self.octets = np.array(table.bytes_of, object)
         self.words = WordIds(
-            lambda runs: (_short(table, r) if len(r) <= SHORT else list(streamed(table, r)) for r in runs),
-            table.parts, room)
+            lambda keys: (_short(table, r) if len(r) <= SHORT else list(streamed(table, r)) for r in map(_run, keys)),
+            lambda key: [_key(part) for part in table.parts(_run(key))], room)
 
     def _runs(self, text: str | None) -> list[str]:
-        """The text, white space marked, parted where every path has a boundary."""
+        """Keys of the text's runs, parted where every path has a boundary."""
         if not text:
             return []
-        marked = SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE)
+        text = text.replace(SPACE, LITERAL)
         if not self.table.parted:
-            return [marked]
-        if SPACE * 2 in marked or "\0" in marked:
-            return _RUNS.findall(marked)
-        return marked.replace(SPACE, "\0" + SPACE).replace("\n", "\0\n\0").split("\0")
+            return [_key(" " + text)]
+        words = text.replace("\n", f" {BARE}\n {BARE}")
+        if "  " in words or words[0] == " " or words[-1] == " " or BARE in text:
+            return [_key(r) for r in _RUNS.findall(" " + text)]
+        return words.split(" ")
 
     def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each begins (and the end)."""
         return self.words.gather(map(self._runs, texts))
 
-    def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.table.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: list[int] | np.ndarray) -> str:
+        text = b"".join(self.octets[ids].tolist()).decode("utf-8", "replace") if len(ids) else ""
         return text[1:] if text.startswith(" ") else text
 
 
@@ -244,7 +259,11 @@ def decoded(rows: DataFrame, model: str, ids: str = "ids", text: str = "decoded"
         for batch in lots:
             for i in range(0, batch.num_rows, 512):
                 own = batch.slice(i, 512)
-                texts = [None if x is None else encoder.decode(x) for x in own.column(ids).to_pylist()]
+                lists = own.column(ids)
+                flat = np.asarray(lists.flatten())
+                at = np.cumsum([0, *lists.value_lengths().fill_null(0).to_pylist()]).tolist()
+                texts = [encoder.decode(flat[a:b]) if known else None
+                         for a, b, known in zip(at, at[1:], lists.is_valid().to_pylist())]
                 yield pa.RecordBatch.from_arrays(
                     [*own.columns, pa.array(texts, pa.string())], names=[*own.schema.names, text])
 

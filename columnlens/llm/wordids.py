@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from itertools import repeat
 
 import numpy as np
 
@@ -58,10 +59,12 @@ class WordIds:
         for own in texts:
             words += own
             counts.append(len(own))
-        fresh = set(words).difference(self.number)
-        if fresh:
-            self._learn(sorted(fresh))
-        codes = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
+        codes = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(codes < 0)
+        if len(unknown):
+            fresh = [words[i] for i in unknown.tolist()]
+            self._learn(sorted(set(fresh)))
+            codes[unknown] = [self.number[w] for w in fresh]
         sizes = self.size[codes]
         at = np.concatenate([[0], np.cumsum(sizes)])
         place = np.arange(at[-1]) + np.repeat(self.begin[codes] - at[:-1], sizes)

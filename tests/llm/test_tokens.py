@@ -171,3 +171,16 @@ def test_op9(spark):
     got = QUERIES["op9_sentencepiece"](spark, SF)
     assert got.where("not exact").count() == 0 and got.count() > 0
     assert os.path.exists(MODEL)
+
+
+def test_keys_of_runs():
+    """ASCII texts stay ASCII, and every run has a key of its own, also with the sign that marks keys."""
+    encoder = pieces.Encoder(MODEL, room=50)
+    assert all(key.isascii() for key in encoder._runs("two words\nand a line")) and "words" in encoder._runs("two words\nand")
+    runs = [f"{a}{b}" for a in ("", "▁", "▁▁", "▁\x01", "\x01", "\x01▁") for b in ("", "a", "\n", "ab\x01")]
+    assert [pieces._run(pieces._key(r)) for r in runs] == runs and "" not in map(pieces._key, runs)
+    for text in ["\x01", "a\x01 \x01b", " \x01", "\n", "a\n", "\na", "a \nb", "a\n b", " ", "a ", "\x01\n\x01 c", "word " * 9]:
+        marked = pieces.SPACE + text.replace(" ", "▁")
+        ids = encoder.encode([text, text])[0].tolist()
+        assert ids == 2 * list(pieces.streamed(encoder.table, marked))
+        assert encoder.decode(ids[: len(ids) // 2]) == text
