@@ -1,8 +1,8 @@
 """Runs of characters (grams) of texts that are possibly among wanted ones.
 
 Every place of a text is looked at, so this is done on whole batches of code points: the
-number of a gram of 2n characters is made of those of its halves, and a filter of ``SLOTS``
-places says which numbers wanted grams have. It lets a few others pass and drops none.
+number of a gram is made of those of two shorter ones that cover it, and two filters of
+``SLOTS`` places say which numbers wanted grams have. They let a few others pass and drop none.
 """
 
 from __future__ import annotations
@@ -17,48 +17,61 @@ from pyspark.sql.types import StructType
 
 SLOTS = 1 << 20
 _PER_ROW = 1 << 15  # places in a row of ``bitmap_construct_agg``
-_BYTES = 1 << 20  # about so much text is looked at in one go
+_BYTES = 1 << 18  # about so much text is looked at in one go
 _ONE, _TWO = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
-_SHIFT = np.uint64(32)
+_SHIFT, _FIRST, _SECOND = np.uint64(32), np.uint64(44), np.uint64(24)
 
 
 def numbers(text: str, widths: Sequence[int]) -> Iterator[tuple[int, np.ndarray]]:
-    """Per width, a power of two, the numbers of the grams at all places of ``text``."""
+    """Per width, the numbers of the grams at all places of ``text``."""
     own = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.uint64)
-    width = 1
-    while len(own):
-        if width in widths:
-            mixed = (own ^ np.uint64(width)) * _ONE
-            mixed ^= mixed >> _SHIFT
-            yield width, mixed * _TWO
-        if width >= max(widths):
+    half, wanted = 1, set(widths)
+
+    def mixed(width: int, found: np.ndarray) -> tuple[int, np.ndarray]:
+        out = (found ^ np.uint64(width)) * _ONE
+        out ^= out >> _SHIFT
+        return width, out * _TWO
+
+    if 1 in wanted and len(own):
+        yield mixed(1, own)
+    while half < max(wanted, default=0):
+        left = own * _TWO
+        left = (left ^ left >> _SHIFT) * _ONE
+        for width in range(half + 1, 2 * half + 1):
+            step = width - half
+            if len(own) > step and (width in wanted or width == 2 * half):
+                found = left[:-step] + own[step:]
+                if width in wanted:
+                    yield mixed(width, found)
+        if len(own) <= half:
             return
-        own = own * _TWO
-        own = (own[:-width] ^ own[:-width] >> _SHIFT) * _ONE + own[width:]
-        width *= 2
+        own, half = found, 2 * half
 
 
-def _slots(found: np.ndarray) -> np.ndarray:
-    return (found >> np.uint64(44)).astype(np.int64)
+def _slots(found: np.ndarray, shift: np.uint64 = _FIRST) -> np.ndarray:
+    return (found >> shift & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
 def filter_of(grams: DataFrame, gram: str, widths: Sequence[int]) -> bytes:
-    """``SLOTS`` bits, set where a gram of ``grams`` has its place. Grams have one of ``widths``."""
+    """Two times ``SLOTS`` bits, set where a gram of ``grams`` has its places. Grams have one of
+    ``widths``."""
 
     def places(lots):
         for batch in lots:
-            own = [int(_slots(list(numbers(g, [len(g)]))[0][1])[0]) for g in batch.column(0).to_pylist() if g]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64())], names=["slot"])
+            own = [n for g in batch.column(0).to_pylist() if g for _, n in numbers(g, [len(g)])]
+            found = np.concatenate(own) if own else np.zeros(0, np.uint64)
+            both = np.concatenate([_slots(found), _slots(found, _SECOND) + SLOTS])
+            yield pa.RecordBatch.from_arrays([pa.array(both)], names=["slot"])
 
     slot = F.col("slot")
     rows = (
         grams.select(gram).mapInArrow(places, "slot bigint")
         .groupBy((slot / _PER_ROW).cast("int").alias("row"))
         .agg(F.bitmap_construct_agg(slot % _PER_ROW).alias("bits"))
-        .collect()  # SLOTS bits at most
+        .collect()  # 2 * SLOTS bits at most
     )
     size = _PER_ROW // 8
-    whole = bytearray(SLOTS // 8)
+    whole = bytearray(2 * SLOTS // 8)
     for r in rows:
         whole[r["row"] * size : (r["row"] + 1) * size] = r["bits"]
     return bytes(whole)
@@ -91,6 +104,7 @@ def _found(texts: list, widths: Sequence[int], passing: np.ndarray) -> tuple[np.
     parts = []
     for width, own in numbers(whole, widths):
         at = np.flatnonzero(passing[_slots(own)])
+        at = at[passing[_slots(own[at], _SECOND) + SLOTS]]
         row = np.searchsorted(ends, at, "right")
         inside = at + width <= ends[row]
         at, row = at[inside], row[inside]

@@ -26,13 +26,15 @@ FUZZY_SCAN_TERMS = 2_000
 # Up to this many terms each is looked for in every text.
 CONTAINS_SCAN_TERMS = 1_000
 CONTAINS_SCAN_BYTES = 64 * 1024
-# Characters of a text in a row while terms are looked for, and such chunks in a first cut.
+# Characters of a text in a row while terms are looked for, and such chunks in a wider cut.
 CHUNK = 256
-CHUNKS_PER_BLOCK = 512
-# One in so many chunks is looked at to see which grams are rare.
+CHUNKS_PER_BLOCK = 32
+# One in so many blocks is looked at to see which grams are rare.
 SAMPLED_CHUNKS = 64
-# Widths of the grams by which a term is found: the widest that it has.
+# Widths of the grams by which a longer term is found: the widest that it has.
 _GRAM_WIDTHS = (1, 2, 4, 8)
+# Up to this many characters a term is a gram itself.
+WHOLE_GRAM = 16
 # A value in one of so many rows is common enough to be looked up apart.
 HOT_SHARE = 200
 # Places of the filter that drops values of no term, where the terms are too many to be sent.
@@ -88,11 +90,11 @@ def contains_match(
 
     A dictionary of up to ``scan_terms`` is tested in place, term by term. For a longer one,
     texts are cut into overlapping chunks, which list the runs of characters (grams) that begin
-    at each of their places, one to eight wide as terms are long. A filter of bounded size drops
-    those that no term goes by before they become values. A term meets the chunks that
-    have its rarest gram. Where the terms can be sent, they are then looked for in the chunk;
-    beyond, the grams travel with a 64-bit hash of their text. The last test is on the whole
-    text itself, so equal hashes of two texts change nothing.
+    at each of their places. A term of up to ``WHOLE_GRAM`` characters is a gram itself; a longer
+    one goes by its rarest gram of eight. A filter of bounded size drops the grams that no term
+    goes by before they become values. Where the terms can be sent, they are then looked for in
+    the chunk; beyond, the grams travel with a 64-bit hash of their text. The last test is on the
+    whole text itself, so equal hashes of two texts change nothing.
     """
     terms = dictionary.select("label", "term").filter(F.length("term") > 0).distinct()
     bounds = terms.agg(
@@ -112,19 +114,26 @@ def contains_match(
             *values.columns, "hit.label", "hit.term"
         )
 
-    width = _gram_width(F.length("term"))
-    widths = [r["width"] for r in terms.select(width.alias("width")).distinct().collect()]  # four at most
-    pieces = _chunks(values.select(text.alias("text")), bounds["longest"])
-    rare = _by_rarest_gram(terms, pieces)
+    whole = F.length("term") <= WHOLE_GRAM
+    width = F.when(whole, F.length("term")).otherwise(_gram_width(F.length("term")))
+    widths = [r["width"] for r in terms.select(width.alias("width")).distinct().collect()]  # WHOLE_GRAM at most
     small = bounds["rows"] <= broadcast_rows and bounds["octets"] <= BROADCAST_BYTES
-    wanted = runs.filter_of(rare.select(_own_gram().alias("run")), "run", widths)
+    texts, block = values.select(text.alias("text")), CHUNK * CHUNKS_PER_BLOCK
+    rare = terms.filter(whole).select(F.xxhash64("term").alias("gram"), "label", "term")
+    if (bounds["longest"] or 0) > WHOLE_GRAM:
+        some = _chunks(texts, block, WHOLE_GRAM, SAMPLED_CHUNKS)
+        rare = rare.unionByName(_by_rarest_gram(terms.filter(~whole), some))
+    run = F.when(whole, F.col("term")).otherwise(_own_gram())
+    wanted = runs.filter_of(rare.select(run.alias("run")), "run", widths)
+    # terms are only looked for in a chunk if they are sent; else it need not hold a whole one
+    pieces = _chunks(texts, max(CHUNK, bounds["longest"] or 0), bounds["longest"] or 0) if small else _chunks(texts, block, WHOLE_GRAM)
     listed = runs.possible(pieces, "chunk", widths, wanted)
     grams = listed.select("digest", "chunk", F.explode("grams").alias("gram")).select("digest", "chunk", F.xxhash64("gram").alias("gram"))
     if small:
         found = grams.join(F.broadcast(rare), "gram").filter(F.contains("chunk", F.col("term")))
-    else:
-        found = grams.select("digest", "gram").distinct().join(rare.hint("merge"), "gram")
-    hits = found.select("digest", "label", "term").distinct()
+        hits = found.select("digest", "label", "term").distinct()
+    else:  # a term has one gram, so these are distinct
+        hits = grams.select("digest", "gram").distinct().join(rare.hint("merge"), "gram").select("digest", "label", "term")
     return (
         values.withColumn("digest", F.xxhash64(text))
         .join(hits, "digest")
@@ -134,7 +143,7 @@ def contains_match(
 
 
 def _gram_width(length: Column) -> Column:
-    """Width of the grams by which a term of some length is found."""
+    """Width of the grams by which a longer term is found."""
     width = F.lit(_GRAM_WIDTHS[0])
     for w in _GRAM_WIDTHS[1:]:
         width = F.when(length >= w, w).otherwise(width)
@@ -152,34 +161,37 @@ def _own_gram() -> Column:
     return F.get(F.filter(_term_grams(), lambda g: F.xxhash64(g) == F.col("gram")), F.lit(0))
 
 
-def _chunks(texts: DataFrame, longest: int) -> DataFrame:
+def _chunks(texts: DataFrame, size: int, longest: int, one_in: int = 1) -> DataFrame:
     """``digest, chunk``: texts in pieces, so that a row is small however long its text is.
 
     Pieces overlap by one character less than ``longest``, so whatever is no longer lies whole
-    in one of them. Long texts are cut twice, as finding a place takes time by its distance.
+    in one of them. Long texts are cut in steps, as finding a place takes time by its distance.
+    Of ``one_in`` pieces one is taken, by a hash of its text's and its place in the last cut.
     """
 
-    def cut(name: str, size: int) -> Column:
+    def cut(name: str, size: int, one_in: int = 1) -> Column:
         whole = F.col(name)
         starts = F.sequence(F.lit(1), F.greatest(F.length(whole), F.lit(1)), F.lit(size))
+        if one_in > 1:
+            starts = F.filter(starts, lambda at: F.pmod(F.xxhash64("digest", F.length(whole), at), F.lit(one_in)) == 0)
         parts = F.transform(starts, lambda at: F.substring(whole, at, F.lit(size + longest - 1)))
-        return F.explode(F.when(F.length(whole) <= size, F.array(whole)).otherwise(parts))
+        return F.explode(parts if one_in > 1 else F.when(F.length(whole) <= size, F.array(whole)).otherwise(parts))
 
-    chunk = max(CHUNK, longest)
-    blocks = texts.select(F.xxhash64("text").alias("digest"), cut("text", CHUNKS_PER_BLOCK * chunk).alias("block"))
-    return blocks.select("digest", cut("block", chunk).alias("chunk"))
+    pieces = texts.select(F.xxhash64("text").alias("digest"), F.col("text").alias("chunk"))
+    for times in (CHUNKS_PER_BLOCK**2, CHUNKS_PER_BLOCK):
+        pieces = pieces.select("digest", cut("chunk", times * size).alias("chunk"))
+    return pieces.select("digest", cut("chunk", size, one_in).alias("chunk"))
 
 
 def _by_rarest_gram(terms: DataFrame, chunks: DataFrame) -> DataFrame:
     """``gram, label, term``: each term under the hash of the gram of it that fewest chunks have.
 
-    How many have it is counted in a part of the chunks. This decides how much work there is,
+    How many have it is counted in a sample of the chunks. This decides how much work there is,
     not what is found: any gram of a term is in every text that holds the term.
     """
     own = terms.select("label", "term", F.explode(F.array_distinct(_term_grams())).alias("run")).withColumn("gram", F.xxhash64("run"))
     wanted = runs.filter_of(own, "run", _GRAM_WIDTHS)
-    some = chunks.where(F.pmod(F.xxhash64("chunk"), F.lit(SAMPLED_CHUNKS)) == 0)
-    listed = runs.possible(some.select("chunk"), "chunk", _GRAM_WIDTHS, wanted)
+    listed = runs.possible(chunks.select("chunk"), "chunk", _GRAM_WIDTHS, wanted)
     common = (
         listed.select(F.explode("grams").alias("gram"))
         .groupBy(F.xxhash64("gram").alias("gram")).agg(F.count(F.lit(1)).alias("chunks"))

@@ -1,6 +1,7 @@
 """Each lookup against comparing everything with everything."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,3 +200,39 @@ def test_only_grams_of_terms_become_values(spark, strings):
     assert len(got) == len(set(got)) and want <= set(got) and len(got) < len(want) + 20
     plan = cl.contains_match(strings(["a", "b"]), dictionary(spark, ["a", "bb"]), scan_terms=0)._jdf.queryExecution().toString()
     assert "regexp_extract_all" not in plan and "MapInArrow" in plan
+
+
+def test_terms_are_grams_themselves(spark, strings):
+    """Numbers and filter of grams of any width; a common part of a term brings no other text to it."""
+    from columnlens.operators import grams
+
+    rng = random.Random(6)
+    text = "".join(rng.choice("ab ñ𝄞") for _ in range(400))
+    for widths in (range(1, 17), (3, 7, 16), (5,)):
+        for width, found in grams.numbers(text, widths):
+            places = {}
+            for i, n in enumerate(found.tolist()):
+                places.setdefault(text[i : i + width], set()).add(n)
+            assert len(found) == len(text) - width + 1 and width in widths
+            assert all(len(own) == 1 for own in places.values()) and len(set.union(*places.values())) == len(places)
+    assert [w for w, _ in grams.numbers("abc", (2, 3, 4, 9))] == [2, 3]
+    # eight characters of every term are in every text, the terms in none
+    texts = ["the house of this and that, in the end, is " + str(i) for i in range(40)]
+    terms = ["house of thin", "this and those", "in the en,"]
+    width = [len(t) for t in terms]
+    bits = grams.filter_of(strings(terms, "run"), "run", width)
+    assert grams.possible(strings(texts, "chunk"), "chunk", width, bits).count() == 0
+    found = cl.contains_match(strings(texts), dictionary(spark, terms), scan_terms=0, broadcast_rows=0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert found.count() == 0 and dealt and not any("digest#" in d and "label#" in d for d in dealt)
+
+
+def test_filter_lets_few_others_pass(spark, strings):
+    from columnlens.operators import grams
+
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(8))
+    bits = grams.filter_of(strings([word() for _ in range(20_000)], "run"), "run", (8,))
+    listed = grams.possible(strings([word() * 2 for _ in range(2_000)], "chunk"), "chunk", (8,), bits)
+    assert sum(len(r["grams"]) for r in listed.collect()) < 60  # of 16,000; one in 50 by a single filter
