@@ -52,6 +52,8 @@ def bits_for(vocabulary: int) -> int:
 
 def pack(ids: np.ndarray, bits: int) -> bytes:
     wide = np.ascontiguousarray(ids, ">u4").view(np.uint8).reshape(-1, 4)
+    if bits % 8 == 0:  # whole bytes
+        return wide[:, 4 - bits // 8 :].tobytes()
     return np.packbits(np.unpackbits(wide, axis=1)[:, 32 - bits :]).tobytes()
 
 
@@ -60,6 +62,10 @@ def unpack(data: bytes, bits: int, first: int, count: int) -> np.ndarray:
     if not count:
         return np.zeros(0, np.uint32)
     a, b = first * bits, (first + count) * bits
+    if bits % 8 == 0:
+        wide = np.zeros((count, 4), np.uint8)
+        wide[:, 4 - bits // 8 :] = np.frombuffer(data, np.uint8, count * bits // 8, a // 8).reshape(count, bits // 8)
+        return wide.view(">u4").ravel().astype(np.uint32)
     raw = np.frombuffer(data, np.uint8, -(-b // 8) - a // 8, a // 8)
     flags = np.unpackbits(raw)[a % 8 : a % 8 + count * bits].reshape(count, bits)
     wide = np.zeros((count, 32), np.uint8)
@@ -147,18 +153,29 @@ class _Committed(WriterCommitMessage):
 
 
 class PackedWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, bits: int):
-        self.path, self.bits = path, bits
+    """Writes ``doc_id, ids``; with a ``tokenizer``, ``doc_id, text`` as the ids of the texts."""
+
+    def __init__(self, path: str, bits: int, tokenizer: str | None = None, end: int | None = None):
+        self.path, self.bits, self.tokenizer, self.end = path, bits, tokenizer, end
         files.make_folder(path)
 
+    def _lists(self, batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+        """Per lot: document ids, the ids of all one after another, where each begins."""
+        if self.tokenizer:
+            for own, ids, at in _encoded_lots(batches, self.tokenizer, self.end):
+                yield own.column("doc_id").to_pylist(), ids, at
+            return
+        for batch in batches:
+            lists = batch.column("ids")
+            at = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0))])
+            yield batch.column("doc_id").to_pylist(), np.asarray(lists.flatten()), at
+
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
         fs, folder = files.opened(self.path)
         writer, name, first = None, f"part-{uuid.uuid4().hex}.ids", None
-        for batch in iterator:
-            if not batch.num_rows:
+        for docs, flat, at in self._lists(iterator):
+            if not docs:
                 continue
-            docs, lists = batch.column("doc_id").to_pylist(), batch.column("ids")
-            flat, at = np.asarray(lists.flatten()), np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0))])
             if writer is None:
                 first = docs[0]
                 writer = FileWriter(fs.open_output_stream(f"{folder}/{name}", compression=None), self.bits)
@@ -229,7 +246,9 @@ class PackedSource(DataSource):
         return PackedReader(self.options["path"], self.options.get("ids", "true").lower() == "true")
 
     def writer(self, schema, overwrite: bool):
-        return PackedWriter(self.options["path"], int(self.options["bits"]))
+        end = self.options.get("end")
+        return PackedWriter(self.options["path"], int(self.options["bits"]), self.options.get("tokenizer"),
+                            None if end is None else int(end))
 
 
 def find(path: str, doc_id: int) -> np.ndarray | None:
@@ -252,22 +271,26 @@ def find(path: str, doc_id: int) -> np.ndarray | None:
 #: byte-level vocabularies write printable Latin-1 bytes as they are and the others, in
 #: order, as the code points from U+0100
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-_BYTE_CHARS = {b: chr(b) for b in _PLAIN} | {
-    b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
+_BYTE_CHARS = {b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 _PUNCTUATION = re.compile(r"(?<=[^\W\d_])[.,!?]+\Z")
 _encoders: dict = {}
 
 
+#: words kept per Python worker: about 150 bytes each, in as many workers as an executor has cores
+ROOM = 800_000
+
+
 class Encoder:
     """Ids of texts with a tokenizer that drops white space and never joins words over it.
 
-    Words are encoded once and kept, up to ``room`` of them. Texts are parted only where
+    Words are encoded once and kept, up to ``room`` of them, of which the frequent ones stay
+    when it is full. Texts are parted only where
     the tokenizer parts them as well: at spaces and line feeds, and before a run of ``.,!?``
     that follows a letter and ends the word. ASCII words are put into lower case first if
     the tokenizer does so anyway (``lower``) and no special token can be in them.
     """
 
-    def __init__(self, path: str, lower: bool = True, room: int = 1_500_000):
+    def __init__(self, path: str, lower: bool = True, room: int = ROOM):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -283,17 +306,22 @@ class Encoder:
     def _alone(self, word: str) -> list[int] | None:
         """Ids from the merges alone, for words that all steps before leave as they are:
         Latin letters in lower case, composed. None for others."""
-        if not (self.direct and word.isalpha() and max(word) < "\u0250" and word == word.lower()
-                and unicodedata.is_normalized("NFC", word)):
+        if not (self.direct and word.isalpha()):
             return None
         if not word.isascii():
-            word = "".join(_BYTE_CHARS[b] for b in word.encode())
+            if not (max(word) < "\u0250" and word == word.lower() and unicodedata.is_normalized("NFC", word)):
+                return None
+            word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
+        elif not word.islower():
+            return None
         return [t.id for t in self.tokenizer.model.tokenize(word)]
 
     def _encode(self, words: list[str]) -> list[list[int]]:
         """Most words need no normalizer and no pattern, which take most of the time."""
         found = [self._alone(w) for w in words]
         rest = [i for i, ids in enumerate(found) if ids is None]
+        if not rest:
+            return found
         for i, ids in zip(rest, self._whole([words[i] for i in rest])):
             found[i] = ids
         return found
@@ -301,7 +329,7 @@ class Encoder:
     def _parts(self, word: str) -> list[str]:
         if self.lower and word.isascii() and "<|" not in word:
             word = word.lower()
-        end = _PUNCTUATION.search(word)
+        end = _PUNCTUATION.search(word) if word[-1] in ".,!?" else None
         return [word[: end.start()], end.group()] if end else [word]
 
     def encode(self, texts: list, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -320,18 +348,23 @@ def _encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def _encoded_lots(batches: Iterator[pa.RecordBatch], tokenizer: str, end: int | None):
+    """Lots of the rows, each with its ids one after another and where those of each row begin."""
+    encoder = _encoder(tokenizer)
+    for batch in batches:
+        for i in range(0, batch.num_rows, 512):
+            own = batch.slice(i, 512)
+            yield own, *encoder.encode(own.column("text").to_pylist(), end)
+
+
 def encoded(documents: DataFrame, tokenizer: str, end: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids`` of whole texts, in the order of the rows."""
 
     def run(lots):
-        encoder = _encoder(tokenizer)
-        for batch in lots:
-            for i in range(0, batch.num_rows, 512):
-                own = batch.slice(i, 512)
-                ids, at = encoder.encode(own.column("text").to_pylist(), end)
-                yield pa.RecordBatch.from_arrays(
-                    [own.column("doc_id"), pa.ListArray.from_arrays(at.astype(np.int32), ids.view(np.int32))],
-                    names=["doc_id", "ids"])
+        for own, ids, at in _encoded_lots(lots, tokenizer, end):
+            yield pa.RecordBatch.from_arrays(
+                [own.column("doc_id"), pa.ListArray.from_arrays(at.astype(np.int32), ids.view(np.int32))],
+                names=["doc_id", "ids"])
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return text_batches(rows).mapInArrow(run, "doc_id bigint, ids array<int>")
@@ -340,7 +373,8 @@ def encoded(documents: DataFrame, tokenizer: str, end: int, doc_id: str = "doc_i
 def write_ids(documents: DataFrame, tokenizer: str, vocabulary: int, end: int, path: str | None = None,
               doc_id: str = "doc_id", text: str = "text") -> str:
     """Encode whole texts, append ``end`` to each, write them in ascending order of their
-    ids. Returns the folder. One shuffle of the texts; their ids are made after it."""
+    ids. Returns the folder. One shuffle of the texts; their ids are made after it, by the
+    process that writes them, so that no second one keeps words too."""
     spark = documents.sparkSession
     spark.dataSource.register(PackedSource)
     path = path or new_folder(spark, "ids")
@@ -351,8 +385,8 @@ def write_ids(documents: DataFrame, tokenizer: str, vocabulary: int, end: int, p
         rows.withColumn("_range", range_of("doc_id", bounds)).repartitionById(n, F.col("_range"))
         .drop("_range").sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
     )
-    encoded(dealt, tokenizer, end).write.format("packed_ids").option("path", path).option(
-        "bits", str(bits_for(vocabulary))).mode("append").save()
+    text_batches(dealt).write.format("packed_ids").options(
+        path=path, bits=bits_for(vocabulary), tokenizer=tokenizer, end=end).mode("append").save()
     return path
 
 

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from itertools import repeat
+from collections.abc import Callable, Iterable, Sequence
+from itertools import chain, islice, repeat
 
 import numpy as np
 
 
 class WordIds:
-    """Keeps the ids of up to about ``room`` words; beyond that it starts anew.
+    """Keeps the ids of up to about ``room`` words; beyond that, of those met most often.
 
     ``split`` parts a word into one or more that are encoded apart; ``encode`` gives the ids
     of each of a list of such parts. The empty word has none.
@@ -18,38 +18,53 @@ class WordIds:
     def __init__(self, encode: Callable[[list[str]], Iterable[list[int]]],
                  split: Callable[[str], list[str]], room: int = 1_000_000):
         self.encode, self.split, self.room = encode, split, room
-        self._forget()
-
-    def _forget(self) -> None:
         self.number = {"": 0}
+        # ids of all words one after another, where those of each begin, and how often it was met
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.begin, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.begin, self.met = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+
+    def _forget(self) -> None:
+        """Keeps up to half of the room: the words met more than once, the most frequent first."""
+        met = self.met[: len(self.number)]
+        kept = np.flatnonzero(met > 1)
+        kept = kept[np.argsort(-met[kept], kind="stable")[: self.room // 2]]
+        kept = np.unique(np.append(kept, 0))  # the empty word is the first
+        names, met = list(self.number), met[kept] // 2
+        ids, at = self._gathered(kept)
+        self.number = {names[k]: i for i, k in enumerate(kept.tolist())}
+        self.flat, self.used = ids, len(ids)
+        self.begin, self.met = at, np.append(met, 0)
 
-    def _keep(self, word: str, ids) -> None:
-        k = len(self.number)
-        if k >= len(self.begin):
-            self.begin, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.size))
+    def _keep(self, words: Sequence[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        k, n = len(self.number), len(words)
+        while k + n >= len(self.begin):
+            self.begin, self.met = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begin, self.met))
         while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+            self.flat = np.concatenate([self.flat, np.zeros(max(len(self.flat), 1 << 16), np.uint32)])
         self.flat[self.used : self.used + len(ids)] = ids
-        self.begin[k], self.size[k] = self.used, len(ids)
+        self.begin[k : k + n + 1] = self.used
+        self.begin[k + 1 : k + n + 1] += np.cumsum(sizes)
         self.used += len(ids)
-        self.number[word] = k
-
-    def _ids(self, word: str) -> np.ndarray:
-        k = self.number[word]
-        return self.flat[self.begin[k] : self.begin[k] + self.size[k]]
+        self.number.update(zip(words, range(k, k + n)))
 
     def _learn(self, words: list[str]) -> None:
-        parted = {w: self.split(w) for w in words}
-        fresh = sorted({x for own in parted.values() for x in own}.difference(self.number))
-        for i in range(0, len(fresh), 20_000):
-            lot = fresh[i : i + 20_000]
-            for part, ids in zip(lot, self.encode(lot)):
-                self._keep(part, ids)
-        for word, own in parted.items():
-            if word not in self.number:
-                self._keep(word, np.concatenate([self._ids(x) for x in own]))
+        parted = list(map(self.split, words))
+        fresh = iter({x for x in chain.from_iterable(parted) if x not in self.number})
+        while lot := list(islice(fresh, 20_000)):
+            lists = list(self.encode(lot))
+            sizes = np.fromiter(map(len, lists), np.int64, len(lists))
+            self._keep(lot, np.fromiter(chain.from_iterable(lists), np.uint32, int(sizes.sum())), sizes)
+        rest = [(w, own) for w, own in zip(words, parted) if w not in self.number]
+        ids, at = self._gathered(np.array([self.number[x] for _, own in rest for x in own], np.int64))
+        ends = at[np.cumsum([0, *[len(own) for _, own in rest]])]
+        self._keep([w for w, _ in rest], ids, np.diff(ends))
+
+    def _gathered(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words by their numbers, and where each word begins (and the end)."""
+        begin = self.begin[codes]
+        sizes = self.begin[codes + 1] - begin
+        at = np.concatenate([[0], np.cumsum(sizes)])
+        return self.flat[np.arange(at[-1]) + np.repeat(begin - at[:-1], sizes)], at
 
     def gather(self, texts: Iterable[list[str]]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each given as its words, and where each text begins (and the end)."""
@@ -63,9 +78,8 @@ class WordIds:
         unknown = np.flatnonzero(codes < 0)
         if len(unknown):
             fresh = [words[i] for i in unknown.tolist()]
-            self._learn(sorted(set(fresh)))
+            self._learn(list(dict.fromkeys(fresh)))
             codes[unknown] = [self.number[w] for w in fresh]
-        sizes = self.size[codes]
-        at = np.concatenate([[0], np.cumsum(sizes)])
-        place = np.arange(at[-1]) + np.repeat(self.begin[codes] - at[:-1], sizes)
-        return self.flat[place], at[np.cumsum(counts)]
+        self.met[: len(self.number)] += np.bincount(codes, minlength=len(self.number))
+        ids, at = self._gathered(codes)
+        return ids, at[np.cumsum(counts)]

@@ -9,7 +9,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from columnlens.llm import pieces, tokenids
+from columnlens.llm import pieces, tokenids, wordids
 from columnlens.llm.queries import QUERIES, tokenizer_path
 
 from .common import SF
@@ -184,3 +184,35 @@ def test_keys_of_runs():
         ids = encoder.encode([text, text])[0].tolist()
         assert ids == 2 * list(pieces.streamed(encoder.table, marked))
         assert encoder.decode(ids[: len(ids) // 2]) == text
+
+
+def test_frequent_words_stay_within_the_room(tokenizer):
+    """What is kept is bounded, and words met again are not encoded again when it is full."""
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        return [[len(w), *w.encode()] for w in words]
+
+    words = wordids.WordIds(encode, lambda w: [w.lower(), "!"] if w.isupper() else [w], room=60)
+    for i in range(200):
+        lot = [["often", "", "ABC"], [f"rare{i}x{k}" for k in range(5)], ["often"] * 2, []]
+        ids, at = words.gather(lot)
+        parts = [[x for w in own if w for x in ([w.lower(), "!"] if w.isupper() else [w])] for own in lot]
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [[n for x in own for n in (len(x), *x.encode())] for own in parts]
+        assert len(words.number) <= 60 + 10 and len(words.met) < 1 << 17
+    assert asked.count("often") == 1 and asked.count("rare7x1") == 1
+    assert tokenids.Encoder(WORDS).words.room < 1_000_000
+
+
+def test_ids_are_made_where_they_are_written(spark, tokenizer, monkeypatch):
+    """One Python process per task of the write; ids that come as lists are written all the same."""
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(ODD)], "doc_id long, text string")
+    monkeypatch.setattr(tokenids, "encoded", None)
+    path = tokenids.write_ids(df, WORDS, 49_408, 1)
+    monkeypatch.undo()
+    got = tokenids.read_ids(spark, path).select("doc_id", "ids")
+    assert sorted(map(tuple, got.collect())) == [(i, ids_of(tokenizer, t)) for i, t in enumerate(ODD)]
+    again = f"{path}-lists"
+    tokenids.encoded(df, WORDS, 1).write.format("packed_ids").options(path=again, bits=16).mode("append").save()
+    assert sorted(map(tuple, tokenids.read_ids(spark, again).select("doc_id", "ids").collect())) == sorted(map(tuple, got.collect()))
