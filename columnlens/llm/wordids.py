@@ -31,6 +31,7 @@ class WordIds:
         kept = np.unique(np.append(kept, 0))  # the empty word is the first
         names, met = list(self.number), met[kept] // 2
         ids, at = self._gathered(kept)
+        self.number = {}  # not two of them at once
         self.number = {names[k]: i for i, k in enumerate(kept.tolist())}
         self.flat, self.used = ids, len(ids)
         self.begin, self.met = at, np.append(met, 0)
