@@ -22,14 +22,14 @@ ids: by text. Repeated rows are all written. No rows: no files.
 
 from __future__ import annotations
 
-import re
-import unicodedata
+import string
 import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
@@ -37,8 +37,8 @@ from pyspark.sql.datasource import (
 )
 
 from . import files
-from .storage import new_folder, parts, range_bounds, range_of, text_batches
-from .wordids import WordIds
+from .storage import BATCH_ROWS, new_folder, parts, range_bounds, range_of, text_batches
+from .wordids import WordIds, lots
 
 MAGIC = b"PKID0001"
 BLOCK_IDS = 1 << 17
@@ -272,7 +272,14 @@ def find(path: str, doc_id: int) -> np.ndarray | None:
 #: order, as the code points from U+0100
 _PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _BYTE_CHARS = {b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
-_PUNCTUATION = re.compile(r"(?<=[^\W\d_])[.,!?]+\Z")
+#: signs that part from a letter before them; special tokens have the others
+_PUNCTUATION = "".join(sorted(set(string.punctuation) - set("<|>")))
+#: letters that composing or lower case turns into a letter and a mark, which goes on into the punctuation
+_MARKED = ("[\u0130\u0958-\u095f\u09dc\u09dd\u09df\u0a33\u0a36\u0a59-\u0a5b\u0a5e\u0b5c\u0b5d\u0f43\u0f4d\u0f52\u0f57"
+           "\u0f5c\u0f69\ufb1d-\ufb4e]")
+#: Latin characters: all of them are composed; but for one, each has a single lower-case character
+_LATIN = r"\A[\x00-\x{12F}\x{131}-\x{24F}]+\z"
+_LOWER = r"\A[%s]+\z" % "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c.lower() == c)
 _encoders: dict = {}
 
 
@@ -285,9 +292,9 @@ class Encoder:
 
     Words are encoded once and kept, up to ``room`` of them, of which the frequent ones stay
     when it is full. Texts are parted only where
-    the tokenizer parts them as well: at spaces and line feeds, and before a run of ``.,!?``
-    that follows a letter and ends the word. ASCII words are put into lower case first if
-    the tokenizer does so anyway (``lower``) and no special token can be in them.
+    the tokenizer parts them as well: at spaces and line feeds, and before a run of punctuation
+    that follows a letter and ends the word. ASCII and Latin words are put into lower case first
+    if the tokenizer does so anyway (``lower``) and no special token can be in them.
     """
 
     def __init__(self, path: str, lower: bool = True, room: int = ROOM):
@@ -295,46 +302,51 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.lower = lower
-        self.direct = True
         probe = ["the", "étage", "straße", "zyxwvutsrq", "ñandúes", "a"]
         self.direct = [self._alone(w) for w in probe] == self._whole(probe)
-        self.words = WordIds(self._encode, self._parts, room)
+        self.words = WordIds(self._encode, room=room)
 
     def _whole(self, words: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
-    def _alone(self, word: str) -> list[int] | None:
+    def _alone(self, word: str) -> list[int]:
         """Ids from the merges alone, for words that all steps before leave as they are:
-        Latin letters in lower case, composed. None for others."""
-        if not (self.direct and word.isalpha()):
-            return None
+        Latin letters in lower case, composed."""
         if not word.isascii():
-            if not (max(word) < "\u0250" and word == word.lower() and unicodedata.is_normalized("NFC", word)):
-                return None
             word = word.encode().decode("latin-1").translate(_BYTE_CHARS)
-        elif not word.islower():
-            return None
         return [t.id for t in self.tokenizer.model.tokenize(word)]
 
     def _encode(self, words: list[str]) -> list[list[int]]:
         """Most words need no normalizer and no pattern, which take most of the time."""
-        found = [self._alone(w) for w in words]
-        rest = [i for i, ids in enumerate(found) if ids is None]
-        if not rest:
-            return found
-        for i, ids in zip(rest, self._whole([words[i] for i in rest])):
-            found[i] = ids
-        return found
-
-    def _parts(self, word: str) -> list[str]:
-        if self.lower and word.isascii() and "<|" not in word:
-            word = word.lower()
-        end = _PUNCTUATION.search(word) if word[-1] in ".,!?" else None
-        return [word[: end.start()], end.group()] if end else [word]
-
-    def encode(self, texts: list, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        if not self.direct:
+            return self._whole(words)
+        plain = pc.match_substring_regex(pa.array(words, pa.string()), _LOWER).to_pylist()
+        rest = iter(self._whole([w for w, own in zip(words, plain) if not own]))
+        return [self._alone(w) if own else next(rest) for w, own in zip(words, plain)]
+
+    def _halves(self, words: pa.Array) -> pa.Array:
+        """Each word, and the punctuation that ends it or an empty text."""
+        if self.lower:
+            latin = pc.and_not(pc.match_substring_regex(words, _LATIN), pc.match_substring(words, "<|"))
+            words = pc.if_else(latin, pc.utf8_lower(words), words)
+        own = pc.utf8_rtrim(words, _PUNCTUATION)
+        last = pc.utf8_slice_codeunits(own, -1)
+        letter = pc.and_not(pc.utf8_is_alpha(last), pc.match_substring_regex(last, _MARKED))
+        own = pc.if_else(letter, own, words)
+        # both lie side by side in the bytes of the words
+        _, begin, data = words.buffers()
+        begin = np.frombuffer(begin, np.int64, len(words) + 1, 8 * words.offset)
+        cuts = np.empty(2 * len(words) + 1, np.int64)
+        cuts[::2] = begin
+        cuts[1::2] = begin[:-1] + pc.binary_length(own).to_numpy()
+        return pa.LargeStringArray.from_buffers(2 * len(words), pa.py_buffer(cuts), data)
+
+    def encode(self, texts: list | pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each begins (and the end)."""
-        ids, bounds = self.words.gather((t or "").replace("\n", " ").split(" ") for t in texts)
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = texts.cast(pa.large_string()).fill_null("")
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        ids, bounds = self.words.gather_lists(words, self._halves)
         if end is not None:
             ids = np.insert(ids, bounds[1:], end)
             bounds = bounds + np.arange(len(bounds))
@@ -351,20 +363,20 @@ def _encoder(path: str) -> Encoder:
 def _encoded_lots(batches: Iterator[pa.RecordBatch], tokenizer: str, end: int | None):
     """Lots of the rows, each with its ids one after another and where those of each row begin."""
     encoder = _encoder(tokenizer)
-    for batch in batches:
-        for i in range(0, batch.num_rows, 512):
-            own = batch.slice(i, 512)
-            yield own, *encoder.encode(own.column("text").to_pylist(), end)
+    for own in lots(batches, "text"):
+        yield own, *encoder.encode(own.column("text"), end)
 
 
 def encoded(documents: DataFrame, tokenizer: str, end: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, ids`` of whole texts, in the order of the rows."""
 
-    def run(lots):
-        for own, ids, at in _encoded_lots(lots, tokenizer, end):
-            yield pa.RecordBatch.from_arrays(
+    def run(batches):
+        for own, ids, at in _encoded_lots(batches, tokenizer, end):
+            whole = pa.RecordBatch.from_arrays(
                 [own.column("doc_id"), pa.ListArray.from_arrays(at.astype(np.int32), ids.view(np.int32))],
                 names=["doc_id", "ids"])
+            for i in range(0, whole.num_rows, BATCH_ROWS):
+                yield whole.slice(i, BATCH_ROWS)
 
     rows = documents.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return text_batches(rows).mapInArrow(run, "doc_id bigint, ids array<int>")

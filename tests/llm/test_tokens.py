@@ -216,3 +216,43 @@ def test_ids_are_made_where_they_are_written(spark, tokenizer, monkeypatch):
     again = f"{path}-lists"
     tokenids.encoded(df, WORDS, 1).write.format("packed_ids").options(path=again, bits=16).mode("append").save()
     assert sorted(map(tuple, tokenids.read_ids(spark, again).select("doc_id", "ids").collect())) == sorted(map(tuple, got.collect()))
+
+
+def test_latin_words_and_their_punctuation_need_no_whole_tokenizer(tokenizer):
+    """Only what the steps before the merges can change goes through all of them; ids are the tokenizer's."""
+    encoder = tokenids.Encoder(WORDS)
+    asked, whole = [], encoder._whole
+    encoder._whole = lambda words: asked.extend(words) or whole(words)
+    for text in ["Straße; Étage### (x) ÑANDÚES!?", "l'été, d'a's' ÀÉ...\n"]:
+        assert encoder.encode([text], 1)[0].tolist() == ids_of(tokenizer, text)
+    assert not {"Straße", "straße", "Étage", "étage", "étage###", "ñandúes"} & set(asked)
+    words = [f"{a}{c}{b}" for c in map(chr, [*range(1, 0x260), 0x301, 0x3A3, 0x2581]) for a in ("", "a", "É") for b in ("", "a", ".", "x;'", "<|", "|>.")]
+    words += ["<|endoftext|>.", "A<|endoftext|>b!", "<|ENDOFTEXT|>#", "É<|endoftext|>)", "a's'", "a'S.", "'s'", "don't''", "e\u0301.", "İ.", "İX###", "Σ.", "ΑΣ)", "x_", "x_.", "9.", "².", "\u0958.", "\ufb2a!"]
+    for lot in (words, words[::-1]):
+        ids, at = encoder.encode([*lot, " ".join(lot)], 1)
+        for i, w in enumerate([*lot, " ".join(lot)]):
+            assert ids[at[i] : at[i + 1]].tolist() == ids_of(tokenizer, w), repr(w)
+
+
+def test_words_of_a_lot_are_looked_up_once(tokenizer):
+    """Small batches are encoded together, and a word is looked up once for all of them."""
+    import pyarrow as pa
+
+    texts = pa.array([None, "", *["again and again, Again! "] * 3000])
+    batches = [pa.record_batch({"doc_id": pa.array(range(i, i + len(x))), "text": x}) for i in range(0, len(texts), 40) for x in [texts.slice(i, 40)]]
+    lots = list(wordids.lots(iter([batches[0].slice(0, 0), *batches]), "text", 20_000))
+    assert 1 < len(lots) < 6 and pa.concat_batches(lots) == pa.concat_batches(batches)
+    looked = []
+
+    class Numbers(dict):
+        def get(self, key, default=None):
+            looked.append(key)
+            return super().get(key, default)
+
+    encoder = tokenids.Encoder(WORDS)
+    encoder.words.number = Numbers(encoder.words.number)
+    for lot in lots:
+        ids, at = encoder.encode(lot.column("text"), 1)
+        for i, t in enumerate(lot.column("text").to_pylist()):
+            assert ids[at[i] : at[i + 1]].tolist() == ids_of(tokenizer, t)
+    assert len(looked) <= 8 * len(lots)
