@@ -7,7 +7,9 @@ as soon as they meet at one, the pieces before it are final and given out.
 
 White space and line feeds give such boundaries at once: no piece of the table goes over
 them (this is checked when the table is read), so every path has a boundary there. Each
-run between two of them is therefore searched once per worker and kept.
+run between two of them is therefore searched once per worker and kept. New runs are searched
+together, cut wherever no piece has two characters side by side: numpy takes the same step of
+all of them at once.
 
 Characters without a piece of their own score ``UNKNOWN`` below the lowest piece and are
 written as bytes, as is U+2581 in a text, which would decode as a space. So decoding gives
@@ -27,16 +29,19 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from .storage import text_batches
-from .wordids import WordIds
+from .storage import BATCH_ROWS, text_batches
+from .wordids import WordIds, lots, spread
 
 SPACE = "▁"
 #: stands for U+2581 of a text; no valid text has a lone surrogate
 LITERAL = "\udfff"
 UNKNOWN = 10.0
+#: bytes of text that are encoded at once; four processes of an executor keep runs
+LOT_BYTES = 2 << 20
 #: begins the key of a run that no space begins
 BARE = "\x01"
 _RUNS = re.compile(" *[^ \n]+| +|\n")
@@ -66,15 +71,9 @@ class Table:
         self.longest = max(map(len, self.pieces))
         self.unknown = min(score for _, score in self.pieces.values()) - UNKNOWN
         self.begins = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
-        self.pairs = {pair for p in self.pieces for pair in zip(p, p[1:])}
         #: no piece goes on after a line feed or from a letter to white space
         self.parted = not any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.pieces)
 
-    def parts(self, run: str) -> list[str]:
-        """The run cut wherever no piece has the two characters side by side."""
-        cuts = [i for i, pair in enumerate(zip(run, run[1:]), 1) if pair not in self.pairs]
-        return [run[a:b] for a, b in zip([0, *cuts], [*cuts, len(run)])]
-
     def unknown_ids(self, char: str) -> list[int]:
         return [self.byte_id[b] for b in (SPACE if char == LITERAL else char).encode()]
 
@@ -179,8 +178,115 @@ def _short(table: Table, run: str) -> list[int]:
     return [i for ids in reversed(out) for i in ids]
 
 
-#: runs of more characters go through the search piecemeal
+#: parts of runs with more characters go through the search piecemeal
 SHORT = 64
+#: places of parts that are searched at the same time, for 13 bytes each
+PLACES = 1_000_000
+
+
+def _found(keys: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of numbers among sorted ones, and whether they are there."""
+    place = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+    return place, keys[place] == asked
+
+
+class Together:
+    """The search for many runs at once, over the table as arrays.
+
+    The beginnings of pieces are numbered (0 begins all); characters are numbered from 1 on,
+    and 0 is one of no piece.
+    """
+
+    def __init__(self, table: Table):
+        self.table = table
+        chars = sorted({c for p in table.pieces for c in p})
+        self.n = len(chars) + 1
+        number = {c: i for i, c in enumerate(chars, 1)}
+        self.char = np.zeros(ord(chars[-1]) + 2, np.int64)  # by code point; the last is for all beyond
+        self.char[[ord(c) for c in chars]] = range(1, self.n)
+        nodes = {"": 0} | {p: i for i, p in enumerate(sorted(table.begins), 1)}
+        steps = sorted((nodes[p[:-1]] * self.n + number[p[-1]], i) for p, i in nodes.items() if p)
+        self.steps, self.node = np.array(steps, np.int64).T.copy()
+        found = [table.pieces.get(p, (-1, 0.0)) for p in nodes]
+        self.piece, self.score = np.array([f[0] for f in found], np.int32), np.array([f[1] for f in found])
+        pairs = {(a, b) for p in table.pieces for a, b in zip(p, p[1:])}
+        self.pairs = np.sort(np.array([number[a] * self.n + number[b] for a, b in pairs] or [-1], np.int64))
+        first, there = _found(self.steps, np.arange(self.n))
+        self.first = np.where(there, self.node[first], 0)  # after one character
+        self.own = np.where(there, self.piece[self.first], -1)  # pieces of one character
+
+    def encode(self, runs: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all runs one after another, and the number of each's."""
+        text = "".join(runs)
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        chars = self.char[np.minimum(points, len(self.char) - 1)]
+        begins = np.zeros(len(chars) + 1, bool)
+        begins[1:-1] = ~_found(self.pairs, chars[:-1] * self.n + chars[1:])[1]
+        ends = np.cumsum(np.fromiter(map(len, runs), np.int64, len(runs)))
+        begins[0] = begins[ends] = True
+        at = np.flatnonzero(begins)  # of the parts
+        sizes = np.diff(at)
+        odd = np.diff(np.concatenate([[0], np.cumsum(self.own[chars] < 0)])[at]) > 0
+        alone = np.flatnonzero(odd | (sizes > SHORT))
+        together = np.flatnonzero(~odd & (sizes <= SHORT))
+        together = together[np.argsort(-sizes[together], kind="stable")]  # like lengths side by side
+        begin, counts = np.zeros((2, len(sizes)), np.int64)
+        lists, i = [np.zeros(0, np.uint32)], 0
+        while i < len(together):
+            lot = together[i : i + max(1, PLACES // int(sizes[together[i]] + 1))]
+            found, counts[lot] = self._search(chars, at[lot], sizes[lot])
+            lists.append(found)
+            i += len(lot)
+        flat = np.concatenate(lists)
+        begin[together] = np.cumsum(counts[together]) - counts[together]
+        if len(alone):
+            kept: dict[str, list[int]] = {}
+            lists = []
+            for a, b in zip(at[alone].tolist(), at[alone + 1].tolist()):
+                part = text[a:b]
+                if part not in kept:
+                    kept[part] = _short(self.table, part) if b - a <= SHORT else list(streamed(self.table, part))
+                lists.append(kept[part])
+            counts[alone] = [len(x) for x in lists]
+            begin[alone] = len(flat) + np.cumsum(counts[alone]) - counts[alone]
+            flat = np.concatenate([flat, np.array([i for x in lists for i in x], np.uint32)])
+        ids, ended = spread(flat, begin, counts)
+        return ids, np.diff(np.concatenate([[0], ended[np.searchsorted(at, ends)]]))
+
+    def _search(self, chars: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of parts, the longest first and the characters of all pieces, and the number of each's."""
+        m, longest = len(sizes), int(sizes[0])
+        going = np.searchsorted(-sizes, -np.arange(longest + 1), "left").tolist()  # parts longer than that
+        best = np.full((longest + 1, m), -np.inf)
+        best[0] = 0.0
+        piece, size = np.zeros((longest + 1, m), np.int32), np.zeros((longest + 1, m), np.int8)
+        for start in range(longest):
+            who = np.arange(going[start])
+            base, node = best[start], self.first[chars[begin[who] + start]]
+            for end in range(start + 1, min(start + self.table.longest, longest) + 1):
+                if end > start + 1:
+                    who = who[: np.searchsorted(who, going[end - 1])]
+                    place, there = _found(self.steps, node[: len(who)] * self.n + chars[begin[who] + end - 1])
+                    who, node = who[there], self.node[place[there]]
+                if not len(who):
+                    break
+                total = base[who] + self.score[node]
+                better = np.flatnonzero((total > best[end, who]) & (self.piece[node] >= 0))
+                to = who[better]
+                best[end, to], piece[end, to], size[end, to] = total[better], self.piece[node[better]], end - start
+        at, who, found = sizes.copy(), np.arange(m), []
+        while len(who):  # back from the ends
+            place = at[who]
+            found.append((who, piece[place, who]))
+            at[who] -= size[place, who]
+            who = who[at[who] > 0]
+        counts = np.zeros(m, np.int64)
+        for who, _ in found:
+            counts[who] += 1
+        last, ids = np.cumsum(counts) - 1, np.zeros(int(counts.sum()), np.uint32)
+        for back, (who, own) in enumerate(found):
+            ids[last[who] - back] = own
+        return ids, counts
 
 
 def _run(key: str) -> str:
@@ -195,12 +301,11 @@ def _key(run: str) -> str:
 
 
 class Encoder:
-    def __init__(self, path: str, room: int = 600_000):
+    def __init__(self, path: str, room: int = 300_000):
         self.table = table = Table(path)
         self.octets = np.array(table.bytes_of, object)
-        self.words = WordIds(
-            lambda keys: (_short(table, r) if len(r) <= SHORT else list(streamed(table, r)) for r in map(_run, keys)),
-            lambda key: [_key(part) for part in table.parts(_run(key))], room)
+        together = Together(table)
+        self.words = WordIds(lambda keys: together.encode(list(map(_run, keys))), room=room)
 
     def _runs(self, text: str | None) -> list[str]:
         """Keys of the text's runs, parted where every path has a boundary."""
@@ -214,9 +319,23 @@ class Encoder:
             return [_key(r) for r in _RUNS.findall(" " + text)]
         return words.split(" ")
 
-    def encode(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list | pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and where each begins (and the end)."""
-        return self.words.gather(map(self._runs, texts))
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        texts = texts.cast(pa.large_string()).fill_null("")
+        if not self.table.parted:
+            return self.words.gather(map(self._runs, texts.to_pylist()))
+        # most have a single space or a line feed between any two runs, and none of the signs for either
+        odd = pc.match_substring_regex(texts, rf"\A[ \n]| [ \n]| \z|[{SPACE}{BARE}]")
+        plain = pc.if_else(odd, "", texts)
+        ids, at = self.words.gather_lists(pc.split_pattern(pc.replace_substring(plain, "\n", f" {BARE}\n {BARE}"), " "))
+        rest = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if not len(rest):
+            return ids, at
+        more, begins = self.words.gather(map(self._runs, texts.take(pa.array(rest)).to_pylist()))
+        begin, sizes = at[:-1].copy(), np.diff(at)
+        begin[rest], sizes[rest] = len(ids) + begins[:-1], np.diff(begins)
+        return spread(np.concatenate([ids, more]), begin, sizes)
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         text = b"".join(self.octets[ids].tolist()).decode("utf-8", "replace") if len(ids) else ""
@@ -235,16 +354,16 @@ def encoded(documents: DataFrame, model: str, text: str = "text") -> DataFrame:
     documents = documents.drop("ids")
     out = StructType([*documents.schema.fields, *StructType.fromDDL("ids array<int>").fields])
 
-    def run(lots):
+    def run(batches):
         encoder = _encoder(model)
-        for batch in lots:
-            for i in range(0, batch.num_rows, 512):
-                own = batch.slice(i, 512)
-                texts = own.column(text)
-                ids, at = encoder.encode(texts.to_pylist())
-                lists = pa.ListArray.from_arrays(
-                    at.astype(np.int32), ids.view(np.int32), mask=texts.is_null() if texts.null_count else None)
-                yield pa.RecordBatch.from_arrays([*own.columns, lists], names=[*own.schema.names, "ids"])
+        for own in lots(batches, text, LOT_BYTES):
+            texts = own.column(text)
+            ids, at = encoder.encode(texts)
+            lists = pa.ListArray.from_arrays(
+                at.astype(np.int32), ids.view(np.int32), mask=texts.is_null() if texts.null_count else None)
+            whole = pa.RecordBatch.from_arrays([*own.columns, lists], names=[*own.schema.names, "ids"])
+            for i in range(0, whole.num_rows, BATCH_ROWS):
+                yield whole.slice(i, BATCH_ROWS)
 
     return text_batches(documents).mapInArrow(run, out)
 

@@ -256,3 +256,46 @@ def test_words_of_a_lot_are_looked_up_once(tokenizer):
         for i, t in enumerate(lot.column("text").to_pylist()):
             assert ids[at[i] : at[i + 1]].tolist() == ids_of(tokenizer, t)
     assert len(looked) <= 8 * len(lots)
+
+
+def test_runs_are_searched_together(encoder, monkeypatch):
+    """New runs of ordinary texts take no search of their own, in lots of any size; ids are the same."""
+    texts = [" ".join(t.split()) for t in pq.read_table(f"{SF}/documents.parquet").column("text").to_pylist()[:60] if t]
+    want = [list(pieces.streamed(encoder.table, pieces.SPACE + t.replace(" ", pieces.SPACE))) for t in texts]
+    known = set(encoder.table.pieces)
+    plain = [i for i, t in enumerate(texts) if set(t) - {" "} <= known and max(map(len, t.split())) <= pieces.SHORT]
+    assert len(plain) > 20
+    monkeypatch.setattr(pieces, "PLACES", 300)
+    ids, at = pieces.Encoder(MODEL).encode([*texts, None, "", *texts[::-1]])
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [*want, [], [], *want[::-1]]
+    monkeypatch.setattr(pieces, "_short", None)
+    ids, at = pieces.Encoder(MODEL).encode([texts[i] for i in plain])
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [want[i] for i in plain]
+
+
+def test_texts_with_other_white_space_stay_in_their_places(encoder):
+    """Texts that Arrow parts and texts that it cannot part, side by side."""
+    texts = ["a b\nc", "  a", "", "a  b", None, "a\n b", "a \nb", "▁", "x ▁\x01 y", "\n", "end\n", "end ", "plain words", "\x01", "\n\n", "a\n\nb", "ab" * 90]
+    for own in (texts, texts[::-1], texts[:1], texts[1:2], [], [None]):
+        ids, at = encoder.encode(own)
+        assert len(at) == len(own) + 1
+        for a, b, t in zip(at, at[1:], own):
+            marked = pieces.SPACE + t.replace("▁", pieces.LITERAL).replace(" ", "▁") if t else ""
+            assert ids[a:b].tolist() == list(pieces.streamed(encoder.table, marked)), repr(t)
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text(alphabet="abcde▁\udfff日", max_size=12), max_size=12), st.integers(0, 5))
+def test_any_table(runs, seed):
+    """Tables in which characters of pieces are no pieces themselves, and scores are often equal."""
+    rng = np.random.default_rng(seed)
+    table = pieces.Table.__new__(pieces.Table)
+    names = sorted({"".join(rng.choice(list("abcd▁"), rng.integers(1, 5))) for _ in range(20)})
+    table.pieces = {n: (i + 300, -float(rng.integers(0, 4))) for i, n in enumerate(names)}
+    table.byte_id = list(range(256))
+    table.longest = max(map(len, names))
+    table.unknown = min(s for _, s in table.pieces.values()) - pieces.UNKNOWN
+    table.begins = {p[:n] for p in names for n in range(1, len(p) + 1)}
+    ids, counts = pieces.Together(table).encode(runs)
+    at = np.concatenate([[0], np.cumsum(counts)])
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [list(pieces.streamed(table, r)) for r in runs]
